@@ -55,36 +55,40 @@ def parse_responses(responses: DataFrame) -> DataFrame:
     return parsed.withColumn("problem", payload_problem(F.col("status"), F.col("body"), F.col("payload")))
 
 
-def flatten_neighbours(parsed: DataFrame, *carry: str) -> DataFrame:
-    """One row per item of every payload, with the defaults applied.
+def flatten_neighbours(parsed: DataFrame, *carry: str, reject_missing: bool = False) -> DataFrame:
+    """One row per item of every payload with the defaults applied, and one per unreadable payload.
 
     ``problem`` is null for a neighbour that counts: its id and title are there and not empty.
-    ``carry`` names columns of the look-up to keep.
+    A payload without a readable list has a null ``pos``. ``reject_missing`` turns down absent
+    ids and titles instead of filling them in. ``carry`` names columns of the look-up to keep.
     """
     items = parsed.select(
         *carry,
         "direction",
         F.coalesce("page", F.lit(0)).alias("page"),
-        F.posexplode(payload_items(F.col("payload"))).alias("pos", "item"),
-    )
+        F.col("problem").alias("unreadable"),
+        F.posexplode_outer(payload_items(F.col("payload"))).alias("pos", "item"),
+    ).filter(F.col("pos").isNotNull() | F.col("unreadable").isNotNull())
     paper = F.when(F.col("direction") == CITATION, F.try_variant_get("item", CITING_KEY, "variant")).otherwise(
         F.try_variant_get("item", CITED_KEY, "variant")
     )
     # An absent neighbour counts as an empty one, provided the item is an object at all.
     shape = (
-        F.when(F.col("paper").isNull() & ~_is_object(F.col("item")), F.lit("item is no object"))
+        F.when(F.col("pos").isNull(), F.col("unreadable"))
+        .when(F.col("paper").isNull() & ~_is_object(F.col("item")), F.lit("item is no object"))
         .when(F.is_variant_null("paper"), F.lit("null paper"))
         .when(F.col("paper").isNotNull() & ~_is_object(F.col("paper")), F.lit("paper is no object"))
     )
+    absent = F.lit(None).cast("string")
     values = {
-        "ss_id": text_or_missing(F.col("paper"), "$.paperId", F.lit(UNKNOWN_ID)),
-        "title": text_or_missing(F.col("paper"), "$.title", F.lit(UNTITLED)),
+        "ss_id": text_or_missing(F.col("paper"), "$.paperId", absent if reject_missing else F.lit(UNKNOWN_ID)),
+        "title": text_or_missing(F.col("paper"), "$.title", absent if reject_missing else F.lit(UNTITLED)),
         "abstract": or_default(text_or_missing(F.col("paper"), "$.abstract", F.lit(NO_ABSTRACT)), "abstract"),
         "url": F.try_variant_get("paper", "$.url", "string"),
     }
     place = [*carry, "direction", "page", "pos"]
     fields = (
-        items.select(*place, "item", paper.alias("paper"))
+        items.select(*place, "unreadable", "item", paper.alias("paper"))
         .select(*place, "paper", shape.alias("shape"))
         .select(*place, "shape", *[F.when(F.col("shape").isNull(), value).alias(name) for name, value in values.items()])
     )
@@ -102,7 +106,3 @@ def valid_neighbours(neighbours: DataFrame) -> DataFrame:
 
 def rejected_neighbours(neighbours: DataFrame) -> DataFrame:
     return neighbours.filter(F.col("problem").isNotNull())
-
-
-def rejected_payloads(parsed: DataFrame) -> DataFrame:
-    return parsed.filter(F.col("problem").isNotNull()).drop("payload")

@@ -37,9 +37,7 @@ def neighbours(frontier: DataFrame, links: DataFrame) -> DataFrame:
     are unique in the frontier; a hub fills only the link side, which the adaptive skew join
     splits.
     """
-    return links.join(frontier, "parent_ss_id").select(
-        "term_pos", "parent_id", "direction", "ss_id", "search_term", "parent_ss_id"
-    )
+    return links.join(frontier, "parent_ss_id")
 
 
 def as_edges(found: DataFrame) -> DataFrame:

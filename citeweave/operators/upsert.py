@@ -20,6 +20,9 @@ def first_discovery(candidates: DataFrame, key: str, order_by: Sequence[str]) ->
     found by a third of all candidates costs no more than any other.
     """
     rest = [name for name in candidates.columns if name != key and name not in order_by]
+    if len(order_by) == 1 and not rest:
+        # A plain minimum of a number is hashed instead of sorted.
+        return candidates.groupBy(key).agg(F.min(order_by[0]).alias(order_by[0]))
     first = F.min(F.struct(*order_by, *rest)).alias("first")
     return candidates.groupBy(key).agg(first).select(key, "first.*")
 

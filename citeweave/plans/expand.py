@@ -8,44 +8,33 @@ the list of neighbours; the first discovery of a paper gives its values.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citeweave.functions.payload import (
-    flatten_neighbours,
-    parse_responses,
-    rejected_neighbours,
-    rejected_payloads,
-    valid_neighbours,
-)
+from citeweave.functions.payload import flatten_neighbours, parse_responses, rejected_neighbours, valid_neighbours
 from citeweave.operators.frontier import lookup_frontier
+from citeweave.operators.identity import dense_position
 from citeweave.operators.neighbours import as_edges, both_directions, neighbours
-from citeweave.operators.upsert import (
-    as_papers,
-    discover,
-    mark_processed,
-    matching,
-    new_edges,
-    new_papers,
-)
+from citeweave.operators.upsert import as_papers, discover, mark_processed, matching, new_edges, new_papers
 from citeweave.schemas import NO_ABSTRACT, UNTITLED
 from citeweave.sources.terms import first_positions
 from citeweave.staging import Staging
 
-EDGE_ORDER = ("term_pos", "parent_id", "direction")
 PAYLOAD_ORDER = ("term_pos", "parent_id", "direction", "page", "pos")
 
 
-@dataclass
 class Hop:
-    """What one hop adds: papers, edges, and the keys of the parents now done."""
+    """What one hop adds; each part is worked out when it is asked for.
+
+    ``papers`` are the new papers, ``edges`` the new edges, ``processed`` the keys of the
+    parents that are done, ``rejects`` what the look-ups held but could not be used.
+    """
 
     papers: DataFrame
     edges: DataFrame
     processed: DataFrame
-    rejects: DataFrame | None = None
 
 
 def with_attributes(found: DataFrame, attributes: DataFrame | None) -> DataFrame:
@@ -61,74 +50,106 @@ def with_attributes(found: DataFrame, attributes: DataFrame | None) -> DataFrame
     )
 
 
-def expand_hop(
-    papers: DataFrame,
-    edges: DataFrame,
-    terms: DataFrame,
-    hop: int,
-    staging: Staging,
-    *,
-    attributes: DataFrame | None = None,
-    known_edges: DataFrame | None = None,
-) -> Hop:
+class EdgeHop(Hop):
     """One hop over a known edge table.
 
-    Only keys travel through the joins and the choice of the first discovery; ``attributes``
-    are looked up for the new papers alone.
+    Every parent gets its turn as one number, so a discovery is the number ``2 * turn +
+    direction``: finding the first one hashes and shuffles keys and numbers only. Terms and
+    ``attributes`` are looked up for the new papers alone.
     """
-    frontier = staging.write(lookup_frontier(papers, first_positions(terms), hop), f"frontier-{hop}")
-    found = neighbours(frontier, both_directions(edges))
-    fresh = discover(found.withColumn("num_hops", F.lit(hop + 1)), papers, EDGE_ORDER, staging)
-    linked = as_edges(found)
-    return Hop(
-        papers=as_papers(with_attributes(fresh, attributes)),
-        edges=linked if known_edges is None else new_edges(linked, known_edges),
-        processed=frontier.select(F.col("parent_ss_id").alias("ss_id")),
-    )
 
-
-def look_up(frontier: DataFrame, responses: DataFrame) -> DataFrame:
-    """The landed look-ups of the frontier, parsed."""
-    landed = responses.select("ss_id", "direction", "page", "status", "body").withColumnRenamed("ss_id", "parent_ss_id")
-    return parse_responses(landed.join(frontier, "parent_ss_id"))
-
-
-def expand_responses(
-    papers: DataFrame,
-    responses: DataFrame,
-    terms: DataFrame,
-    hop: int,
-    staging: Staging,
-    *,
-    known_edges: DataFrame | None = None,
-    retry_failed: bool = False,
-) -> Hop:
+    def __init__(
+        self,
+        papers: DataFrame,
+        edges: DataFrame,
+        terms: DataFrame,
+        hop: int,
+        staging: Staging,
+        *,
+        attributes: DataFrame | None = None,
+        known_edges: DataFrame | None = None,
+    ):
+        self._known, self._known_edges, self._attributes = papers, known_edges, attributes
+        self._hop, self._staging = hop, staging
+        waiting = lookup_frontier(papers, first_positions(terms), hop)
+        self._frontier = dense_position(waiting, ["term_pos", "parent_id"], staging, column="turn")
+        self._found = neighbours(self._frontier.select("parent_ss_id", "turn"), both_directions(edges))
+
+    @cached_property
+    def papers(self) -> DataFrame:
+        number = F.col("turn") * 2 + F.col("direction")
+        candidates = self._found.select("ss_id", number.alias("discovery"))
+        fresh = discover(candidates, self._known, ["discovery"], self._staging)
+        turns = self._frontier.select("turn", "search_term")
+        placed = fresh.withColumn("turn", F.shiftright("discovery", 1)).join(turns, "turn")
+        placed = placed.select("id", "ss_id", "search_term", F.lit(self._hop + 1).alias("num_hops"))
+        return as_papers(with_attributes(placed, self._attributes))
+
+    @cached_property
+    def edges(self) -> DataFrame:
+        linked = as_edges(self._found)
+        return linked if self._known_edges is None else new_edges(linked, self._known_edges)
+
+    @cached_property
+    def processed(self) -> DataFrame:
+        return self._frontier.select(F.col("parent_ss_id").alias("ss_id"))
+
+
+class ResponseHop(Hop):
     """One hop over landed look-ups.
 
-    Parents with a landed look-up are done afterwards, failed ones included, unless
-    ``retry_failed`` leaves those for another run.
+    Bodies are parsed once; papers, edges and rejects all come from the written rows. Parents
+    with a landed look-up are done afterwards, failed ones included, unless ``retry_failed``
+    leaves those for another run.
     """
-    frontier = staging.write(lookup_frontier(papers, first_positions(terms), hop), f"frontier-{hop}")
-    parent = ("term_pos", "parent_id", "parent_ss_id", "search_term")
-    parsed = look_up(frontier, responses)
-    # Bodies are parsed once; papers, edges and rejects all come from the written rows.
-    flat = staging.write(flatten_neighbours(parsed, *parent), f"neighbours-{hop}")
-    found = valid_neighbours(flat)
-    candidates = found.withColumn("num_hops", F.lit(hop + 1)).drop("parent_ss_id")
-    done = responses.select("ss_id", "status")
-    if retry_failed:
-        failed = done.filter(~F.coalesce(F.col("status") == 200, F.lit(False))).select("ss_id")
-        done = done.join(failed, "ss_id", "left_anti")
-    linked = as_edges(found)
-    columns = [*parent, "direction", "page", "problem"]
-    return Hop(
-        papers=new_papers(candidates, papers, PAYLOAD_ORDER, staging),
-        edges=linked if known_edges is None else new_edges(linked, known_edges),
-        processed=frontier.select(F.col("parent_ss_id").alias("ss_id")).join(done.select("ss_id"), "ss_id", "left_semi"),
-        rejects=rejected_neighbours(flat)
-        .select(*columns)
-        .unionByName(rejected_payloads(parsed).select(*columns)),
-    )
+
+    def __init__(
+        self,
+        papers: DataFrame,
+        responses: DataFrame,
+        terms: DataFrame,
+        hop: int,
+        staging: Staging,
+        *,
+        known_edges: DataFrame | None = None,
+        retry_failed: bool = False,
+        reject_missing: bool = False,
+    ):
+        self._known, self._known_edges, self._responses = papers, known_edges, responses
+        self._hop, self._staging, self._retry_failed = hop, staging, retry_failed
+        waiting = lookup_frontier(papers, first_positions(terms), hop)
+        self._frontier = staging.write(waiting, f"frontier-{hop}")
+        landed = responses.select(
+            F.col("ss_id").alias("parent_ss_id"), "direction", "page", "status", "body"
+        ).join(self._frontier, "parent_ss_id")
+        parent = ("term_pos", "parent_id", "parent_ss_id", "search_term")
+        flat = flatten_neighbours(parse_responses(landed), *parent, reject_missing=reject_missing)
+        self._flat = staging.write(flat, f"neighbours-{hop}")
+
+    @cached_property
+    def papers(self) -> DataFrame:
+        found = valid_neighbours(self._flat).withColumn("num_hops", F.lit(self._hop + 1))
+        return new_papers(found.drop("parent_ss_id"), self._known, PAYLOAD_ORDER, self._staging)
+
+    @cached_property
+    def edges(self) -> DataFrame:
+        linked = as_edges(valid_neighbours(self._flat))
+        return linked if self._known_edges is None else new_edges(linked, self._known_edges)
+
+    @cached_property
+    def processed(self) -> DataFrame:
+        answered = self._responses.select("ss_id")
+        parents = self._frontier.select(F.col("parent_ss_id").alias("ss_id")).join(answered, "ss_id", "left_semi")
+        if self._retry_failed:
+            failed = self._responses.filter(~F.coalesce(F.col("status") == 200, F.lit(False)))
+            parents = parents.join(failed.select("ss_id"), "ss_id", "left_anti")
+        return parents
+
+    @cached_property
+    def rejects(self) -> DataFrame:
+        return rejected_neighbours(self._flat).select(
+            "search_term", "parent_ss_id", "direction", "page", "pos", "problem"
+        )
 
 
 def expand_hops(
@@ -147,7 +168,7 @@ def expand_hops(
     """
     known = papers
     for hop in range(hops):
-        step = expand_hop(known, edges, terms, hop, staging, attributes=attributes)
+        step = EdgeHop(known, edges, terms, hop, staging, attributes=attributes)
         added = staging.write(step.papers, f"papers-{hop + 1}")
         known = mark_processed(known, step.processed).unionByName(added)
         if hop + 1 < hops:

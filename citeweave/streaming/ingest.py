@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from citeweave.operators.upsert import first_discovery, mark_processed, matching, unseen
-from citeweave.plans.expand import expand_responses
+from citeweave.plans.expand import ResponseHop
 from citeweave.schemas import EDGES, PAPERS, RESPONSES
 from citeweave.sources.tables import SEED_BATCH, append_batch, create_if_absent, read_edges, read_papers, read_table
 from citeweave.staging import Staging
@@ -58,7 +58,7 @@ def ingest_batch(corpus: Corpus, terms: DataFrame, hop: int, landed: DataFrame,
     with Staging(spark, f"ingest-{batch}") as staging:
         known = corpus.read_papers(spark, before=batch)
         edges = read_edges(spark, corpus.edges, before=batch)
-        step = expand_responses(known, landed, terms, hop, staging)
+        step = ResponseHop(known, landed, terms, hop, staging)
         append_batch(step.papers, corpus.papers, batch)
         # Both ends of every edge are papers by now: the parent was known, the neighbour is in.
         found = staging.write(step.edges, "found-edges")

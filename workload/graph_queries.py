@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from citeweave.operators import checks, neighbours, report, subset, upsert
 from citeweave.operators.frontier import lookup_frontier
 from citeweave.plans.curate import copy_seed, curated_edges
-from citeweave.plans.expand import EDGE_ORDER, expand_hop, expand_hops
+from citeweave.plans.expand import EdgeHop, expand_hops
 from citeweave.plans.validate import validate
 from citeweave.schemas import EDGES, PAPERS
 from citeweave.sources.tables import scan_table
@@ -42,6 +42,9 @@ OUT_ROWS = """SELECT t.term_pos, p.id AS parent_id, CAST(1 AS INT) AS direction,
   WHERE NOT p.is_processed AND p.num_hops = 0"""
 
 
+NEIGHBOUR = ["term_pos", "parent_id", "direction", "ss_id", "search_term", "parent_ss_id"]
+
+
 def part_frontier(spark, sf, staging):
     return lookup_frontier(tables.part_papers(spark, sf), tables.part_terms(spark, sf, staging), 0)
 
@@ -53,20 +56,21 @@ def order_frontier(spark, sf, staging):
 @query("neighbours_in", IN_ROWS)
 def neighbours_in(spark, sf):
     links = neighbours.citations_of(tables.part_edges(spark, sf))
-    return neighbours.neighbours(part_frontier(spark, sf, Staging(spark, "in")), links)
+    return neighbours.neighbours(part_frontier(spark, sf, Staging(spark, "in")), links).select(*NEIGHBOUR)
 
 
 @query("neighbours_out", OUT_ROWS)
 def neighbours_out(spark, sf):
     links = neighbours.references_of(tables.part_edges(spark, sf))
-    return neighbours.neighbours(order_frontier(spark, sf, Staging(spark, "out")), links)
+    return neighbours.neighbours(order_frontier(spark, sf, Staging(spark, "out")), links).select(*NEIGHBOUR)
 
 
 @query("neighbours_both", f"SELECT * FROM ({IN_ROWS}) i UNION ALL SELECT * FROM ({OUT_ROWS}) o")
 def neighbours_both(spark, sf):
     staging = Staging(spark, "both")
     frontier = part_frontier(spark, sf, staging).unionByName(order_frontier(spark, sf, staging))
-    return neighbours.neighbours(frontier, neighbours.both_directions(tables.part_edges(spark, sf)))
+    links = neighbours.both_directions(tables.part_edges(spark, sf))
+    return neighbours.neighbours(frontier, links).select(*NEIGHBOUR)
 
 
 @query(
@@ -76,7 +80,7 @@ def neighbours_both(spark, sf):
       FROM ({IN_ROWS}) i) r WHERE place = 1""",
 )
 def first_discovery(spark, sf):
-    return upsert.first_discovery(neighbours_in(spark, sf), "ss_id", EDGE_ORDER)
+    return upsert.first_discovery(neighbours_in(spark, sf), "ss_id", ("term_pos", "parent_id", "direction"))
 
 
 @query("edges_distinct", "SELECT ss_id, reference_id FROM g_edges")
@@ -158,7 +162,9 @@ def papers_with_gaps(spark, sf):
     OR reference_id NOT IN (SELECT ss_id FROM some_papers)""",
 )
 def orphan_edges(spark, sf):
-    return checks.orphan_edges(tables.part_edges(spark, sf), papers_with_gaps(spark, sf), Staging(spark, "orphans"))
+    staging = Staging(spark, "orphans")
+    edges = staging.write(tables.part_edges(spark, sf), "edges")
+    return checks.orphan_edges(edges, papers_with_gaps(spark, sf), staging)
 
 
 @query("violations_not_null", "SELECT id, ss_id FROM d_papers WHERE is_processed IS NULL OR title IS NULL")
@@ -253,8 +259,9 @@ def insert_or_ignore_papers(spark, sf):
 )
 def insert_or_ignore_edges(spark, sf):
     raw = tables.raw_edges(spark, sf)
-    fresh = upsert.new_edges(raw, raw.filter("l_returnflag = 'R'"))
-    sound, _orphans = upsert.split_by_ends(fresh, papers_with_gaps(spark, sf), Staging(spark, "edges"))
+    staging = Staging(spark, "edges")
+    fresh = staging.write(upsert.new_edges(raw, raw.filter("l_returnflag = 'R'")), "fresh")
+    sound, _orphans = upsert.split_by_ends(fresh, papers_with_gaps(spark, sf), staging)
     return sound
 
 
@@ -299,13 +306,18 @@ LISTS = """, lists AS (
 """
 
 
+def collated(spark, sf):
+    staging = Staging(spark, "lists")
+    edges = staging.write(tables.part_edges(spark, sf), "edges")
+    return report.adjacency(tables.part_papers(spark, sf), edges, staging)
+
+
 @query(
     "adjacency_nested",
     LISTS.format(sep=",") + "SELECT id, ss_id, chunk, n_citations, citations, CAST(0 AS BIGINT) AS n_references FROM lists",
 )
 def adjacency_nested(spark, sf):
-    lists = report.adjacency(tables.part_papers(spark, sf), tables.part_edges(spark, sf), Staging(spark, "lists"))
-    return lists.select(
+    return collated(spark, sf).select(
         "id",
         "ss_id",
         "chunk",
@@ -322,8 +334,7 @@ def adjacency_nested(spark, sf):
       '],"references":[]}') AS body FROM lists""",
 )
 def adjacency_json(spark, sf):
-    lists = report.adjacency(tables.part_papers(spark, sf), tables.part_edges(spark, sf), Staging(spark, "lists"))
-    return report.adjacency_json(lists)
+    return report.adjacency_json(collated(spark, sf))
 
 
 # --- expansion ---------------------------------------------------------------------------
@@ -339,9 +350,9 @@ hop1 AS (
 
 def hop_one(spark, sf):
     staging = Staging(spark, "hop")
-    return expand_hop(
+    return EdgeHop(
         tables.part_papers(spark, sf),
-        tables.part_edges(spark, sf),
+        staging.write(tables.part_edges(spark, sf), "edges"),
         tables.part_terms(spark, sf, staging),
         0,
         staging,
@@ -388,6 +399,5 @@ def expand_hop2_papers(spark, sf):
     seeds = parts.join(terms.select(F.col("term").alias("search_term")), "search_term", "left_semi")
     columns = ["ss_id", "title", "abstract", "url"]
     attributes = parts.select(*columns).unionByName(tables.order_papers(spark, sf).select(*columns))
-    return expand_hops(
-        seeds.select(*PAPERS.fieldNames()), tables.part_edges(spark, sf), terms, 2, staging, attributes=attributes
-    )
+    edges = staging.write(tables.part_edges(spark, sf), "edges")
+    return expand_hops(seeds.select(*PAPERS.fieldNames()), edges, terms, 2, staging, attributes=attributes)

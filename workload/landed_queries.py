@@ -10,11 +10,10 @@ from citeweave.functions.payload import (
     parse_responses,
     payload_items,
     rejected_neighbours,
-    rejected_payloads,
     valid_neighbours,
 )
 from citeweave.plans.collect import collect_pages
-from citeweave.plans.expand import expand_responses
+from citeweave.plans.expand import ResponseHop
 from citeweave.sources.landed import scan_responses, scan_result_pages
 from citeweave.staging import Staging
 from citeweave.streaming.ingest import Corpus, first_seen, ingest_responses
@@ -102,7 +101,7 @@ def payload_item_counts(spark, sf):
 
 @query("payload_defaults", NEIGHBOURS + "SELECT * FROM flat")
 def payload_defaults(spark, sf):
-    return flat_neighbours(spark, sf)
+    return flat_neighbours(spark, sf).filter(F.col("pos").isNotNull())
 
 
 @query("neighbours_valid", NEIGHBOURS + "SELECT * EXCLUDE (problem) FROM flat WHERE problem IS NULL")
@@ -119,9 +118,7 @@ def neighbours_valid(spark, sf):
 )
 def neighbours_rejected(spark, sf):
     """Rejected items, and payloads without a readable list."""
-    columns = ["parent_id", "direction", "page", "pos", "problem"]
-    payloads = rejected_payloads(parsed_responses(spark, sf)).withColumn("pos", F.lit(None).cast("int"))
-    return rejected_neighbours(flat_neighbours(spark, sf)).select(*columns).unionByName(payloads.select(*columns))
+    return rejected_neighbours(flat_neighbours(spark, sf)).select("parent_id", "direction", "page", "pos", "problem")
 
 
 LANDED_HOP = (
@@ -141,7 +138,7 @@ hop1 AS (
 
 def landed_hop(spark, sf):
     staging = Staging(spark, "hop")
-    return expand_responses(
+    return ResponseHop(
         tables.part_papers(spark, sf),
         tables.landed_responses(spark, sf),
         tables.part_terms(spark, sf, staging),

@@ -15,9 +15,13 @@ def frontier_of(papers: DataFrame, term: str, hop: int) -> DataFrame:
     )
 
 
-def unprocessed(papers: DataFrame) -> DataFrame:
-    """Papers not marked as done; an absent mark counts as not done."""
-    return papers.filter(~F.coalesce("is_processed", F.lit(False)))
+def unprocessed(papers: DataFrame, done: DataFrame | None = None) -> DataFrame:
+    """Papers not marked as done; an absent mark counts as not done.
+
+    ``done`` holds keys noted as done elsewhere, whose flags are not merged yet.
+    """
+    waiting = papers.filter(~F.coalesce("is_processed", F.lit(False)))
+    return waiting if done is None else waiting.join(done.select("ss_id"), "ss_id", "left_anti")
 
 
 def seeds(papers: DataFrame) -> DataFrame:
@@ -49,9 +53,10 @@ def papers_by_term(papers: DataFrame, terms: DataFrame) -> DataFrame:
     return papers.join(terms, papers["search_term"] == terms["term"]).drop("term")
 
 
-def lookup_frontier(papers: DataFrame, terms: DataFrame, hop: int) -> DataFrame:
+def lookup_frontier(papers: DataFrame, terms: DataFrame, hop: int, done: DataFrame | None = None) -> DataFrame:
     """Parents to look up at ``hop``: unprocessed papers of the terms, as narrow rows."""
-    waiting = unprocessed(papers.filter(F.col("num_hops") == hop)).select("id", "ss_id", "search_term")
+    at_hop = papers.filter(F.col("num_hops") == hop).select("id", "ss_id", "search_term", "is_processed")
+    waiting = unprocessed(at_hop, done)
     return papers_by_term(waiting, terms).select(
         "term_pos",
         F.col("id").alias("parent_id"),

@@ -112,12 +112,13 @@ class ResponseHop(Hop):
         staging: Staging,
         *,
         known_edges: DataFrame | None = None,
+        done: DataFrame | None = None,
         retry_failed: bool = False,
         reject_missing: bool = False,
     ):
         self._known, self._known_edges, self._responses = papers, known_edges, responses
         self._hop, self._staging, self._retry_failed = hop, staging, retry_failed
-        waiting = lookup_frontier(papers, first_positions(terms), hop)
+        waiting = lookup_frontier(papers, first_positions(terms), hop, done)
         self._frontier = staging.write(waiting, f"frontier-{hop}")
         landed = responses.select(
             F.col("ss_id").alias("parent_ss_id"), "direction", "page", "status", "body"

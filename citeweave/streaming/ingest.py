@@ -1,9 +1,9 @@
 """Look-ups ingested as they land.
 
 Each micro-batch does what one batch hop does: insert-or-ignore papers, insert-or-ignore
-edges, note the rejects and the parents now done. Its writes go to ``batch=<n>`` folders that a repeated
-attempt replaces, and it reads only earlier batches, so stopping anywhere and starting again
-ends in the same tables. "First" means landing order here.
+edges, note the rejects and the parents now done. Its writes go to ``batch=<n>`` folders that
+a repeated attempt replaces, and it reads only earlier batches, so stopping anywhere and
+starting again ends in the same tables. "First" means landing order here.
 """
 
 from __future__ import annotations
@@ -52,19 +52,35 @@ class Corpus:
         return mark_processed(read_papers(spark, self.papers, before), read_table(spark, self.done, DONE, before))
 
 
-def ingest_batch(corpus: Corpus, terms: DataFrame, hop: int, landed: DataFrame, batch: int) -> None:
-    """Take one micro-batch of landed look-ups into the corpus."""
+def ingest_batch(
+    corpus: Corpus,
+    terms: DataFrame,
+    hop: int,
+    landed: DataFrame,
+    batch: int,
+    *,
+    skip_done: bool = False,
+    retry_failed: bool = False,
+) -> None:
+    """Take one batch of landed look-ups into the corpus.
+
+    ``skip_done`` leaves out parents that earlier batches noted as done. A stream must not do
+    so, since further pages of such a parent may land later; taking a page twice is harmless.
+    """
     spark = landed.sparkSession
     with Staging(spark, f"ingest-{batch}") as staging:
-        known = corpus.read_papers(spark, before=batch)
+        known = read_papers(spark, corpus.papers, before=batch)
         edges = read_edges(spark, corpus.edges, before=batch)
-        step = ResponseHop(known, landed, terms, hop, staging)
+        done = read_table(spark, corpus.done, DONE, before=batch)
+        step = ResponseHop(
+            known, landed, terms, hop, staging, done=done if skip_done else None, retry_failed=retry_failed
+        )
         append_batch(step.papers, corpus.papers, batch)
         # Both ends of every edge are papers by now: the parent was known, the neighbour is in.
         found = staging.write(step.edges, "found-edges")
         append_batch(unseen(found, matching(edges, found, PAIR), PAIR), corpus.edges, batch)
         append_batch(step.rejects, corpus.rejects, batch)
-        append_batch(step.processed, corpus.done, batch)
+        append_batch(unseen(step.processed, done, ["ss_id"]), corpus.done, batch)
 
 
 def ingest_responses(

@@ -85,22 +85,22 @@ def unescape(text: Column) -> Column:
     return F.coalesce(resolved, text)
 
 
-def _found(text: Column, pattern: str, group: int) -> Column:
-    return F.when(F.regexp_like(text, F.lit(pattern)), F.regexp_extract(text, pattern, group))
+def _first(text: Column, pattern: str, group: int) -> Column:
+    return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))
 
 
 def element_text(page: Column, element: Selector) -> Column:
     """Stripped text of the first selected element; null if there is none or it holds no text."""
-    pattern = rf"(?s){start_tag(element)}(.*?)</(?i:{element.tag})\s*>"
-    inner = F.regexp_replace(_found(page, pattern, 1), r"(?s)<[^>]*>", "")
-    return F.when(inner != "", strip(unescape(inner)))
+    inner = _first(page, rf"(?s){start_tag(element)}(.*?)</(?i:{element.tag})\s*>", 1)
+    return strip(unescape(F.nullif(F.regexp_replace(inner, r"(?s)<[^>]*>", ""), F.lit(""))))
 
 
 def element_attribute(page: Column, element: Selector, name: str) -> Column:
     """An attribute of the first selected element; null if it has none."""
-    tag = _found(page, start_tag(element), 0)
-    pattern = rf"""(?is)\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
-    return unescape(F.regexp_replace(_found(tag, pattern, 1), r"""\A["']|["']\z""", ""))
+    quoted = _first(
+        _first(page, start_tag(element), 0), rf"""(?is)\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", 1
+    )
+    return unescape(F.regexp_replace(quoted, r"""\A["']|["']\z""", ""))
 
 
 def row_title(row: Column, title: Selector = TITLE) -> Column:

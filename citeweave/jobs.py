@@ -2,6 +2,7 @@
 
 A corpus is a folder with the tables ``papers``, ``edges``, ``done`` and ``rejects``. Jobs that
 write take a batch number: running a job again under the same number replaces what it wrote.
+``follow`` takes the first number of its micro-batches and needs all later ones for itself.
 """
 
 from __future__ import annotations
@@ -62,7 +63,14 @@ def run_follow(spark, args, staging):
     corpus.create(spark)
     terms = listed_terms(spark, args, staging)
     ingest_responses(
-        spark, args.responses, corpus, terms, args.hop, args.checkpoint, files_per_batch=args.files_per_batch
+        spark,
+        args.responses,
+        corpus,
+        terms,
+        args.hop,
+        args.checkpoint,
+        first_batch=args.batch,
+        files_per_batch=args.files_per_batch,
     ).awaitTermination()
 
 
@@ -109,6 +117,7 @@ def parser() -> argparse.ArgumentParser:
         sub = jobs.add_parser(name, help=run.__doc__)
         sub.set_defaults(run=run)
         sub.add_argument("--corpus", required=True)
+        sub.add_argument("--shuffle-partitions", help="about one per 128 MB of the largest shuffle")
         if terms:
             sub.add_argument("--terms", required=True, help="headerless CSV of search terms")
             sub.add_argument("--start", type=int, default=0)
@@ -129,7 +138,7 @@ def parser() -> argparse.ArgumentParser:
     expand.add_argument("--hop", type=int, default=0)
     expand.add_argument("--retry-failed", action="store_true")
 
-    follow = job("follow", run_follow, terms=True)
+    follow = job("follow", run_follow, terms=True, batch=True)
     follow.add_argument("--responses", required=True)
     follow.add_argument("--hop", type=int, default=0)
     follow.add_argument("--checkpoint", required=True)
@@ -151,7 +160,8 @@ def parser() -> argparse.ArgumentParser:
 
 def main(arguments: list[str] | None = None) -> None:
     args = parser().parse_args(arguments)
-    spark = build_session(f"citeweave {args.job}")
+    settings = {"spark.sql.shuffle.partitions": args.shuffle_partitions} if args.shuffle_partitions else {}
+    spark = build_session(f"citeweave {args.job}", **settings)
     with Staging(spark, args.job) as staging:
         args.run(spark, args, staging)
 

@@ -8,7 +8,7 @@ the list of neighbours; the first discovery of a paper gives its values.
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -164,16 +164,17 @@ def expand_hops(
 ) -> DataFrame:
     """All papers after up to ``hops`` hops, with the flags of the parents set.
 
-    Every hop is written before the next one starts, so no plan grows with the number of
-    hops. The loop ends early when a hop finds nothing.
+    Only what a hop adds is written, and the next hop reads it back: the papers known before
+    are never copied, and plans grow by one scan per hop. Flags are set once at the end, since
+    the parents of a hop are new papers of the hop before. The loop ends early when a hop
+    finds nothing.
     """
-    known = papers
+    known, processed = papers, []
     for hop in range(hops):
         step = EdgeHop(known, edges, terms, hop, staging, attributes=attributes)
         added = staging.write(step.papers, f"papers-{hop + 1}")
-        known = mark_processed(known, step.processed).unionByName(added)
-        if hop + 1 < hops:
-            if added.isEmpty():
-                break
-            known = staging.write(known, f"known-{hop + 1}")
-    return known
+        processed.append(step.processed)
+        known = known.unionByName(added)
+        if added.isEmpty():
+            break
+    return mark_processed(known, reduce(DataFrame.unionByName, processed)) if processed else known

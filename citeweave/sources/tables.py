@@ -16,7 +16,7 @@ from citeweave.schemas import EDGES, PAPERS
 SEED_BATCH = -1  # batch number of rows that were there before the first micro-batch
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
@@ -24,7 +24,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def create_if_absent(spark: SparkSession, path: str, schema: StructType) -> None:
     """Write an empty table unless there is one already."""
-    if not _exists(spark, path):
+    if not path_exists(spark, path):
         spark.createDataFrame([], schema).write.parquet(f"{path}/batch={SEED_BATCH}")
 
 
@@ -33,15 +33,24 @@ def append_batch(df: DataFrame, path: str, batch: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/batch={batch}")
 
 
+def _with_batch(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    with_batch = StructType(list(schema.fields)).add("batch", IntegerType())
+    return spark.read.schema(with_batch).option("basePath", path).parquet(path)
+
+
 def read_table(spark: SparkSession, path: str, schema: StructType, before: int | None = None) -> DataFrame:
     """All batches of a table, or only those below ``before``."""
-    with_batch = StructType(list(schema.fields)).add("batch", IntegerType())
-    table = spark.read.schema(with_batch).option("basePath", path).parquet(path)
+    table = _with_batch(spark, path, schema)
     if before is not None:
         table = table.filter(F.col("batch") < before)
     return table.drop("batch")
 
 
+def has_batch(spark: SparkSession, path: str, first: int) -> bool:
+    """Whether a table has rows in batch ``first`` or a later one."""
+    return not _with_batch(spark, path, StructType()).filter(F.col("batch") >= first).isEmpty()
+
+
 def read_papers(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
     return read_table(spark, path, PAPERS, before)
 

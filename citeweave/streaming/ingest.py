@@ -19,7 +19,16 @@ from pyspark.sql.types import StructType
 from citeweave.operators.upsert import first_discovery, mark_processed, matching, unseen
 from citeweave.plans.expand import ResponseHop
 from citeweave.schemas import EDGES, PAPERS, RESPONSES
-from citeweave.sources.tables import SEED_BATCH, append_batch, create_if_absent, read_edges, read_papers, read_table
+from citeweave.sources.tables import (
+    SEED_BATCH,
+    append_batch,
+    create_if_absent,
+    has_batch,
+    path_exists,
+    read_edges,
+    read_papers,
+    read_table,
+)
 from citeweave.staging import Staging
 
 PAIR = EDGES.fieldNames()
@@ -91,15 +100,24 @@ def ingest_responses(
     hop: int,
     checkpoint: str,
     *,
+    first_batch: int = 0,
     files_per_batch: int | None = None,
 ) -> StreamingQuery:
-    """Start ingesting everything landed so far; a later start goes on where this one ended."""
+    """Start ingesting everything landed so far; a later start goes on where this one ended.
+
+    Micro-batches are written as the batches from ``first_batch`` on, which must be free when
+    a checkpoint is first used.
+    """
+    if not path_exists(spark, checkpoint) and has_batch(spark, corpus.papers, first_batch):
+        raise ValueError(f"{corpus.papers} already has batches from {first_batch} on")
     reader = spark.readStream.schema(RESPONSES).format("parquet")
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return (
         reader.load(landing)
-        .writeStream.foreachBatch(lambda landed, batch: ingest_batch(corpus, terms, hop, landed, batch))
+        .writeStream.foreachBatch(
+            lambda landed, batch: ingest_batch(corpus, terms, hop, landed, first_batch + batch)
+        )
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -2,6 +2,8 @@
 
 import json
 
+import pytest
+
 from citeweave.jobs import parser
 from citeweave.schemas import RESPONSES, RESULT_PAGES
 from citeweave.sources.tables import read_edges, read_papers
@@ -64,4 +66,10 @@ def test_from_pages_to_a_copied_corpus(spark, frame, values, tmp_path, capsys):
     assert values(read_edges(spark, target.edges)) == [("a", "c"), ("a", "x"), ("a", "y")]
 
     frame([(2, "b", 0, 1, 200, body("citingPaper", "w"))], RESPONSES).write.parquet(str(tmp_path / "later"))
-    run(spark, "follow", *listed, "--end", 2, "--responses", tmp_path / "later", "--checkpoint", tmp_path / "progress")
+    follow = ["follow", *listed, "--end", 2, "--responses", tmp_path / "later", "--checkpoint", tmp_path / "progress", "--batch"]
+    with pytest.raises(ValueError, match="already has batches"):
+        run(spark, *follow, 0)
+    run(spark, *follow, 10)
+    run(spark, *follow, 10)
+    ids = read_papers(spark, corpus.papers).select("id", "ss_id")
+    assert values(ids) == [(1, "c"), (2, "b"), (3, "a"), (4, "x"), (5, "y"), (6, "w")]

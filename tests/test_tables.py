@@ -100,4 +100,4 @@ def test_staging_uses_the_shared_folder(spark, frame, values):
         joined = frame([(1,)], "a int").repartition(2).join(kept, "a")
         assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()
         root = staging.root
-    assert not tables._exists(spark, root)
+    assert not tables.path_exists(spark, root)

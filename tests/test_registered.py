@@ -28,6 +28,10 @@ def test_query_equals_sql(spark, duck, name):
     names = [column[0] for column in result.description]
     assert sorted(df.columns) == sorted(names)
     assert rows_of(df.columns, [tuple(row) for row in df.collect()]) == rows_of(names, result.fetchall())
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+        assert operator not in plan
+    assert "Window" not in plan or "SinglePartition" not in plan
 
 
 def test_entry(spark):

@@ -184,15 +184,13 @@ def link_rows(spark, sf):
     )
 
 
-@query(
-    "page_titles",
-    "SELECT page_id, "
-    + sql_strip(
-        "replace(replace(replace(replace(regexp_extract(html, '<h1>(.*?)</h1>', 1, 's'), '&quot;', '\"'), "
-        "'&middot;', chr(183)), '&copy;', chr(169)), '&amp;', '&')"
-    )
-    + " AS title FROM pages",
-)
+# Titles are cut off at a length, so their last entity may lack its semicolon.
+TITLE = r"regexp_extract(html, '<h1>(.*?)</h1>', 1, 's')"
+for entity, character in (("quot", "'\"'"), ("middot", "chr(183)"), ("copy", "chr(169)"), ("amp", "'&'")):
+    TITLE = f"regexp_replace({TITLE}, '&{entity};?', {character}, 'g')"
+
+
+@query("page_titles", f"SELECT page_id, {sql_strip(TITLE)} AS title FROM pages")
 def page_titles(spark, sf):
     title = element_text(F.col("html"), Selector("h1"))
     return tables.table(spark, sf, "pages").select("page_id", title.alias("title"))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeweave.functions.text import url_quote
-from citeweave.operators.report import processed_per_term
+from citeweave.operators.report import adjacency, adjacency_json, processed_per_term
 from citeweave.plans.collect import collect_pages
 from citeweave.plans.curate import PER_TERM, copy_seed, curate
 from citeweave.plans.validate import validate
@@ -103,6 +103,13 @@ def run_progress(spark, args, staging):
     processed_per_term(Corpus.below(args.corpus).read_papers(spark)).orderBy("search_term").show(args.rows, False)
 
 
+def run_dump(spark, args, staging):
+    """Every paper with its citations and references, as JSON lines."""
+    corpus = Corpus.below(args.corpus)
+    lists = adjacency(read_papers(spark, corpus.papers), read_edges(spark, corpus.edges), staging)
+    adjacency_json(lists).select("body").write.mode("overwrite").text(args.target)
+
+
 def run_validate(spark, args, staging):
     """Violations of every constraint."""
     corpus = Corpus.below(args.corpus)
@@ -154,6 +161,8 @@ def parser() -> argparse.ArgumentParser:
 
     progress = job("progress", run_progress)
     progress.add_argument("--rows", type=int, default=1000)
+    dump = job("dump", run_dump)
+    dump.add_argument("--target", required=True)
     job("validate", run_validate)
     return top
 

@@ -59,9 +59,26 @@ def discover(candidates: DataFrame, known: DataFrame, order_by: Sequence[str], s
     return assign_ids(fresh, [*order_by, "ss_id"], staging, after=highest_id(known))
 
 
+def numbered_rows(rows: DataFrame) -> DataFrame:
+    """Rows with a ``row_id`` that tells them apart once they are written."""
+    return rows.withColumn("row_id", F.monotonically_increasing_id())
+
+
+def pick_new_papers(staged: DataFrame, known: DataFrame, order_by: Sequence[str], staging: Staging) -> DataFrame:
+    """The rows an insert-or-ignore adds, out of written candidates with a ``row_id``.
+
+    Keys alone are grouped, compared with the known papers and numbered; titles and abstracts
+    move once, when the chosen rows are fetched.
+    """
+    keys = staged.select("ss_id", *order_by, "row_id")
+    chosen = discover(keys, known, order_by, staging).select("row_id", "id")
+    return as_papers(staged.join(chosen, "row_id"))
+
+
 def new_papers(candidates: DataFrame, known: DataFrame, order_by: Sequence[str], staging: Staging) -> DataFrame:
     """The rows an insert-or-ignore adds to the known papers; those keep every value they have."""
-    return as_papers(discover(insertable(candidates), known, order_by, staging))
+    staged = staging.write(numbered_rows(insertable(candidates)), "candidates")
+    return pick_new_papers(staged, known, order_by, staging)
 
 
 def as_papers(rows: DataFrame) -> DataFrame:

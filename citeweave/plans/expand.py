@@ -17,7 +17,7 @@ from citeweave.functions.payload import flatten_neighbours, parse_responses, rej
 from citeweave.operators.frontier import lookup_frontier
 from citeweave.operators.identity import dense_position
 from citeweave.operators.neighbours import as_edges, both_directions, neighbours
-from citeweave.operators.upsert import as_papers, discover, mark_processed, matching, new_edges, new_papers
+from citeweave.operators.upsert import as_papers, discover, mark_processed, matching, new_edges, numbered_rows, pick_new_papers
 from citeweave.schemas import NO_ABSTRACT, UNTITLED
 from citeweave.sources.terms import first_positions
 from citeweave.staging import Staging
@@ -125,12 +125,12 @@ class ResponseHop(Hop):
         ).join(self._frontier, "parent_ss_id")
         parent = ("term_pos", "parent_id", "parent_ss_id", "search_term")
         flat = flatten_neighbours(parse_responses(landed), *parent, reject_missing=reject_missing)
-        self._flat = staging.write(flat, f"neighbours-{hop}")
+        self._flat = staging.write(numbered_rows(flat), f"neighbours-{hop}")
 
     @cached_property
     def papers(self) -> DataFrame:
         found = valid_neighbours(self._flat).withColumn("num_hops", F.lit(self._hop + 1))
-        return new_papers(found.drop("parent_ss_id"), self._known, PAYLOAD_ORDER, self._staging)
+        return pick_new_papers(found, self._known, PAYLOAD_ORDER, self._staging)
 
     @cached_property
     def edges(self) -> DataFrame:
@@ -139,11 +139,12 @@ class ResponseHop(Hop):
 
     @cached_property
     def processed(self) -> DataFrame:
-        answered = self._responses.select("ss_id")
+        # A hub has many pages of look-ups, so its key is made single before the join.
+        answered = self._responses.select("ss_id").distinct()
         parents = self._frontier.select(F.col("parent_ss_id").alias("ss_id")).join(answered, "ss_id", "left_semi")
         if self._retry_failed:
             failed = self._responses.filter(~F.coalesce(F.col("status") == 200, F.lit(False)))
-            parents = parents.join(failed.select("ss_id"), "ss_id", "left_anti")
+            parents = parents.join(failed.select("ss_id").distinct(), "ss_id", "left_anti")
         return parents
 
     @cached_property

@@ -30,12 +30,20 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 class Staging:
-    """One run's folder of written tables below the shared folder."""
+    """One run's folder of written tables below the shared folder.
+
+    The folder goes away with ``release`` (or at the end of a ``with`` block), and at the
+    latest when the application ends.
+    """
 
     def __init__(self, spark: SparkSession, label: str = "run"):
         self.spark = spark
         self.root = f"{shared_folder(spark)}/citeweave/{label}-{uuid.uuid4().hex}"
         self._count = 0
+        self._folder = spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        self._files = self._folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self._files.mkdirs(self._folder)
+        self._files.deleteOnExit(self._folder)
 
     def path(self, name: str) -> str:
         """A path in this folder that no earlier call has returned."""
@@ -50,10 +58,7 @@ class Staging:
 
     def release(self) -> None:
         """Delete the folder once nothing reads from it any more."""
-        jvm = self.spark._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(self.root)
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        folder.getFileSystem(conf).delete(folder, True)
+        self._files.delete(self._folder, True)
 
     def __enter__(self) -> "Staging":
         return self

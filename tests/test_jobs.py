@@ -57,6 +57,11 @@ def test_from_pages_to_a_copied_corpus(spark, frame, values, tmp_path, capsys):
     run(spark, "validate", "--corpus", root)
     assert "edges ends are papers" in capsys.readouterr().out
 
+    run(spark, "dump", "--corpus", root, "--target", tmp_path / "dump")
+    dumped = {d["ss_id"]: d for d in map(json.loads, (r["value"] for r in spark.read.text(str(tmp_path / "dump")).collect()))}
+    assert dumped["a"] == {"ss_id": "a", "citations": [], "references": ["c", "x", "y"]}
+    assert set(dumped) == set("abcxy")
+
     run(spark, "curate", *listed, "--end", 2, "--curated", tmp_path / "curated", "--per-term", 1, "--batch", 0)
     assert values(read_papers(spark, str(tmp_path / "curated")).select("id", "ss_id")) == [(1, "c"), (2, "a")]
 

@@ -22,6 +22,12 @@ def test_terms_keep_file_order(spark, staging, values, tmp_path):
     assert values(slice_exclusive(terms, 0, 2).select("term_pos")) == [(0,), (1,)]
 
 
+def test_only_the_first_column_counts(spark, staging, values, tmp_path):
+    path = tmp_path / "terms.csv"
+    path.write_text("AI,x,y\n robots ,z\n")
+    assert values(read_terms(spark, str(path), staging)) == [(0, "AI"), (1, " robots ")]
+
+
 def test_terms_in_many_splits(spark, staging, tmp_path):
     """The order holds however the file is cut and the cuts are packed into tasks."""
     names = [f"term {i:05d} " + "x" * (i % 40) for i in range(5000)]

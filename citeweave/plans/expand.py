@@ -37,14 +37,17 @@ class Hop:
     processed: DataFrame
 
 
-def with_attributes(found: DataFrame, attributes: DataFrame | None) -> DataFrame:
-    """Title, abstract and url of discovered papers, with the defaults where nothing is known."""
+def with_attributes(found: DataFrame, attributes: DataFrame | None, staged: DataFrame) -> DataFrame:
+    """Title, abstract and url of discovered papers, with the defaults where nothing is known.
+
+    ``staged`` holds the keys of ``found`` as a written table.
+    """
     if attributes is None:
         missing = F.lit(None).cast("string")
         named = found.withColumns({"title": missing, "abstract": missing, "url": missing})
     else:
         fields = attributes.select("ss_id", "title", "abstract", "url")
-        named = found.join(matching(fields, found, ["ss_id"]), "ss_id", "left")
+        named = found.join(matching(fields, staged, ["ss_id"]), "ss_id", "left")
     return named.withColumns(
         {"title": F.coalesce("title", F.lit(UNTITLED)), "abstract": F.coalesce("abstract", F.lit(NO_ABSTRACT))}
     )
@@ -83,7 +86,7 @@ class EdgeHop(Hop):
         turns = self._frontier.select("turn", "search_term")
         placed = fresh.withColumn("turn", F.shiftright("discovery", 1)).join(turns, "turn")
         placed = placed.select("id", "ss_id", "search_term", F.lit(self._hop + 1).alias("num_hops"))
-        return as_papers(with_attributes(placed, self._attributes))
+        return as_papers(with_attributes(placed, self._attributes, fresh))
 
     @cached_property
     def edges(self) -> DataFrame:

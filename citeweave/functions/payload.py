@@ -43,10 +43,9 @@ def payload_problem(status: Column, body: Column, payload: Column) -> Column:
     )
 
 
-def text_or_missing(value: Column, key: str, missing: Column) -> Column:
-    """A text under ``key``: ``missing`` if the key is absent, null if its value is null."""
-    found = F.try_variant_get(value, key, "variant")
-    return F.when(found.isNull(), missing).otherwise(F.try_variant_get(value, key, "string"))
+def text_or_missing(found: Column, missing: Column) -> Column:
+    """Text of a looked-up value: ``missing`` if its key is absent, null if the value is null."""
+    return F.when(found.isNull(), missing).otherwise(F.try_variant_get(found, "$", "string"))
 
 
 def parse_responses(responses: DataFrame) -> DataFrame:
@@ -72,25 +71,31 @@ def flatten_neighbours(parsed: DataFrame, *carry: str, reject_missing: bool = Fa
     paper = F.when(F.col("direction") == CITATION, F.try_variant_get("item", CITING_KEY, "variant")).otherwise(
         F.try_variant_get("item", CITED_KEY, "variant")
     )
-    # An absent neighbour counts as an empty one, provided the item is an object at all.
+    place = [*carry, "direction", "page", "pos"]
+    keys = {"ss_id": "$.paperId", "title": "$.title", "abstract": "$.abstract"}
+    found = (
+        items.select(*place, "unreadable", "item", paper.alias("paper"))
+        .withColumns({f"_{name}": F.try_variant_get("paper", key, "variant") for name, key in keys.items()})
+        .withColumn("url", F.try_variant_get("paper", "$.url", "string"))
+    )
+    # An absent neighbour counts as an empty one, provided the item is an object at all. A
+    # paper in which a key was found is an object, so the kind is asked for only in doubt.
+    in_doubt = F.col("paper").isNotNull() & F.col("_ss_id").isNull() & F.col("_title").isNull()
     shape = (
         F.when(F.col("pos").isNull(), F.col("unreadable"))
         .when(F.col("paper").isNull() & ~_is_object(F.col("item")), F.lit("item is no object"))
         .when(F.is_variant_null("paper"), F.lit("null paper"))
-        .when(F.col("paper").isNotNull() & ~_is_object(F.col("paper")), F.lit("paper is no object"))
+        .when(in_doubt & ~_is_object(F.col("paper")), F.lit("paper is no object"))
     )
     absent = F.lit(None).cast("string")
     values = {
-        "ss_id": text_or_missing(F.col("paper"), "$.paperId", absent if reject_missing else F.lit(UNKNOWN_ID)),
-        "title": text_or_missing(F.col("paper"), "$.title", absent if reject_missing else F.lit(UNTITLED)),
-        "abstract": or_default(text_or_missing(F.col("paper"), "$.abstract", F.lit(NO_ABSTRACT)), "abstract"),
-        "url": F.try_variant_get("paper", "$.url", "string"),
+        "ss_id": text_or_missing(F.col("_ss_id"), absent if reject_missing else F.lit(UNKNOWN_ID)),
+        "title": text_or_missing(F.col("_title"), absent if reject_missing else F.lit(UNTITLED)),
+        "abstract": or_default(text_or_missing(F.col("_abstract"), F.lit(NO_ABSTRACT)), "abstract"),
+        "url": F.col("url"),
     }
-    place = [*carry, "direction", "page", "pos"]
-    fields = (
-        items.select(*place, "unreadable", "item", paper.alias("paper"))
-        .select(*place, "paper", shape.alias("shape"))
-        .select(*place, "shape", *[F.when(F.col("shape").isNull(), value).alias(name) for name, value in values.items()])
+    fields = found.withColumn("shape", shape).select(
+        *place, "shape", *[F.when(F.col("shape").isNull(), value).alias(name) for name, value in values.items()]
     )
     problem = (
         F.when(F.col("shape").isNotNull(), F.col("shape"))

@@ -104,9 +104,14 @@ def payload_defaults(spark, sf):
     return flat_neighbours(spark, sf).filter(F.col("pos").isNotNull())
 
 
+def written_neighbours(spark, sf):
+    """Written once, as in a hop: a filter on ``problem`` then reads a column and parses nothing again."""
+    return Staging(spark, "neighbours").write(flat_neighbours(spark, sf))
+
+
 @query("neighbours_valid", NEIGHBOURS + "SELECT * EXCLUDE (problem) FROM flat WHERE problem IS NULL")
 def neighbours_valid(spark, sf):
-    return valid_neighbours(flat_neighbours(spark, sf))
+    return valid_neighbours(written_neighbours(spark, sf))
 
 
 @query(
@@ -118,7 +123,7 @@ def neighbours_valid(spark, sf):
 )
 def neighbours_rejected(spark, sf):
     """Rejected items, and payloads without a readable list."""
-    return rejected_neighbours(flat_neighbours(spark, sf)).select("parent_id", "direction", "page", "pos", "problem")
+    return rejected_neighbours(written_neighbours(spark, sf)).select("parent_id", "direction", "page", "pos", "problem")
 
 
 LANDED_HOP = (

@@ -77,8 +77,9 @@ def pick_new_papers(staged: DataFrame, known: DataFrame, order_by: Sequence[str]
 
 def new_papers(candidates: DataFrame, known: DataFrame, order_by: Sequence[str], staging: Staging) -> DataFrame:
     """The rows an insert-or-ignore adds to the known papers; those keep every value they have."""
-    staged = staging.write(numbered_rows(insertable(candidates)), "candidates")
-    return pick_new_papers(staged, known, order_by, staging)
+    # Filtered after writing: a filter before would work out its columns a second time.
+    staged = staging.write(numbered_rows(candidates), "candidates")
+    return pick_new_papers(insertable(staged), known, order_by, staging)
 
 
 def as_papers(rows: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,16 +17,20 @@ from citeweave.staging import Staging
 PAGE_ORDER = ("term_pos", "page", "item")
 
 
-def result_rows(pages: DataFrame, base_url: str) -> DataFrame:
+def result_rows(pages: DataFrame, base_url: str, carry: Sequence[str] = ("term", "page")) -> DataFrame:
     """Title, id, abstract and address of every result; the id is null where it cannot be read."""
-    return page_rows(pages, carry=("term", "page")).select(
-        "term",
-        "page",
-        "item",
-        row_title(F.col("row_html")).alias("title"),
-        row_ident(F.col("row_html")).alias("ss_id"),
-        row_abstract(F.col("row_html")).alias("abstract"),
-    ).withColumn("url", item_url(base_url, F.col("ss_id")))
+    row = F.col("row_html")
+    return (
+        page_rows(pages, carry=carry)
+        .select(
+            *carry,
+            "item",
+            row_title(row).alias("title"),
+            row_ident(row).alias("ss_id"),
+            row_abstract(row).alias("abstract"),
+        )
+        .withColumn("url", item_url(base_url, F.col("ss_id")))
+    )
 
 
 def collect_pages(
@@ -38,12 +44,12 @@ def collect_pages(
 ) -> DataFrame:
     """The seed papers that stored pages add to the known ones.
 
-    ``pages.term`` is the quoted term. ``resume`` names the term, page and item last done.
+    ``pages.term`` is the quoted term; pages of terms that are not listed are not read further.
+    ``resume`` names the term, page and item last done.
     """
-    rows = result_rows(pages, base_url)
+    named = pages.withColumn("search_term", url_unquote(F.col("term")))
+    listed = named.join(first_positions(terms).withColumnRenamed("term", "search_term"), "search_term")
+    rows = result_rows(listed, base_url, ("term", "search_term", "term_pos", "page"))
     if resume is not None:
         rows = resume_after(rows, *resume)
-    placed = rows.withColumn("search_term", url_unquote(F.col("term"))).drop("term").join(
-        first_positions(terms).withColumnRenamed("term", "search_term"), "search_term"
-    )
-    return new_papers(placed.withColumn("num_hops", F.lit(0)), known, PAGE_ORDER, staging)
+    return new_papers(rows.drop("term").withColumn("num_hops", F.lit(0)), known, PAGE_ORDER, staging)

@@ -3,7 +3,8 @@
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from workload.registry import ORACLES, QUERIES
 from check import TABLES, rows_of
 
 SF = "/root/testdata/sf0.001"
@@ -18,13 +19,13 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    df = queries()[name](spark, SF)
-    result = duck.execute(oracle_sql()[name])
+    df = QUERIES[name](spark, SF)
+    result = duck.execute(ORACLES[name])
     names = [column[0] for column in result.description]
     assert sorted(df.columns) == sorted(names)
     assert rows_of(df.columns, [tuple(row) for row in df.collect()]) == rows_of(names, result.fetchall())

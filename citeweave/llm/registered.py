@@ -5,11 +5,44 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeweave.llm import line_dedup, secrets
+from citeweave.llm import language, line_dedup, packing, secrets, simhash, token_counts
 from citeweave.llm.common import documents
 from citeweave.staging import Staging
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and of its edited text; class_id and n_links come from the block tables.
+
+    class_id is the smallest doc_id with an equal fingerprint, n_links the number of other documents
+    whose fingerprints differ in at most 3 of 64 bits.
+    """
+    staging = Staging(spark, "simhash")
+    marks = staging.write(simhash.fingerprint_documents(documents(spark, sf_dir).select("doc_id", "text")), "marks")
+    prints = marks.select("doc_id", F.col("own").alias("fingerprint"))
+    near = simhash.neighbour_counts(prints, staging)
+    classes = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("class_id"))
+    links = staging.write(near.join(classes, "fingerprint"), "links").withColumnRenamed("fingerprint", "own")
+    return marks.join(links, "own").select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        simhash.as_text(F.col("own")).alias("fingerprint"),
+        simhash.as_text(F.col("edited")).alias("edited_fingerprint"),
+        simhash.likeness(F.col("own"), F.col("edited")).alias("near_edited"),
+        simhash.likeness(F.col("own"), F.coalesce("following", "own")).alias("near_next"),
+        "class_id",
+        (F.col("docs") - 1 + F.col("near")).alias("n_links"),
+    )
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from three quarters of the labelled ones."""
+    docs = documents(spark, sf_dir).withColumn("held_out", language.held_out("doc_id"))
+    model = language.train(docs.where(~F.col("held_out")))
+    found = language.predict(docs.select("doc_id", "held_out", "text"), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score", F.array_join("languages", ",").alias("languages"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of 40 code points and more in at least 5 documents stay in the largest doc_id only."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
@@ -82,7 +115,26 @@ FROM raw LEFT JOIN joined USING (rid)
 """
 )
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in pieces whose lengths are powers of two, each a sequence of its own."""
+    cut = packing.pieces(documents(spark, sf_dir)).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    numbered = packing.number_sequences(cut, Staging(spark, "packing"))
+    return numbered.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document, through a cache that is new with each call, so that all texts are misses."""
+    staging = Staging(spark, "token-counts")
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    counted = token_counts.count_tokens(docs, staging.path("cache"), staging)
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
+
+
 QUERIES = {
+    "op2_simhash": op2_simhash,
+    "op6_language_id": op6_language_id,
+    "op9_packing": op9_packing,
+    "op10_token_counts": op10_token_counts,
     "op5_line_dedup": op5_line_dedup,
     "op8_secret_scan": op8_secret_scan,
 }

@@ -62,7 +62,8 @@ def drop_repeated_lines(docs: DataFrame, staging: Staging, min_chars: int = 40,
     """``docs`` with ``text`` cleaned, and new columns ``n_lines`` (before) and ``n_dropped``."""
     gone = repeated_lines(docs, staging, min_chars, min_docs).withColumnRenamed("doc_id", "_doc").withColumnRenamed("gone", "_gone")
     gone = staging.write(gone, "lines-to-drop")
-    joined = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_doc")), "left")
+    # The same join at every size: texts always move once, whether or not the other side is small.
+    joined = docs.join(gone.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_doc")), "left")
     every = lines_of(F.col("text"))
     kept = F.filter(every, lambda line: ~F.coalesce(F.array_contains(F.col("_gone"), key_hash(line, min_chars)), F.lit(False)))
     text = F.coalesce(F.col("text"), F.lit(""))

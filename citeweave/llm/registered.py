@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeweave.llm import language, line_dedup, packing, secrets, simhash, token_counts
+from citeweave.llm import language, line_dedup, minhash, packing, secrets, simhash, token_counts
 from citeweave.llm.common import documents
 from citeweave.staging import Staging
 
@@ -115,6 +115,11 @@ FROM raw LEFT JOIN joined USING (rid)
 """
 )
 
+def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of four-word runs have a similarity of 0.8 or more."""
+    return minhash.near_duplicates(documents(spark, sf_dir), Staging(spark, "minhash"), words=4, percent=80)
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in pieces whose lengths are powers of two, each a sequence of its own."""
     cut = packing.pieces(documents(spark, sf_dir)).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
@@ -133,6 +138,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_simhash": op2_simhash,
     "op6_language_id": op6_language_id,
+    "op7_minhash_dedup": op7_minhash_dedup,
     "op9_packing": op9_packing,
     "op10_token_counts": op10_token_counts,
     "op5_line_dedup": op5_line_dedup,

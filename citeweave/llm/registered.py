@@ -5,11 +5,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeweave.llm import language, line_dedup, minhash, packing, secrets, simhash, token_counts
+from citeweave.llm import embedding_dedup, language, line_dedup, minhash, packing, secrets, simhash, token_counts
 from citeweave.llm.common import documents
 from citeweave.staging import Staging
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of vectors linked by a cosine of 0.9 or more."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return embedding_dedup.near_duplicates(vectors, Staging(spark, "embeddings"))
+
+
+OP1_SQL = """
+WITH RECURSIVE sound AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.9),
+reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+parts AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+degrees AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM parts LEFT JOIN degrees USING (vec_id)
+"""
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text and of its edited text; class_id and n_links come from the block tables.
 
@@ -136,6 +159,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_embedding_dedup": op1_embedding_dedup,
     "op2_simhash": op2_simhash,
     "op6_language_id": op6_language_id,
     "op7_minhash_dedup": op7_minhash_dedup,
@@ -144,7 +168,7 @@ QUERIES = {
     "op5_line_dedup": op5_line_dedup,
     "op8_secret_scan": op8_secret_scan,
 }
-ORACLES = {"op5_line_dedup": OP5_SQL, "op8_secret_scan": OP8_SQL}
+ORACLES = {"op1_embedding_dedup": OP1_SQL, "op5_line_dedup": OP5_SQL, "op8_secret_scan": OP8_SQL}
 
 
 def queries():

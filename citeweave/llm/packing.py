@@ -22,7 +22,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from citeweave.llm.word_tokens import in_portions, word_tokens
+from citeweave.llm.piece_cache import in_portions
+from citeweave.llm.word_tokens import word_tokens
 from citeweave.staging import Staging
 
 VOCABULARY = "word_bpe_49k.json"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeweave.llm import embedding_dedup, language, line_dedup, minhash, packing, secrets, simhash, token_counts
+from citeweave.llm import embedding_dedup, language, line_dedup, minhash, packing, secrets, sentence_pieces, simhash, token_counts
 from citeweave.llm.common import documents
 from citeweave.staging import Staging
 
@@ -66,6 +66,17 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", F.array_join("languages", ",").alias("languages"))
 
 
+def op4_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sentencepiece ids of every document with the end id, and the text they decode to, as digests."""
+    found = sentence_pieces.encode_and_decode(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of 40 code points and more in at least 5 documents stay in the largest doc_id only."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
@@ -165,6 +176,7 @@ QUERIES = {
     "op7_minhash_dedup": op7_minhash_dedup,
     "op9_packing": op9_packing,
     "op10_token_counts": op10_token_counts,
+    "op4_sentence_pieces": op4_sentence_pieces,
     "op5_line_dedup": op5_line_dedup,
     "op8_secret_scan": op8_secret_scan,
 }

@@ -19,7 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeweave.llm.word_tokens import in_portions, vocabulary_path, word_tokens
+from citeweave.llm.piece_cache import in_portions
+from citeweave.llm.word_tokens import vocabulary_path, word_tokens
 from citeweave.staging import Staging
 
 VOCABULARY = "word_bpe_49k.json"

@@ -17,8 +17,7 @@ from itertools import chain
 
 import numpy as np
 
-#: Pieces kept per worker; beyond that the cache starts anew. It bounds memory, not results.
-KEPT_PIECES = 400_000
+from citeweave.llm.piece_cache import PieceCache
 
 # Normalisation and splitting of the vocabulary files for which the short way is right.
 _NORMALIZER = {
@@ -58,20 +57,12 @@ class WordTokens:
         splits = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
         self.short_way = spec.get("normalizer") == _NORMALIZER and splits[0].get("pattern") == {"Regex": _SPLIT}
         self.special = [token["content"] for token in spec.get("added_tokens", [])]
-        self.numbers: dict[str, int] = {}
-        self._forget()
+        self.cache = PieceCache(self._learn)
 
-    def _forget(self) -> None:
-        self.numbers.clear()
-        self.flat = np.zeros(0, np.uint32)
-        self.starts = np.zeros(1, np.int64)
-
-    def _learn(self, pieces: list[str]) -> None:
+    def _learn(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids = [encoding.ids for encoding in self.library.encode_batch_fast(pieces, add_special_tokens=False)]
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        self.numbers.update(zip(pieces, range(len(self.numbers), len(self.numbers) + len(pieces)), strict=True))
-        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))])
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+        return np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())), sizes
 
     def pieces(self, text: str) -> list[str] | None:
         """The pieces of a text that can take the short way, else None."""
@@ -79,36 +70,18 @@ class WordTokens:
             return None
         return _PIECE.findall(text.lower())
 
-    def _prepare(self, texts: list[str]) -> list[list[str] | None]:
+    def _split(self, texts: list[str]) -> list[list[str] | None]:
         found = [self.pieces(text) for text in texts]
-        unknown = set().union(*(x for x in found if x is not None)).difference(self.numbers)
-        if unknown and len(self.numbers) + len(unknown) > KEPT_PIECES:
-            self._forget()
-            unknown = set().union(*(x for x in found if x is not None))
-        if unknown:
-            self._learn(sorted(unknown))
+        self.cache.prepare(x for x in found if x is not None)
         return found
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        found = self._prepare(texts)
-        return [self._ids(pieces) if pieces is not None else self._whole(text) for text, pieces in zip(texts, found, strict=True)]
+        found = self._split(texts)
+        return [self.cache.ids(x) if x is not None else self._whole(text) for text, x in zip(texts, found, strict=True)]
 
     def count(self, texts: list[str]) -> list[int]:
-        found = self._prepare(texts)
-        sizes = np.diff(self.starts)
-        return [
-            int(sizes[self._at(pieces)].sum()) if pieces is not None else len(self._whole(text))
-            for text, pieces in zip(texts, found, strict=True)
-        ]
-
-    def _at(self, pieces: list[str]) -> np.ndarray:
-        return np.fromiter(map(self.numbers.__getitem__, pieces), np.int64, len(pieces))
-
-    def _ids(self, pieces: list[str]) -> np.ndarray:
-        at = self._at(pieces)
-        begin, size = self.starts[at], self.starts[at + 1] - self.starts[at]
-        out = np.cumsum(size) - size
-        return self.flat[np.repeat(begin - out, size) + np.arange(int(size.sum()))]
+        found = self._split(texts)
+        return [self.cache.size(x) if x is not None else len(self._whole(text)) for text, x in zip(texts, found, strict=True)]
 
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
@@ -119,15 +92,3 @@ def word_tokens(name_or_path: str) -> WordTokens:
     """One encoder per vocabulary file and Python worker."""
     return WordTokens(vocabulary_path(name_or_path))
 
-
-def in_portions(texts: list[str], most_chars: int = 2_000_000) -> list[list[str]]:
-    """Texts in runs of bounded size; a text that is longer by itself makes its own run."""
-    runs: list[list[str]] = []
-    size = most_chars
-    for text in texts:
-        if size + len(text) > most_chars:
-            runs.append([])
-            size = 0
-        runs[-1].append(text)
-        size += len(text)
-    return runs

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeweave.llm import embedding_dedup, language, line_dedup, minhash, packing, secrets, sentence_pieces, simhash, token_counts
+from citeweave.llm import embedding_dedup, kd_shards, language, line_dedup, minhash, packing, secrets, sentence_pieces, simhash, token_counts
 from citeweave.llm.common import documents
 from citeweave.staging import Staging
 
@@ -66,6 +66,14 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", F.array_join("languages", ",").alias("languages"))
 
 
+def op3_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 40 shards of near equal bytes."""
+    placed = kd_shards.kd_shards(documents(spark, sf_dir), Staging(spark, "shards"), shards=40)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 def op4_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sentencepiece ids of every document with the end id, and the text they decode to, as digests."""
     found = sentence_pieces.encode_and_decode(documents(spark, sf_dir).select("doc_id", "text"))
@@ -176,6 +184,7 @@ QUERIES = {
     "op7_minhash_dedup": op7_minhash_dedup,
     "op9_packing": op9_packing,
     "op10_token_counts": op10_token_counts,
+    "op3_kd_shards": op3_kd_shards,
     "op4_sentence_pieces": op4_sentence_pieces,
     "op5_line_dedup": op5_line_dedup,
     "op8_secret_scan": op8_secret_scan,

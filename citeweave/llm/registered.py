@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from citeweave.llm import embedding_dedup, kd_shards, language, line_dedup, minhash, packing, secrets, sentence_pieces, simhash, token_counts
 from citeweave.llm.common import documents
 from citeweave.staging import Staging
@@ -177,7 +178,13 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages of corpus_pipeline.py over all documents; ids as their CRC beside their bytes."""
+    return corpus_pipeline.run(spark, sf_dir).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 QUERIES = {
+    "pipeline": pipeline,
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_simhash": op2_simhash,
     "op6_language_id": op6_language_id,

@@ -55,9 +55,9 @@ class PieceCache:
 def in_portions(texts: list[str], most_chars: int = 2_000_000) -> list[list[str]]:
     """Texts in runs of bounded size; a text that is longer by itself makes its own run."""
     runs: list[list[str]] = []
-    size = most_chars
+    size = 0
     for text in texts:
-        if size + len(text) > most_chars:
+        if not runs or size + len(text) > most_chars:
             runs.append([])
             size = 0
         runs[-1].append(text)

@@ -120,7 +120,7 @@ def scan_unseen(versions: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...]
 def scan_versions(versions: DataFrame, ledger_folder: str, staging: Staging, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``versions`` with a column ``spans``: array of (start, rank, kind, end), ordered by start and kind.
 
-    ``rank`` is the place of the kind in ``rules``. ``versions`` needs a column ``text``.
+    ``rank`` is the place of the kind in ``rules``, from 1. ``versions`` needs a column ``text``.
     """
     spark = versions.sparkSession
     scan_unseen(versions, read_ledger(spark, ledger_folder), rules).write.mode("append").parquet(ledger_folder)

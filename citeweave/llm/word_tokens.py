@@ -13,7 +13,6 @@ import json
 import os
 import re
 from functools import cache
-from itertools import chain
 
 import numpy as np
 
@@ -57,12 +56,17 @@ class WordTokens:
         splits = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
         self.short_way = spec.get("normalizer") == _NORMALIZER and splits[0].get("pattern") == {"Regex": _SPLIT}
         self.special = [token["content"] for token in spec.get("added_tokens", [])]
-        self.cache = PieceCache(self._learn)
+        self.cache = PieceCache(self._learn, room=800_000)
 
     def _learn(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids = [encoding.ids for encoding in self.library.encode_batch_fast(pieces, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        return np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())), sizes
+        # Pieces hold no white space, so a line of them splits into just them again.
+        ids, sizes = [], []
+        for at in range(0, len(pieces), 1000):
+            some = pieces[at : at + 1000]
+            found = self.library.encode(" ".join(some), add_special_tokens=False)
+            ids.append(np.array(found.ids, np.uint32))
+            sizes.append(np.bincount(np.array(found.word_ids, np.int64), minlength=len(some)))
+        return np.concatenate(ids), np.concatenate(sizes)
 
     def pieces(self, text: str) -> list[str] | None:
         """The pieces of a text that can take the short way, else None."""

@@ -20,8 +20,8 @@ def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP1_SQL = """
 WITH RECURSIVE sound AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 links AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.9),
 reach AS (

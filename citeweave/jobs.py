@@ -1,6 +1,6 @@
 """The jobs as commands: ``spark-submit citeweave/jobs.py <job> ...`` or ``python -m citeweave.jobs <job> ...``.
 
-A corpus is a folder with the tables ``papers``, ``edges``, ``done`` and ``rejects``. Jobs that
+A corpus is a folder with the tables ``papers``, ``edges``, ``done``, ``rejects`` and ``page_rejects``. Jobs that
 write take a batch number: running a job again under the same number replaces what it wrote.
 ``follow`` takes the first number of its micro-batches and needs all later ones for itself.
 """
@@ -10,20 +10,20 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from citeweave.functions.text import url_quote
-from citeweave.operators.report import adjacency, adjacency_json, processed_per_term
+from citeweave.operators.report import collated, collated_json, newly_fetched, processed_per_term
+from citeweave.operators.upsert import new_edges, unseen, upgrade_edges, upgrade_papers
 from citeweave.plans.collect import collect_pages
-from citeweave.plans.curate import PER_TERM, copy_seed, curate
+from citeweave.plans.curate import PER_TERM, copy_seed, curate, curated_edges
+from citeweave.plans.expand import expand_hops
 from citeweave.plans.validate import validate
-from citeweave.schemas import PAPERS, PAPERS_CURATED
+from citeweave.schemas import LEGACY_EDGES, LEGACY_PAPERS, PAPERS, PAPERS_CURATED
 from citeweave.session import build_session
 from citeweave.sources.landed import scan_responses, scan_result_pages
 from citeweave.sources.tables import append_batch, create_if_absent, read_edges, read_papers, read_table
 from citeweave.sources.terms import first_positions, read_terms, slice_exclusive, slice_inclusive
 from citeweave.staging import Staging
-from citeweave.streaming.ingest import Corpus, ingest_batch, ingest_responses
+from citeweave.streaming.ingest import DONE, Corpus, ingest_batch, ingest_responses
 
 
 def listed_terms(spark: SparkSession, args: argparse.Namespace, staging: Staging) -> DataFrame:
@@ -39,13 +39,12 @@ def run_collect(spark, args, staging):
     known = read_papers(spark, corpus.papers, before=args.batch)
     resume = None
     if args.resume:
-        # The stop names a plain term, the pages hold quoted ones.
         term, page, item = args.resume
-        quoted = spark.range(1).select(url_quote(F.lit(term)).alias("term")).first()["term"]
-        resume = (quoted, int(page), int(item))
+        resume = (term, int(page), int(item))
     pages = scan_result_pages(spark, args.pages)
-    fresh = collect_pages(pages, listed_terms(spark, args, staging), known, args.base_url, staging, resume=resume)
+    fresh, rejects = collect_pages(pages, listed_terms(spark, args, staging), known, args.base_url, staging, resume=resume)
     append_batch(fresh, corpus.papers, args.batch)
+    append_batch(rejects, corpus.page_rejects, args.batch)
 
 
 def run_expand(spark, args, staging):
@@ -92,6 +91,7 @@ def run_copy(spark, args, staging):
         read_edges(spark, source.edges),
         read_papers(spark, target.papers, before=args.batch),
         read_edges(spark, target.edges, before=args.batch),
+        staging,
         both_ends=args.both_ends,
     )
     append_batch(papers.select(*PAPERS.fieldNames()), target.papers, args.batch)
@@ -99,21 +99,56 @@ def run_copy(spark, args, staging):
 
 
 def run_progress(spark, args, staging):
-    """Processed papers per term."""
-    processed_per_term(Corpus.below(args.corpus).read_papers(spark)).orderBy("search_term").show(args.rows, False)
+    """Processed papers per term, as CSV in the order of the terms."""
+    counts = processed_per_term(Corpus.below(args.corpus).read_papers(spark)).orderBy("search_term")
+    counts.write.mode("overwrite").option("header", True).csv(args.target)
+
+
+def run_fetched(spark, args, staging):
+    """Ids of the papers that still have to be looked up."""
+    newly_fetched(Corpus.below(args.corpus).read_papers(spark)).write.mode("overwrite").parquet(args.target)
 
 
 def run_dump(spark, args, staging):
-    """Every paper with its citations and references, as JSON lines."""
+    """Every paper with its citations and references, one JSON line for each neighbour."""
     corpus = Corpus.below(args.corpus)
-    lists = adjacency(read_papers(spark, corpus.papers), read_edges(spark, corpus.edges), staging)
-    adjacency_json(lists).select("body").write.mode("overwrite").text(args.target)
+    rows = collated(read_papers(spark, corpus.papers), read_edges(spark, corpus.edges), staging)
+    collated_json(rows).select("body").write.mode("overwrite").text(args.target)
+
+
+def run_grow(spark, args, staging):
+    """Hops over the edge table of another corpus, up to the given number, into this one."""
+    corpus, source = Corpus.below(args.corpus), Corpus.below(args.source)
+    corpus.create(spark)
+    known = corpus.read_papers(spark, before=args.batch)
+    attributes = read_papers(spark, source.papers)
+    terms = listed_terms(spark, args, staging)
+    links = staging.write(read_edges(spark, source.edges), "links")
+    grown, met = expand_hops(known, links, terms, args.hops, staging, attributes=attributes)
+    append_batch(grown.join(known.select("ss_id"), "ss_id", "left_anti").select(*PAPERS.fieldNames()), corpus.papers, args.batch)
+    append_batch(new_edges(met, read_edges(spark, corpus.edges, before=args.batch)), corpus.edges, args.batch)
+    flags = grown.filter("is_processed").select("ss_id")
+    append_batch(unseen(flags, read_table(spark, corpus.done, DONE, before=args.batch), ["ss_id"]), corpus.done, args.batch)
+
+
+def run_curated_edges(spark, args, staging):
+    """The edges whose both ends are curated papers."""
+    curated = read_table(spark, args.curated, PAPERS_CURATED)
+    edges = curated_edges(read_edges(spark, Corpus.below(args.corpus).edges), curated)
+    edges.write.mode("overwrite").parquet(args.target)
+
+
+def run_upgrade(spark, args, staging):
+    """Papers and edges of the former layout to tables of the present one."""
+    upgrade_papers(spark.read.schema(LEGACY_PAPERS).parquet(f"{args.corpus}/papers")).write.mode("overwrite").parquet(f"{args.target}/papers")
+    upgrade_edges(spark.read.schema(LEGACY_EDGES).parquet(f"{args.corpus}/edges")).write.mode("overwrite").parquet(f"{args.target}/edges")
 
 
 def run_validate(spark, args, staging):
-    """Violations of every constraint."""
+    """Violations of every constraint, as CSV."""
     corpus = Corpus.below(args.corpus)
-    validate(read_papers(spark, corpus.papers), read_edges(spark, corpus.edges), staging).show(100, False)
+    report = validate(read_papers(spark, corpus.papers), read_edges(spark, corpus.edges), staging)
+    report.write.mode("overwrite").option("header", True).csv(args.target)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -159,11 +194,15 @@ def parser() -> argparse.ArgumentParser:
     copy.add_argument("--target", required=True)
     copy.add_argument("--both-ends", action="store_true")
 
-    progress = job("progress", run_progress)
-    progress.add_argument("--rows", type=int, default=1000)
-    dump = job("dump", run_dump)
-    dump.add_argument("--target", required=True)
-    job("validate", run_validate)
+    grow = job("grow", run_grow, terms=True, batch=True)
+    grow.add_argument("--source", required=True, help="corpus whose papers and edges are known")
+    grow.add_argument("--hops", type=int, default=1)
+
+    between = job("curated-edges", run_curated_edges)
+    between.add_argument("--curated", required=True)
+    written = [("progress", run_progress), ("fetched", run_fetched), ("dump", run_dump), ("validate", run_validate), ("upgrade", run_upgrade)]
+    for sub in (between, *[job(name, run) for name, run in written]):
+        sub.add_argument("--target", required=True)
     return top
 
 

@@ -36,17 +36,19 @@ def missing_papers(edges: DataFrame, papers: DataFrame, staging: Staging) -> Dat
 
 
 def flag_orphans(edges: DataFrame, papers: DataFrame, staging: Staging) -> DataFrame:
-    """Edges with ``orphan``: whether one of their ends is no paper."""
+    """Edges with ``orphan``: whether one of their ends is no paper; a null end is none."""
     missing = missing_papers(edges, papers, staging)
     source = missing.withColumn("no_source", F.lit(True))
     target = missing.select(F.col("ss_id").alias("reference_id"), F.lit(True).alias("no_target"))
+    null_end = F.col("ss_id").isNull() | F.col("reference_id").isNull()
+    orphan = F.coalesce("no_source", "no_target", null_end)
     return (
         edges.join(source, "ss_id", "left")
         .join(target, "reference_id", "left")
-        .select("ss_id", "reference_id", F.coalesce("no_source", "no_target", F.lit(False)).alias("orphan"))
+        .select("ss_id", "reference_id", orphan.alias("orphan"))
     )
 
 
 def orphan_edges(edges: DataFrame, papers: DataFrame, staging: Staging) -> DataFrame:
-    """Edges with an end that is no paper."""
+    """Edges with an end that is no paper, or null."""
     return flag_orphans(edges, papers, staging).filter("orphan").drop("orphan")

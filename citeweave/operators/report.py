@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citeweave.operators.frontier import unprocessed
+from citeweave.operators.identity import dense_position
 from citeweave.operators.neighbours import both_directions
-from citeweave.schemas import CITATION, REFERENCE
 from citeweave.staging import Staging
 
 BATCH_SIZE = 300
-CHUNK_ROWS = 10_000
+SHARE_ROWS = 1_000
 
 
 def processed_per_term(papers: DataFrame) -> DataFrame:
@@ -39,41 +39,45 @@ def latest_per_key(rows: DataFrame, key: str, version: str) -> DataFrame:
     return rows.groupBy(key).agg(latest).select("latest.*")
 
 
-def adjacency(papers: DataFrame, edges: DataFrame, staging: Staging, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """Per paper its citations and references as sorted lists of keys.
+def collated(papers: DataFrame, edges: DataFrame, staging: Staging) -> DataFrame:
+    """One row per paper, direction and place: the neighbours of every paper with what is known of them.
 
-    A paper with up to ``chunk_rows`` neighbours is one row, with ``chunk`` 0. One with more
-    is spread over as many rows as that takes, each with its share of the neighbours, so no
-    list grows with the fame of a paper; taken together the rows hold every neighbour.
+    ``place`` counts from 0 in the order of the neighbours' keys. Every neighbour is a row, however many
+    a paper has; a paper without neighbours has one row with a null direction. Neighbours that
+    are no papers of the corpus have null fields. Places come from a sort by ranges in which a hub
+    fills as many ranges as it needs, and from the first position of each paper and direction.
     """
     links = both_directions(edges).withColumnRenamed("parent_ss_id", "paper")
-    degrees = staging.write(links.groupBy("paper").agg(F.count("*").alias("degree")), "degrees")
-    # At most one hub per chunk_rows links; written, so its size decides how it is joined.
-    hubs = staging.write(
-        degrees.filter(F.col("degree") > chunk_rows).select(
-            "paper", F.ceil(F.col("degree") / chunk_rows).cast("int").alias("chunks")
-        ),
-        "hubs",
-    )
-    share = F.pmod(F.xxhash64("ss_id", "direction"), F.col("chunks")).cast("int")
-    lists = (
-        links.join(hubs, "paper", "left")
-        .withColumn("chunk", F.coalesce(share, F.lit(0)))
-        .groupBy(F.col("paper").alias("ss_id"), "chunk")
-        .agg(_keys_of(CITATION).alias("citations"), _keys_of(REFERENCE).alias("references"))
+    placed = dense_position(links, ["paper", "direction", "ss_id"], staging, column="position")
+    first = placed.groupBy("paper", "direction").agg(F.min("position").alias("first"))
+    placed = placed.join(first, ["paper", "direction"]).select(
+        "paper", "direction", (F.col("position") - F.col("first")).alias("place"), F.col("ss_id").alias("neighbour")
     )
+    known = papers.select(F.col("ss_id").alias("neighbour"), "title", "abstract", "url")
+    # Written, so that what is grouped from it is dealt anew and not by the keys of a join.
+    fields = staging.write(placed.join(known, "neighbour", "left"), "collated")
     named = papers.select("id", "ss_id")
-    none = F.array().cast("array<string>")
-    alone = named.join(degrees.select(F.col("paper").alias("ss_id")), "ss_id", "left_anti").select(
-        "id", "ss_id", F.lit(0).alias("chunk"), none.alias("citations"), none.alias("references")
+    return named.join(fields.withColumnRenamed("paper", "ss_id"), "ss_id", "left").select(
+        "id", "ss_id", "direction", "place", "neighbour", "title", "abstract", "url"
     )
-    return lists.join(named, "ss_id").select(*alone.columns).unionByName(alone)
 
 
-def _keys_of(direction: int) -> Column:
-    return F.sort_array(F.collect_list(F.when(F.col("direction") == direction, F.col("ss_id"))))
+def collated_json(rows: DataFrame) -> DataFrame:
+    """Each collated row as one JSON text; null fields are left out."""
+    neighbour = F.when(F.col("neighbour").isNotNull(), F.struct(F.col("neighbour").alias("ss_id"), "title", "abstract", "url"))
+    body = F.to_json(F.struct("ss_id", "direction", "place", neighbour.alias("neighbour")))
+    return rows.select("id", "direction", "place", body.alias("body"))
+
 
+def adjacency(rows: DataFrame, staging: Staging, share: int = SHARE_ROWS) -> DataFrame:
+    """Collated rows as lists: one row per paper, direction and ``share`` of places, in order.
 
-def adjacency_json(lists: DataFrame) -> DataFrame:
-    """The collated lists as one JSON text per row."""
-    return lists.select("id", "chunk", F.to_json(F.struct("ss_id", "citations", "references")).alias("body"))
+    The grain is the same for every paper, and no list is longer than ``share``. Each share is
+    grouped by itself, so the lists of a hub are built by many tasks.
+    """
+    stored = staging.write(rows.where("direction IS NOT NULL"), "rows")
+    neighbour = F.struct("place", F.col("neighbour").alias("ss_id"), "title", "abstract", "url")
+    return (
+        stored.groupBy("id", "ss_id", "direction", F.floor(F.col("place") / share).alias("part"))
+        .agg(F.sort_array(F.collect_list(neighbour)).alias("neighbours"))
+    )

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citeweave.operators.checks import flag_orphans
+from citeweave.operators.checks import flag_orphans, repeated_keys
 from citeweave.operators.identity import assign_ids, highest_id
 from citeweave.schemas import LEGACY_EDGES, LEGACY_PAPERS, NO_ABSTRACT, PAPERS
 from citeweave.staging import Staging
@@ -96,7 +96,7 @@ def new_edges(candidates: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def split_by_ends(edges: DataFrame, papers: DataFrame, staging: Staging) -> tuple[DataFrame, DataFrame]:
-    """``(sound, orphaned)``: edges whose both ends are papers, and the others."""
+    """``(sound, orphaned)``: edges whose both ends are papers, and the others, null ends among them."""
     flagged = flag_orphans(edges, papers, staging)
     return flagged.filter(~F.col("orphan")).drop("orphan"), flagged.filter("orphan").drop("orphan")
 
@@ -109,7 +109,9 @@ def mark_processed(papers: DataFrame, done: DataFrame) -> DataFrame:
 
 
 def append_checked(rows: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows for a plain append; raises if one of their keys is taken in the target."""
+    """Rows for a plain append; raises if one of their keys comes twice or is taken in the target."""
+    if not repeated_keys(rows, keys).isEmpty():
+        raise ValueError(f"rows repeat their {', '.join(keys)}")
     taken = rows.join(target.select(*keys), list(keys), "left_semi")
     if not taken.isEmpty():
         raise ValueError(f"rows with {', '.join(keys)} already in the target")

@@ -17,7 +17,7 @@ from citeweave.functions.payload import flatten_neighbours, parse_responses, rej
 from citeweave.operators.frontier import lookup_frontier
 from citeweave.operators.identity import dense_position
 from citeweave.operators.neighbours import as_edges, both_directions, neighbours
-from citeweave.operators.upsert import as_papers, discover, mark_processed, matching, new_edges, numbered_rows, pick_new_papers
+from citeweave.operators.upsert import as_papers, discover, first_discovery, mark_processed, matching, new_edges, numbered_rows, pick_new_papers
 from citeweave.schemas import NO_ABSTRACT, UNTITLED
 from citeweave.sources.terms import first_positions
 from citeweave.staging import Staging
@@ -47,7 +47,9 @@ def with_attributes(found: DataFrame, attributes: DataFrame | None, staged: Data
         named = found.withColumns({"title": missing, "abstract": missing, "url": missing})
     else:
         fields = attributes.select("ss_id", "title", "abstract", "url")
-        named = found.join(matching(fields, staged, ["ss_id"]), "ss_id", "left")
+        # A key that comes twice counts with its smallest values, so no paper is doubled.
+        single = first_discovery(matching(fields, staged, ["ss_id"]), "ss_id", ("title", "abstract", "url"))
+        named = found.join(single, "ss_id", "left")
     return named.withColumns(
         {"title": F.coalesce("title", F.lit(UNTITLED)), "abstract": F.coalesce("abstract", F.lit(NO_ABSTRACT))}
     )
@@ -165,8 +167,8 @@ def expand_hops(
     staging: Staging,
     *,
     attributes: DataFrame | None = None,
-) -> DataFrame:
-    """All papers after up to ``hops`` hops, with the flags of the parents set.
+) -> tuple[DataFrame, DataFrame]:
+    """All papers after up to ``hops`` hops, with the flags of the parents set, and the edges met.
 
     Only what a hop adds is written, and the next hop reads it back: the papers known before
     are never copied, and plans grow by one scan per hop. Flags are set once at the end, since
@@ -174,11 +176,14 @@ def expand_hops(
     finds nothing.
     """
     known, processed = papers, []
+    met = staging.write(edges.select("ss_id", "reference_id").limit(0), "no-edges")
     for hop in range(hops):
         step = EdgeHop(known, edges, terms, hop, staging, attributes=attributes)
         added = staging.write(step.papers, f"papers-{hop + 1}")
         processed.append(step.processed)
+        # A hop inserts its edges whether or not they lead to a new paper.
+        met = met.unionByName(staging.write(new_edges(step.edges, met), f"edges-{hop + 1}"))
         known = known.unionByName(added)
         if added.isEmpty():
             break
-    return mark_processed(known, reduce(DataFrame.unionByName, processed)) if processed else known
+    return mark_processed(known, reduce(DataFrame.unionByName, processed)) if processed else known, met

@@ -43,10 +43,11 @@ class Corpus:
     edges: str
     done: str
     rejects: str
+    page_rejects: str
 
     @classmethod
     def below(cls, root: str) -> "Corpus":
-        return cls(f"{root}/papers", f"{root}/edges", f"{root}/done", f"{root}/rejects")
+        return cls(*[f"{root}/{name}" for name in ("papers", "edges", "done", "rejects", "page_rejects")])
 
     def create(self, spark: SparkSession) -> None:
         create_if_absent(spark, self.papers, PAPERS)

@@ -36,8 +36,11 @@ def test_edge_hops_equal_the_sequential_run(frame, values, staging, seed):
     attributes = frame([(n, *a) for n, a in about.items()], "ss_id string, title string, abstract string, url string")
     # Rows in any order and partitioning give the same result.
     known = frame(seeds, PAPERS).repartition(3).orderBy(F.rand(seed))
-    grown = expand_hops(known, frame(edges, EDGES).repartition(5), term_list(frame), 2, staging, attributes=attributes)
+    # A key that comes twice among the attributes makes no second paper.
+    twice = attributes.union(attributes.withColumn("title", F.concat("title", F.lit("~"))))
+    grown, met = expand_hops(known, frame(edges, EDGES).repartition(5), term_list(frame), 2, staging, attributes=twice)
     assert values(grown) == model.rows()
+    assert values(met) == sorted(model.edges, key=repr)
 
 
 @pytest.mark.parametrize("seed", [4, 5])
@@ -100,21 +103,22 @@ def test_failed_look_ups(frame, values, staging):
     assert values(later.processed) == [("b",)]
 
 
-def test_adjacency_splits_hubs_and_keeps_every_neighbour(frame, staging):
+def test_collated_rows_keep_every_neighbour(frame, staging):
     seeds, edges, _ = random_corpus(7, edges=220)
     papers = frame(seeds, PAPERS)
-    rows = report.adjacency(papers, frame(edges, EDGES), staging, chunk_rows=5).collect()
-    found = {}
-    for row in rows:
-        assert row["citations"] == sorted(row["citations"])
-        citations, references = found.setdefault(row["ss_id"], ([], []))
-        citations += row["citations"]
-        references += row["references"]
-    assert len({(r["ss_id"], r["chunk"]) for r in rows}) == len(rows)
-    assert sum(r["ss_id"] == "n0" for r in rows) > 3
+    rows = report.collated(papers, frame(edges, EDGES), staging)
+    found, titles = {}, {s[1]: s[2] for s in seeds}
+    for row in sorted(rows.collect(), key=lambda r: (r["ss_id"], r["direction"] or 0, r["place"] or 0)):
+        lists = found.setdefault(row["ss_id"], ([], []))
+        if row["direction"] is not None:
+            assert row["place"] == len(lists[row["direction"]]) and row["title"] == titles.get(row["neighbour"])
+            lists[row["direction"]].append(row["neighbour"])
     assert set(found) == {s[1] for s in seeds}
     for key, (citations, references) in found.items():
-        assert sorted(citations) == sorted(a for a, b in edges if b == key)
-        assert sorted(references) == sorted(b for a, b in edges if a == key)
-    whole = report.adjacency_json(report.adjacency(papers, frame(edges, EDGES), staging))
-    assert whole.count() == len(seeds)
+        assert citations == sorted(a for a, b in edges if b == key)
+        assert references == sorted(b for a, b in edges if a == key)
+    parts = report.adjacency(rows, staging, share=5).collect()
+    assert len({(r["ss_id"], r["direction"], r["part"]) for r in parts}) == len(parts)
+    assert all(len(r["neighbours"]) <= 5 and r["neighbours"][0]["place"] == 5 * r["part"] for r in parts)
+    assert sum(len(r["neighbours"]) for r in parts) == rows.filter("direction IS NOT NULL").count()
+    assert report.collated_json(rows).count() == rows.count()

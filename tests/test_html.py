@@ -61,11 +61,13 @@ def test_collect_inserts_or_ignores(frame, spark, staging):
     pages = frame([("deep%20nets", 1, PAGE), ("graphs", 1, PAGE)], "term string, page long, html string")
     terms = frame([(0, "graphs"), (1, "deep nets")], "term_pos long, term string")
     known = frame([(7, "link-1", "kept", "kept", "old", 0, None, True)], PAPERS)
-    rows = collect_pages(pages, terms, known, "/paper/", staging).orderBy("id").collect()
+    fresh, rejects = collect_pages(pages, terms, known, "/paper/", staging)
+    rows = fresh.orderBy("id").collect()
     assert [(r["id"], r["ss_id"], r["search_term"], r["url"], r["num_hops"], r["is_processed"]) for r in rows] == [
         (8, "2", "graphs", "/paper/2", 0, False),
         (9, "No ID available", "graphs", "/paper/No ID available", 0, False),
     ]
-    resumed = collect_pages(pages, terms, known, "/paper/", staging, resume=("graphs", 1, 1)).orderBy("id").collect()
+    assert all(r["problem"] == "no id" for r in rejects.collect())
+    resumed = collect_pages(pages, terms, known, "/paper/", staging, resume=("graphs", 1, 1))[0].orderBy("id").collect()
     assert [(r["ss_id"], r["search_term"]) for r in resumed] == [("No ID available", "graphs"), ("2", "deep nets")]
     assert result_rows(pages, "/p/").count() == 10

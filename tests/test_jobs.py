@@ -3,9 +3,10 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from citeweave.jobs import parser
-from citeweave.schemas import RESPONSES, RESULT_PAGES
+from citeweave.schemas import LEGACY_EDGES, LEGACY_PAPERS, RESPONSES, RESULT_PAGES
 from citeweave.sources.tables import read_edges, read_papers
 from citeweave.staging import Staging
 from citeweave.streaming.ingest import Corpus
@@ -21,7 +22,15 @@ def row(key, title):
     return f'<div class="cl-paper-row"><h2 class="cl-paper-title" id="paper-{key}">{title}</h2></div>'
 
 
-def test_from_pages_to_a_copied_corpus(spark, frame, values, tmp_path, capsys):
+def test_upgrade(spark, frame, values, tmp_path):
+    frame([(1, "a", "c1", "T", "who", "2020", "x", "t", 0, "/u")], LEGACY_PAPERS).write.parquet(str(tmp_path / "old/papers"))
+    frame([("a", "b")], LEGACY_EDGES).write.parquet(str(tmp_path / "old/edges"))
+    run(spark, "upgrade", "--corpus", tmp_path / "old", "--target", tmp_path / "new")
+    assert values(spark.read.parquet(str(tmp_path / "new/papers"))) == [(1, "a", "T", "x", "t", 0, "/u", False, False)]
+    assert values(spark.read.parquet(str(tmp_path / "new/edges"))) == [("a", "b")]
+
+
+def test_from_pages_to_a_copied_corpus(spark, frame, values, tmp_path):
     root = tmp_path / "corpus"
     (tmp_path / "terms.csv").write_text("deep nets\ngraphs\nlogic\n")
     pages = [("graphs", 1, row("b", "B") + row("a", "A")), ("deep%20nets", 1, row("c", "C") + row("b", "again")), ("logic", 1, row("z", "Z"))]
@@ -51,20 +60,38 @@ def test_from_pages_to_a_copied_corpus(spark, frame, values, tmp_path, capsys):
     assert values(grown) == [(4, "x", "deep nets"), (5, "y", "graphs")]
     assert values(read_edges(spark, corpus.edges)) == [("a", "c"), ("a", "x"), ("a", "y"), ("x", "c")]
 
-    run(spark, "progress", "--corpus", root)
-    shown = capsys.readouterr().out
-    assert "deep nets" in shown and "graphs" in shown
-    run(spark, "validate", "--corpus", root)
-    assert "edges ends are papers" in capsys.readouterr().out
+    run(spark, "progress", "--corpus", root, "--target", tmp_path / "counts")
+    counts = spark.read.option("header", True).csv(str(tmp_path / "counts"))
+    assert values(counts) == [("deep nets", "2"), ("graphs", "1")]
+    run(spark, "validate", "--corpus", root, "--target", tmp_path / "violations")
+    assert spark.read.option("header", True).csv(str(tmp_path / "violations")).filter("violations > 0").isEmpty()
+    run(spark, "fetched", "--corpus", root, "--target", tmp_path / "waiting")
+    assert values(spark.read.parquet(str(tmp_path / "waiting"))) == [(4,), (5,)]
 
     run(spark, "dump", "--corpus", root, "--target", tmp_path / "dump")
-    dumped = {d["ss_id"]: d for d in map(json.loads, (r["value"] for r in spark.read.text(str(tmp_path / "dump")).collect()))}
-    assert dumped["a"] == {"ss_id": "a", "citations": [], "references": ["c", "x", "y"]}
-    assert set(dumped) == set("abcxy")
+    dumped = [json.loads(r["value"]) for r in spark.read.text(str(tmp_path / "dump")).collect()]
+    of = lambda key: [(d["direction"], d["place"], d["neighbour"]["ss_id"]) for d in dumped if d["ss_id"] == key]
+    assert sorted(of("a")) == [(1, 0, "c"), (1, 1, "x"), (1, 2, "y")]
+    assert {d["ss_id"] for d in dumped} == set("abcxy")
+    assert {"ss_id": "b"} in dumped
+
+    grow = ["grow", "--terms", tmp_path / "terms.csv", "--end", 2, "--corpus", tmp_path / "grown", "--source", root, "--batch", 1]
+    grown_to = Corpus.below(str(tmp_path / "grown"))
+    grown_to.create(spark)
+    grown_to.seed(read_papers(spark, corpus.papers).filter("num_hops = 0").withColumn("is_processed", F.lit(False)))
+    run(spark, *grow)
+    run(spark, *grow)
+    assert values(grown_to.read_papers(spark).select("id", "ss_id", "title", "is_processed")) == [
+        (1, "c", "C", True), (2, "b", "again", True), (3, "a", "A", True), (4, "x", "X", False), (5, "y", "Y", False)
+    ]
+    assert values(read_edges(spark, grown_to.edges)) == [("a", "c"), ("a", "x"), ("a", "y"), ("x", "c")]
 
     run(spark, "curate", *listed, "--end", 2, "--curated", tmp_path / "curated", "--per-term", 1, "--batch", 0)
     assert values(read_papers(spark, str(tmp_path / "curated")).select("id", "ss_id")) == [(1, "c"), (2, "a")]
 
+    run(spark, "curated-edges", "--corpus", root, "--curated", tmp_path / "curated", "--target", tmp_path / "between")
+    assert values(spark.read.parquet(str(tmp_path / "between"))) == [("a", "c")]
+
     run(spark, "copy", "--corpus", root, "--target", tmp_path / "target", "--batch", 0)
     target = Corpus.below(str(tmp_path / "target"))
     assert values(read_papers(spark, target.papers).select("ss_id", "is_processed")) == [("a", True), ("b", True), ("c", True)]

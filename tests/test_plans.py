@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from citeweave.operators import checks, neighbours, subset, upsert
 from citeweave.operators.frontier import papers_by_term
-from citeweave.operators.report import adjacency
+from citeweave.operators.ranking import top_n_per_group
+from citeweave.operators.report import adjacency, collated
 from citeweave.sources.tables import read_by_hop, write_by_hop
 from workload import tables
 
@@ -95,11 +96,23 @@ def test_orphans_around_a_hub(eager_skew, hub_edges, hub_papers, staging):
     assert "SortMergeJoin(skew=true)" in plan_of(orphans)
 
 
-def test_hub_lists_stay_short(eager_skew, hub_edges, hub_papers, staging):
-    lists = adjacency(hub_papers, hub_edges, staging, chunk_rows=500)
-    sizes = lists.select("ss_id", (F.size("citations") + F.size("references")).alias("n"))
+def test_the_lists_of_a_hub_are_built_by_many_tasks(eager_skew, hub_edges, hub_papers, staging):
+    texts = hub_papers.withColumns({name: F.col("ss_id") for name in ("title", "abstract", "url")})
+    lists = adjacency(collated(texts, hub_edges, staging), staging, share=500)
+    tasks = staging.write(lists.withColumn("task", F.spark_partition_id()), "lists")
+    sizes = tasks.select("ss_id", "task", F.size("neighbours").alias("n"))
     assert sizes.agg(F.sum("n")).first()[0] == 120_000
-    assert sizes.agg(F.max("n")).first()[0] < 1000
+    assert sizes.agg(F.max("n")).first()[0] <= 500
+    assert sizes.filter("ss_id = 'n0'").select("task").distinct().count() > 4
+
+
+def test_a_hot_term_is_ranked_by_many_tasks(eager_skew, hub_papers, frame, staging):
+    terms = frame([(0, "t"), (1, "u")], "term_pos long, term string").repartition(2)
+    joined = papers_by_term(hub_papers, terms)
+    ranked = top_n_per_group(joined, "search_term", "id", 20)
+    assert sorted(r["id"] for r in ranked.collect()) == list(range(20))
+    plan = plan_of(ranked)
+    assert "_share" in plan and "REPARTITION" in plan and "SortMergeJoin(skew=true)" in plan
 
 
 def test_first_discovery_shrinks_before_the_shuffle(spark, hub_edges):

@@ -133,8 +133,9 @@ def resume_after(spark, sf):
     WHERE place <= 50""",
 )
 def topn_per_term(spark, sf):
-    terms = tables.part_terms(spark, sf, Staging(spark, "topn"))
-    return top_papers_per_term(tables.part_papers(spark, sf), terms).drop("id", "term_pos")
+    staging = Staging(spark, "topn")
+    terms = tables.part_terms(spark, sf, staging)
+    return top_papers_per_term(tables.part_papers(spark, sf), terms, staging).drop("id", "term_pos")
 
 
 PICKED = """, picked AS (
@@ -279,12 +280,13 @@ def idents(spark, sf):
 
 @query(
     "abstract_defaulted",
-    """SELECT id, coalesce(nullif(split_part(abstract, chr(10), 2), ''), 'No abstract available') AS abstract
+    """SELECT id, coalesce(nullif(CASE WHEN is_processed THEN abstract WHEN NOT is_processed THEN '' END, ''), 'No abstract available') AS abstract
     FROM d_papers""",
 )
 def abstract_defaulted(spark, sf):
-    second = F.split_part("abstract", F.lit("\n"), F.lit(2))
-    return tables.document_papers(spark, sf).select("id", or_default(second, "abstract").alias("abstract"))
+    """Whole texts; those of unprocessed papers are emptied, those without a flag are null."""
+    text = F.when(F.col("is_processed"), F.col("abstract")).when(~F.col("is_processed"), "")
+    return tables.document_papers(spark, sf).select("id", or_default(text, "abstract").alias("abstract"))
 
 
 @query("json_field", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events")

@@ -122,9 +122,10 @@ def edges_curated(spark, sf):
 
 def copied(spark, sf, which):
     """Both copies, appended to another folder and read back from there."""
-    target = Staging(spark, "copy").root
+    staging = Staging(spark, "copy")
+    target = staging.root
     edges = spark.createDataFrame([], EDGES)
-    rows = copy_seed(all_papers(spark, sf), tables.part_edges(spark, sf), tables.no_papers(spark), edges)
+    rows = copy_seed(all_papers(spark, sf), tables.part_edges(spark, sf), tables.no_papers(spark), edges, staging)
     names = ("papers", "references")
     rows[which].write.mode("append").parquet(f"{target}/{names[which]}")
     return scan_table(spark, names[which], folder=target)
@@ -265,6 +266,30 @@ def insert_or_ignore_edges(spark, sf):
     return sound
 
 
+@query(
+    "edges_orphaned",
+    SOME_PAPERS
+    + """SELECT DISTINCT ss_id, CASE WHEN l_linestatus = 'F' THEN NULL ELSE reference_id END AS reference_id FROM raw_edges
+    WHERE ss_id NOT IN (SELECT ss_id FROM some_papers) OR reference_id NOT IN (SELECT ss_id FROM some_papers) OR l_linestatus = 'F'""",
+)
+def edges_orphaned(spark, sf):
+    """Edges that may not be inserted: an end is no paper, or missing."""
+    staging = Staging(spark, "orphaned")
+    cited = F.when(F.col("l_linestatus") != "F", F.col("reference_id"))
+    edges = staging.write(tables.raw_edges(spark, sf).select("ss_id", cited.alias("reference_id")).distinct(), "edges")
+    return upsert.split_by_ends(edges, papers_with_gaps(spark, sf), staging)[1]
+
+
+@query("newly_fetched", "SELECT id FROM d_papers WHERE NOT coalesce(is_processed, false)")
+def newly_fetched(spark, sf):
+    return report.newly_fetched(tables.document_papers(spark, sf))
+
+
+@query("schema_upgrade_edges", "SELECT ss_id, reference_id FROM raw_edges")
+def schema_upgrade_edges(spark, sf):
+    return upsert.upgrade_edges(tables.raw_edges(spark, sf).withColumnRenamed("ss_id", "paper_id"))
+
+
 @query(
     "mark_processed",
     """SELECT id, ss_id, search_term, CASE WHEN id IN (SELECT doc_id FROM labels WHERE toxic = 1) THEN true
@@ -299,42 +324,51 @@ def schema_upgrade(spark, sf):
 
 # --- collated lists ----------------------------------------------------------------------
 
-LISTS = """, lists AS (
-  SELECT p.id, p.ss_id, CAST(0 AS INT) AS chunk, count(e.ss_id) AS n_citations,
-         coalesce(string_agg(e.ss_id, '{sep}' ORDER BY e.ss_id), '') AS citations
-  FROM g_papers p LEFT JOIN g_edges e ON e.reference_id = p.ss_id GROUP BY p.id, p.ss_id)
+COLLATED = ALL_PAPERS.rstrip() + """, links AS (
+  SELECT reference_id AS ss_id, CAST(0 AS INT) AS direction, ss_id AS neighbour FROM g_edges
+  UNION ALL SELECT ss_id, CAST(1 AS INT), reference_id FROM g_edges),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY ss_id, direction ORDER BY neighbour) - 1 AS place FROM links),
+rows AS (
+  SELECT p.id, p.ss_id, l.direction, l.place, l.neighbour, n.title, n.abstract, n.url
+  FROM k_papers p LEFT JOIN placed l ON l.ss_id = p.ss_id LEFT JOIN k_papers n ON n.ss_id = l.neighbour)
 """
 
 
-def collated(spark, sf):
-    staging = Staging(spark, "lists")
+def collated(spark, sf, staging):
+    """Orders with the parts they cite and parts with the orders that cite them."""
     edges = staging.write(tables.part_edges(spark, sf), "edges")
-    return report.adjacency(tables.part_papers(spark, sf), edges, staging)
+    return report.collated(all_papers(spark, sf), edges, staging)
+
+
+@query("collated_rows", COLLATED + "SELECT * FROM rows")
+def collated_rows(spark, sf):
+    return collated(spark, sf, Staging(spark, "collated"))
 
 
 @query(
     "adjacency_nested",
-    LISTS.format(sep=",") + "SELECT id, ss_id, chunk, n_citations, citations, CAST(0 AS BIGINT) AS n_references FROM lists",
+    COLLATED
+    + """SELECT id, ss_id, direction, place // 1000 AS part, count(*) AS n, string_agg(neighbour, ',' ORDER BY place) AS neighbours,
+      string_agg(title, ',' ORDER BY place) AS titles, string_agg(url, ',' ORDER BY place) AS urls
+    FROM rows WHERE direction IS NOT NULL GROUP BY id, ss_id, direction, place // 1000""",
 )
 def adjacency_nested(spark, sf):
-    return collated(spark, sf).select(
-        "id",
-        "ss_id",
-        "chunk",
-        F.size("citations").cast("long").alias("n_citations"),
-        F.array_join("citations", ",").alias("citations"),
-        F.size("references").cast("long").alias("n_references"),
-    )
+    staging = Staging(spark, "lists")
+    lists = report.adjacency(collated(spark, sf, staging), staging)
+    joined = [F.array_join(f"neighbours.{field}", ",").alias(name) for field, name in (("ss_id", "neighbours"), ("title", "titles"), ("url", "urls"))]
+    return lists.select("id", "ss_id", "direction", "part", F.size("neighbours").cast("long").alias("n"), *joined)
 
 
 @query(
     "adjacency_json",
-    LISTS.format(sep='","')
-    + """SELECT id, chunk, concat('{"ss_id":"', ss_id, '","citations":[', CASE WHEN citations = '' THEN '' ELSE concat('"', citations, '"') END,
-      '],"references":[]}') AS body FROM lists""",
+    COLLATED
+    + """SELECT id, direction, place, CASE WHEN direction IS NULL THEN concat('{"ss_id":"', ss_id, '"}') ELSE
+      concat('{"ss_id":"', ss_id, '","direction":', CAST(direction AS VARCHAR), ',"place":', CAST(place AS VARCHAR), ',"neighbour":{"ss_id":"', neighbour,
+             '","title":"', title, '","abstract":"', abstract, '","url":"', url, '"}}') END AS body FROM rows""",
 )
 def adjacency_json(spark, sf):
-    return report.adjacency_json(collated(spark, sf))
+    return report.collated_json(collated(spark, sf, Staging(spark, "json")))
 
 
 # --- expansion ---------------------------------------------------------------------------
@@ -373,11 +407,12 @@ def expand_hop1_edges(spark, sf):
     return hop_one(spark, sf).edges
 
 
-@query(
-    "expand_hop2_papers",
-    """, seeds AS (
-      SELECT p.*, t.term_pos FROM g_papers p JOIN g_terms t ON p.search_term = t.term WHERE t.term_pos BETWEEN 0 AND 2)"""
-    + FIRST_HOP.format(rows=IN_ROWS + " AND t.term_pos BETWEEN 0 AND 2", seeds="seeds").rstrip()
+# All terms but the last one: its papers have to be found anew, else hop 2 would add nothing.
+SECOND_HOP = (
+    """, listed AS (SELECT * FROM g_terms WHERE term_pos < (SELECT max(term_pos) FROM g_terms)),
+    seeds AS (
+      SELECT p.*, t.term_pos FROM g_papers p JOIN listed t ON p.search_term = t.term)"""
+    + FIRST_HOP.format(rows=IN_ROWS + " AND t.term_pos < (SELECT max(term_pos) FROM g_terms)", seeds="seeds").rstrip()
     + """, cand2 AS (
       SELECT t.term_pos, h.id AS parent_id, e.reference_id AS ss_id, h.search_term,
              row_number() OVER (PARTITION BY e.reference_id ORDER BY t.term_pos, h.id) AS place
@@ -387,17 +422,43 @@ def expand_hop1_edges(spark, sf):
              c.ss_id, p.title, p.abstract, c.search_term, CAST(2 AS INT) AS num_hops, p.url, false AS is_processed
       FROM cand2 c JOIN g_papers p ON p.ss_id = c.ss_id
       WHERE c.place = 1 AND c.ss_id NOT IN (SELECT ss_id FROM seeds))
-    SELECT id, ss_id, title, abstract, search_term, num_hops, url, true AS is_processed FROM seeds
-    UNION ALL SELECT id, ss_id, title, abstract, search_term, num_hops, url, true FROM hop1
-    UNION ALL SELECT * FROM hop2""",
+"""
 )
-def expand_hop2_papers(spark, sf):
-    """Two hops from the papers of the first three terms; every paper outside is found anew."""
+
+
+def two_hops(spark, sf):
+    """Two hops from the papers of all terms but the last; the papers of that are found anew."""
     staging = Staging(spark, "hops")
     parts = tables.part_papers(spark, sf)
-    terms = staging.write(slice_inclusive(tables.part_terms(spark, sf, staging), 0, 2), "terms")
+    terms = tables.part_terms(spark, sf, staging)
+    last = terms.agg(F.max("term_pos")).first()[0] or 0
+    terms = staging.write(slice_inclusive(terms, 0, last - 1), "terms")
     seeds = parts.join(terms.select(F.col("term").alias("search_term")), "search_term", "left_semi")
     columns = ["ss_id", "title", "abstract", "url"]
     attributes = parts.select(*columns).unionByName(tables.order_papers(spark, sf).select(*columns))
     edges = staging.write(tables.part_edges(spark, sf), "edges")
     return expand_hops(seeds.select(*PAPERS.fieldNames()), edges, terms, 2, staging, attributes=attributes)
+
+
+@query(
+    "expand_hop2_papers",
+    SECOND_HOP
+    + """
+    SELECT id, ss_id, title, abstract, search_term, num_hops, url, true AS is_processed FROM seeds
+    UNION ALL SELECT id, ss_id, title, abstract, search_term, num_hops, url, true FROM hop1
+    UNION ALL SELECT * FROM hop2""",
+)
+def expand_hop2_papers(spark, sf):
+    return two_hops(spark, sf)[0]
+
+
+@query(
+    "expand_hop2_edges",
+    SECOND_HOP
+    + """
+    SELECT e.ss_id, e.reference_id FROM g_edges e
+    WHERE e.reference_id IN (SELECT ss_id FROM seeds WHERE NOT is_processed) OR e.ss_id IN (SELECT ss_id FROM hop1)""",
+)
+def expand_hop2_edges(spark, sf):
+    """The edges that both hops met, each once."""
+    return two_hops(spark, sf)[1]

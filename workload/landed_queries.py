@@ -12,7 +12,7 @@ from citeweave.functions.payload import (
     rejected_neighbours,
     valid_neighbours,
 )
-from citeweave.plans.collect import collect_pages
+from citeweave.plans.collect import collect_pages, listed_rows, rejected_results
 from citeweave.plans.expand import ResponseHop
 from citeweave.sources.landed import scan_responses, scan_result_pages
 from citeweave.staging import Staging
@@ -174,8 +174,8 @@ def expand_responses_edges(spark, sf):
     "page_rows",
     r"""SELECT page_id, CAST(i - 1 AS INT) AS item, regexp_extract(links[i], 'href="([^"]*)"', 1) AS href,
       regexp_extract(links[i], '>([^<]*)</a>', 1) AS label
-    FROM (SELECT page_id, regexp_extract_all(html, '<li><a href="[^"]*">[^<]*</a></li>') AS links FROM pages) p,
-         generate_series(1, 1000) s(i) WHERE i <= len(links)""",
+    FROM (SELECT page_id, links, unnest(generate_series(1, len(links))) AS i
+          FROM (SELECT page_id, regexp_extract_all(html, '<li><a href="[^"]*">[^<]*</a></li>') AS links FROM pages) p) r""",
 )
 def link_rows(spark, sf):
     """The navigation entries of every page, in order."""
@@ -207,7 +207,7 @@ EXPANDED = f"""CASE lang WHEN 'en' THEN {sql_strip("text")} WHEN 'es' THEN NULL
 RESULTS = f""", results AS (
   SELECT doc_id, source, doc_id // 10 AS page,
          CAST(row_number() OVER (PARTITION BY source, doc_id // 10 ORDER BY doc_id) - 1 AS INT) AS item,
-         {sql_strip("split_part(text, chr(10), 1)")} AS title, {EXPANDED} AS opened
+         {sql_strip("split_part(text, chr(10), 1)")} AS title, {EXPANDED} AS opened, n_chars % 11 <> 0 AS readable
   FROM documents)
 """
 
@@ -230,13 +230,27 @@ def page_expanded_text(spark, sf):
     + f"""SELECT CAST(row_number() OVER (ORDER BY t.term_pos, page, item) AS BIGINT) AS id, concat('D', CAST(doc_id AS VARCHAR)) AS ss_id,
       title, coalesce({sql_clean("opened", "Abstract", "Collapse")}, 'No abstract available') AS abstract, source AS search_term,
       CAST(0 AS INT) AS num_hops, concat('{BASE_URL}', 'D', CAST(doc_id AS VARCHAR)) AS url, false AS is_processed
-    FROM results r JOIN d_terms t ON r.source = t.term""",
+    FROM results r JOIN d_terms t ON r.source = t.term WHERE readable""",
 )
 def collected_pages(spark, sf):
     staging = Staging(spark, "collect")
     pages = stored_pages(spark, sf, staging)
     terms = tables.document_terms(spark, sf, staging)
-    return collect_pages(pages, terms, tables.no_papers(spark), BASE_URL, staging)
+    return collect_pages(pages, terms, tables.no_papers(spark), BASE_URL, staging)[0]
+
+
+@query(
+    "collect_rejects",
+    RESULTS
+    + """SELECT source AS search_term, page, item, 'no id' AS problem FROM results
+    WHERE NOT readable AND (source <> 'src8' OR page > 20 OR (page = 20 AND item > 4))""",
+)
+def collect_rejects(spark, sf):
+    """Results without a readable id, of a run that goes on after a stop."""
+    staging = Staging(spark, "rejects")
+    terms = tables.document_terms(spark, sf, staging)
+    rows = listed_rows(stored_pages(spark, sf, staging), terms, BASE_URL, staging, resume=("src8", 20, 4))
+    return rejected_results(rows)
 
 
 # --- streams -----------------------------------------------------------------------------

@@ -202,8 +202,10 @@ def result_pages(spark: SparkSession, sf: str) -> DataFrame:
             )
         )
     )
+    # Some titles have an id that cannot be read.
+    ident = F.when(F.col("n_chars") % 11 == 0, F.lit("paper")).otherwise(F.concat(F.lit("paper-"), key))
     row = F.concat(
-        F.lit('<div class="result cl-paper-row"><h2 class="cl-paper-title" id="paper-'), key, F.lit('"><span>'),
+        F.lit('<div class="result cl-paper-row"><h2 class="cl-paper-title" id="'), ident, F.lit('"><span>'),
         _escaped(F.split_part("text", F.lit("\n"), F.lit(1))), F.lit(" </span></h2><div>"), shown, F.lit("</div></div>\n"),
     )
     rows = docs.select(

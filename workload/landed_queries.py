@@ -29,6 +29,10 @@ NEIGHBOURS = """, cited AS (
          CAST(o_orderkey // 10000 AS INT) AS page, o_orderkey, o_orderstatus, o_orderpriority
   FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem) l
   JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey),
+supplied AS (
+  SELECT p_partkey AS parent_id, concat('P', CAST(p_partkey AS VARCHAR)) AS parent_ss_id, CAST(s_suppkey // 10000 AS INT) AS page, s_suppkey, s_name
+  FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem) l
+  JOIN supplier ON s_suppkey = l_suppkey JOIN part ON p_partkey = l_partkey WHERE p_type = 'ECONOMY'),
 flat AS (
   SELECT parent_id, parent_ss_id, CAST(0 AS INT) AS direction, page,
          CAST(row_number() OVER (PARTITION BY parent_id, page ORDER BY o_orderkey) - 1 AS INT) AS pos,
@@ -40,6 +44,10 @@ flat AS (
          CASE WHEN o_orderstatus = 'P' THEN 'no title' END AS problem
   FROM cited
   UNION ALL
+  SELECT parent_id, parent_ss_id, CAST(1 AS INT), page, CAST(row_number() OVER (PARTITION BY parent_id, page ORDER BY s_suppkey) - 1 AS INT),
+         concat('S', CAST(s_suppkey AS VARCHAR)), s_name, 'No abstract available', concat('/supplier/', CAST(s_suppkey AS VARCHAR)), NULL
+  FROM supplied
+  UNION ALL
   SELECT p_partkey, concat('P', CAST(p_partkey AS VARCHAR)), CAST(1 AS INT), CAST(0 AS INT), CAST(v.pos AS INT), v.ss_id, v.title,
          v.abstract, CAST(NULL AS VARCHAR), v.problem
   FROM part, (VALUES (0, 'unknown_id', 'No Title', 'No abstract available', NULL), (1, NULL, NULL, NULL, 'null paper'),
@@ -67,7 +75,12 @@ landed AS (
          CASE p_type WHEN 'LARGE' THEN 4 WHEN 'ECONOMY' THEN 0 END,
          CASE p_type WHEN 'STANDARD' THEN NULL WHEN 'PROMO' THEN '{}' WHEN 'SMALL' THEN '{"data":null}' WHEN 'MEDIUM' THEN '{bad'
            WHEN 'LARGE' THEN '{"data":[{},{"citedPaper":null},{"citedPaper":{"paperId":"","title":"x"}},7]}' ELSE '[]' END
-  FROM part)
+  FROM part WHERE p_partkey NOT IN (SELECT parent_id FROM supplied)
+  UNION ALL
+  SELECT parent_id, parent_ss_id, CAST(1 AS INT), page, CAST(200 AS INT), count(*),
+         concat('{"data":[', string_agg(concat('{"citedPaper":{"paperId":"S', CAST(s_suppkey AS VARCHAR), '","title":"', s_name,
+           '","url":"/supplier/', CAST(s_suppkey AS VARCHAR), '"}}'), ',' ORDER BY s_suppkey), ']}')
+  FROM supplied GROUP BY parent_id, parent_ss_id, page)
 """
 )
 

@@ -112,12 +112,30 @@ def no_papers(spark: SparkSession) -> DataFrame:
 PAGE_KEYS = 10_000  # order keys per page of a look-up, so no page grows with the data
 
 
+def _supplied(spark: SparkSession, sf: str) -> DataFrame:
+    """The suppliers of the parts of one type, page by page, as the papers that those parts cite."""
+    key = F.col("s_suppkey").cast("string")
+    item = F.concat(
+        F.lit('{"citedPaper":{"paperId":"S'), key, F.lit('","title":"'), "s_name", F.lit('","url":"/supplier/'), key, F.lit('"}}')
+    )
+    lines = table(spark, sf, "lineitem").select(F.col("l_partkey").alias("p_partkey"), F.col("l_suppkey").alias("s_suppkey")).distinct()
+    economy = table(spark, sf, "part").filter("p_type = 'ECONOMY'").select("p_partkey")
+    return (
+        lines.join(economy, "p_partkey", "left_semi")
+        .join(table(spark, sf, "supplier").select("s_suppkey", "s_name"), "s_suppkey")
+        .select("p_partkey", F.floor(F.col("s_suppkey") / PAGE_KEYS).cast("int").alias("page"), F.struct("s_suppkey", item.alias("item")).alias("row"))
+        .groupBy("p_partkey", "page")
+        .agg(F.sort_array(F.collect_list("row")).alias("rows"))
+        .select("p_partkey", "page", F.concat(F.lit('{"data":['), F.array_join("rows.item", ","), F.lit("]}")).alias("cited"))
+    )
+
+
 def landed_responses(spark: SparkSession, sf: str) -> DataFrame:
     """Look-ups of all parts as they would have landed.
 
     Citations carry the orders of a part, page by page, with every shape of absent, null and
-    empty fields that order attributes select; references carry none and differ in how they
-    say so.
+    empty fields that order attributes select; references carry the suppliers of parts of one type,
+    and nothing for the others, which differ in how they say so.
     """
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey").distinct()
@@ -157,17 +175,17 @@ def landed_responses(spark: SparkSession, sf: str) -> DataFrame:
         .otherwise(F.concat(F.lit('{"data":'), listed, F.lit("}")))
         .alias("body"),
     )
-    references = parts.select(
+    references = parts.join(_supplied(spark, sf), "p_partkey", "left").select(
         F.col("p_partkey").alias("id"),
         _key("P", "p_partkey").alias("ss_id"),
         F.lit(REFERENCE).alias("direction"),
-        F.lit(0).alias("page"),
+        F.coalesce("page", F.lit(0)).alias("page"),
         F.when(F.col("p_type") == "STANDARD", 404).otherwise(200).alias("status"),
         F.when(F.col("p_type") == "PROMO", "{}")
         .when(F.col("p_type") == "SMALL", '{"data":null}')
         .when(F.col("p_type") == "MEDIUM", "{bad")
         .when(F.col("p_type") == "LARGE", '{"data":[{},{"citedPaper":null},{"citedPaper":{"paperId":"","title":"x"}},7]}')
-        .otherwise("[]")
+        .otherwise(F.coalesce("cited", F.lit("[]")))
         .alias("body"),
     )
     return citations.unionByName(references)

@@ -160,24 +160,26 @@ def local_forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def compare_blocks(queries: pd.DataFrame, members: pd.DataFrame, cosine: float) -> pd.DataFrame:
-    """Rows (a, b, n): a query's weighted number of partners (b null), and forest edges (n null)."""
-    columns = {"a": "int64", "b": "Int64", "n": "Int64"}
+    """Rows (a, tag, b, n): a query's weighted number of partners (b null), and forest edges (tag and n null)."""
+    columns = {"a": "int64", "tag": "Int64", "b": "Int64", "n": "Int64"}
     if queries.empty or members.empty:
         return pd.DataFrame({name: pd.Series(dtype=kind) for name, kind in columns.items()})
-    m, weight, ids = _matrix(list(members["vector"])), members["weight"].to_numpy(), members["node"].to_numpy()
-    asked, parts = queries["node"].to_numpy(), []
+    m, weight = _matrix(list(members["vector"])), members["weight"].to_numpy()
+    ids, tags = members["node"].to_numpy(), members["tag"].to_numpy()
+    asked, asked_tags, parts = queries["node"].to_numpy(), queries["tag"].to_numpy(), []
     ends: list[tuple[np.ndarray, np.ndarray]] = []
     for at in range(0, len(queries), 512):
         q = _matrix(list(queries["vector"].iloc[at : at + 512]))
-        near = (q @ m.T >= cosine) & (asked[at : at + 512, None] != ids)
+        itself = (asked[at : at + 512, None] == ids) & (asked_tags[at : at + 512, None] == tags)
+        near = (q @ m.T >= cosine) & ~itself
         parts.append(near @ weight)
         i, j = np.nonzero(near)
         if len(i):
             ends.append(local_forest(asked[at + i], ids[j]))
     counts = np.concatenate(parts)
     some = counts > 0
-    found = [pd.DataFrame({"a": asked[some], "b": pd.NA, "n": counts[some]})]
-    found += [pd.DataFrame({"a": a, "b": b, "n": pd.NA}) for a, b in ends]
+    found = [pd.DataFrame({"a": asked[some], "tag": asked_tags[some], "b": pd.NA, "n": counts[some]})]
+    found += [pd.DataFrame({"a": a, "tag": pd.NA, "b": b, "n": pd.NA}) for a, b in ends]
     return pd.concat([x.astype(columns) for x in found])
 
 
@@ -186,7 +188,8 @@ def near_duplicates(vectors: DataFrame, staging: Staging, cosine: float = 0.9, r
     width = vectors.agg(F.max(F.size("embedding"))).first()[0] or 0
     rows = staging.write(packed(vectors, max(width, 1)), "vectors")
     units = rows.where("vector IS NOT NULL").groupBy("vector").agg(F.min("vec_id").alias("node"), F.count("*").alias("weight"))
-    units = staging.write(units, "units")
+    # Units are told apart by id and tag, as rows with one id may hold several vectors.
+    units = staging.write(units.withColumn("tag", F.xxhash64("vector")), "units")
     count = units.count()
     sample = units.orderBy(F.xxhash64("vector")).limit(SAMPLE).select("vector").toPandas()["vector"]
     if not count:
@@ -197,40 +200,41 @@ def near_duplicates(vectors: DataFrame, staging: Staging, cosine: float = 0.9, r
         for batch in batches:
             if batch.num_rows:
                 cells = index.value.cells(_matrix(batch.column(0).to_pylist()))
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells, pa.int64())], ["vector", "node", "weight", "cell"])
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells, pa.int64())], ["vector", "node", "weight", "tag", "cell"])
 
     def visited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
                 row, cell = index.value.visits(_matrix(part.column(0).to_pylist()))
-                yield pa.RecordBatch.from_arrays([part.column(1).take(pa.array(row)), pa.array(cell, pa.int64())], ["node", "cell"])
+                row = pa.array(row, pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column(1).take(row), part.column(3).take(row), pa.array(cell, pa.int64())], ["node", "tag", "cell"])
 
-    lists = staging.write(units.mapInArrow(own_cells, "vector binary, node long, weight long, cell long"), "lists")
-    visits = staging.write(units.mapInArrow(visited, "node long, cell long"), "visits")
+    lists = staging.write(units.mapInArrow(own_cells, "vector binary, node long, weight long, tag long, cell long"), "lists")
+    visits = staging.write(units.mapInArrow(visited, "node long, tag long, cell long"), "visits")
     sizes = lists.groupBy("cell").agg(F.ceil(F.count("*") / LIST_BLOCK).alias("blocks"))
     asked = visits.groupBy("cell").agg(F.ceil(F.count("*") / QUERY_BLOCK).alias("shares"))
     # As many rows as cells, which the codebooks bound.
     cells = staging.write(sizes.join(asked, "cell"), "cells")
-    deal = lambda n: F.pmod(F.xxhash64("node", "cell"), F.col(n))
+    deal = lambda n: F.pmod(F.xxhash64("node", "tag", "cell"), F.col(n))
     each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    members = lists.join(cells, "cell").select("cell", deal("blocks").alias("block"), each("shares").alias("share"), "node", "weight", "vector")
+    members = lists.join(cells, "cell").select("cell", deal("blocks").alias("block"), each("shares").alias("share"), "node", "tag", "weight", "vector")
     queries = (
         visits.join(cells, "cell")
-        .select("cell", each("blocks").alias("block"), deal("shares").alias("share"), "node")
-        .join(units.select("node", "vector"), "node")
+        .select("cell", each("blocks").alias("block"), deal("shares").alias("share"), "node", "tag")
+        .join(units.select("node", "tag", "vector"), ["node", "tag"])
     )
     key = ["cell", "block", "share"]
     compared = (
-        queries.select(*key, "node", "vector")
+        queries.select(*key, "node", "tag", "vector")
         .groupBy(*key)
         .cogroup(members.groupBy(*key))
-        .applyInPandas(lambda q, m: compare_blocks(q, m, cosine), "a long, b long, n long")
+        .applyInPandas(lambda q, m: compare_blocks(q, m, cosine), "a long, tag long, b long, n long")
     )
     compared = staging.write(compared, "compared")
     labels = staging.write(component_labels(compared.where("b IS NOT NULL").select("a", "b"), staging), "labels")
-    counts = compared.where("n IS NOT NULL").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("near"))
-    named = units.join(counts, "node", "left").join(labels, "node", "left")
+    counts = compared.where("n IS NOT NULL").groupBy(F.col("a").alias("node"), "tag").agg(F.sum("n").alias("near"))
+    named = units.join(counts, ["node", "tag"], "left").join(labels, "node", "left")
     named = staging.write(named.select("vector", "node", "weight", "near", "component"), "named")
     linked = F.col("vector").isNotNull()
     component = F.when(linked, F.coalesce("component", "node")).otherwise(F.col("vec_id"))

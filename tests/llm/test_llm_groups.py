@@ -122,6 +122,13 @@ VECTORS = [(1, [1.0, 0.0, 0.0]), (2, [2.0, 0.0, 0.0]), (3, [0.95, 0.2, 0.0]), (4
 VECTORS += [(8, [float("nan"), 1.0, 0.0]), (9, [float("inf"), 1.0, 0.0]), (10, [1.0]), (11, [0.0, 0.0, 1e-30]), (12, [0.0, 0.0, 1e30]), (12, [0.0, 0.0, 1e30]), (None, [1.0, 0.0, 0.0])]
 
 
+def test_an_id_with_two_vectors(frame, staging):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [0.99, 0.1]), (3, [0.1, 0.99]), (4, [1.0, 0.01]), (5, [-1.0, 0.0])]
+    found = embedding_dedup.near_duplicates(frame(rows, "vec_id long, embedding array<double>"), staging).collect()
+    got = sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in found)
+    assert got == [(1, 1, 1), (1, 2, 1), (2, 2, 1), (3, 1, 1), (4, 2, 1), (5, 0, 5)]
+
+
 def test_odd_vectors(frame, staging):
     df = frame([(v, e, "x", 3) for v, e in VECTORS], "vec_id long, embedding array<double>, vector string, node int")
     rows = sorted(((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in embedding_dedup.near_duplicates(df, staging).collect()), key=repr)

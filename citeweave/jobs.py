@@ -20,7 +20,7 @@ from citeweave.plans.validate import validate
 from citeweave.schemas import LEGACY_EDGES, LEGACY_PAPERS, PAPERS, PAPERS_CURATED
 from citeweave.session import build_session
 from citeweave.sources.landed import scan_responses, scan_result_pages
-from citeweave.sources.tables import append_batch, create_if_absent, read_edges, read_papers, read_table
+from citeweave.sources.tables import SEED_BATCH, append_batch, append_papers, create_papers, read_edges, read_papers, read_table
 from citeweave.sources.terms import first_positions, read_terms, slice_exclusive, slice_inclusive
 from citeweave.staging import Staging
 from citeweave.streaming.ingest import DONE, Corpus, ingest_batch, ingest_responses
@@ -43,7 +43,7 @@ def run_collect(spark, args, staging):
         resume = (term, int(page), int(item))
     pages = scan_result_pages(spark, args.pages)
     fresh, rejects = collect_pages(pages, listed_terms(spark, args, staging), known, args.base_url, staging, resume=resume)
-    append_batch(fresh, corpus.papers, args.batch)
+    append_papers(fresh, corpus.papers, args.batch)
     append_batch(rejects, corpus.page_rejects, args.batch)
 
 
@@ -75,11 +75,11 @@ def run_follow(spark, args, staging):
 
 def run_curate(spark, args, staging):
     """The first papers of every term to the curated table."""
-    create_if_absent(spark, args.curated, PAPERS_CURATED)
+    create_papers(spark, args.curated, PAPERS_CURATED)
     curated = read_table(spark, args.curated, PAPERS_CURATED, before=args.batch)
     papers = read_papers(spark, Corpus.below(args.corpus).papers)
     fresh = curate(papers, listed_terms(spark, args, staging), curated, staging, args.per_term)
-    append_batch(fresh, args.curated, args.batch)
+    append_papers(fresh, args.curated, args.batch)
 
 
 def run_copy(spark, args, staging):
@@ -94,7 +94,7 @@ def run_copy(spark, args, staging):
         staging,
         both_ends=args.both_ends,
     )
-    append_batch(papers.select(*PAPERS.fieldNames()), target.papers, args.batch)
+    append_papers(papers.select(*PAPERS.fieldNames()), target.papers, args.batch)
     append_batch(edges, target.edges, args.batch)
 
 
@@ -125,12 +125,24 @@ def run_grow(spark, args, staging):
     terms = listed_terms(spark, args, staging)
     links = staging.write(read_edges(spark, source.edges), "links")
     grown, met = expand_hops(known, links, terms, args.hops, staging, attributes=attributes)
-    append_batch(grown.join(known.select("ss_id"), "ss_id", "left_anti").select(*PAPERS.fieldNames()), corpus.papers, args.batch)
+    added = grown.join(known.select("ss_id"), "ss_id", "left_anti")
+    append_papers(added.select(*PAPERS.fieldNames()), corpus.papers, args.batch)
     append_batch(new_edges(met, read_edges(spark, corpus.edges, before=args.batch)), corpus.edges, args.batch)
     flags = grown.filter("is_processed").select("ss_id")
     append_batch(unseen(flags, read_table(spark, corpus.done, DONE, before=args.batch), ["ss_id"]), corpus.done, args.batch)
 
 
+def run_compact(spark, args, staging):
+    """All batches of a corpus as the first batch of another, with the flags merged into the papers."""
+    source, target = Corpus.below(args.corpus), Corpus.below(args.target)
+    target.create(spark)
+    # Dealt by hop and key, so each hop gets as many files as its rows ask for.
+    papers = source.read_papers(spark).repartition("num_hops", "ss_id")
+    append_papers(papers, target.papers, SEED_BATCH)
+    append_batch(read_edges(spark, source.edges).repartition("ss_id", "reference_id"), target.edges, SEED_BATCH)
+    append_batch(read_table(spark, source.done, DONE).distinct(), target.done, SEED_BATCH)
+
+
 def run_curated_edges(spark, args, staging):
     """The edges whose both ends are curated papers."""
     curated = read_table(spark, args.curated, PAPERS_CURATED)
@@ -200,7 +212,7 @@ def parser() -> argparse.ArgumentParser:
 
     between = job("curated-edges", run_curated_edges)
     between.add_argument("--curated", required=True)
-    written = [("progress", run_progress), ("fetched", run_fetched), ("dump", run_dump), ("validate", run_validate), ("upgrade", run_upgrade)]
+    written = [("compact", run_compact), ("progress", run_progress), ("fetched", run_fetched), ("dump", run_dump), ("validate", run_validate), ("upgrade", run_upgrade)]
     for sub in (between, *[job(name, run) for name, run in written]):
         sub.add_argument("--target", required=True)
     return top

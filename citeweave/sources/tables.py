@@ -1,18 +1,21 @@
 """Corpus tables as parquet, and tables of another database.
 
-Every append of a run or micro-batch goes to its own ``batch=<n>`` folder. Writing a batch
-again replaces that folder, so a repeated attempt leaves no duplicates, and reading
+Every append of a run or micro-batch goes to its own ``batch=<n>`` folder, papers below that by
+hop, so a job over one hop opens the files of that hop alone. Writing a batch again replaces that folder, so a repeated attempt leaves no duplicates, and reading
 ``before=n`` gives a batch the state it started from.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructType
 
 from citeweave.schemas import EDGES, PAPERS
 
+BY_HOP = ("num_hops",)
 SEED_BATCH = -1  # batch number of rows that were there before the first micro-batch
 
 
@@ -22,15 +25,24 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
-def create_if_absent(spark: SparkSession, path: str, schema: StructType) -> None:
+def create_if_absent(spark: SparkSession, path: str, schema: StructType, by: Sequence[str] = ()) -> None:
     """Write an empty table unless there is one already."""
     if not path_exists(spark, path):
-        spark.createDataFrame([], schema).write.parquet(f"{path}/batch={SEED_BATCH}")
+        append_batch(spark.createDataFrame([], schema), path, SEED_BATCH, by)
+
+
+def append_batch(df: DataFrame, path: str, batch: int, by: Sequence[str] = ()) -> None:
+    """Write one batch, in folders ``by`` some columns; a second attempt at the same batch replaces the first."""
+    df.write.mode("overwrite").partitionBy(*by).parquet(f"{path}/batch={batch}")
+
+
+def create_papers(spark: SparkSession, path: str, schema: StructType = PAPERS) -> None:
+    create_if_absent(spark, path, schema, BY_HOP)
 
 
-def append_batch(df: DataFrame, path: str, batch: int) -> None:
-    """Write one batch; a second attempt at the same batch replaces the first."""
-    df.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+def append_papers(papers: DataFrame, path: str, batch: int) -> None:
+    """Write one batch of papers, one folder per hop."""
+    append_batch(papers, path, batch, BY_HOP)
 
 
 def _with_batch(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -43,7 +55,7 @@ def read_table(spark: SparkSession, path: str, schema: StructType, before: int |
     table = _with_batch(spark, path, schema)
     if before is not None:
         table = table.filter(F.col("batch") < before)
-    return table.drop("batch")
+    return table.select(*schema.fieldNames())
 
 
 def has_batch(spark: SparkSession, path: str, first: int) -> bool:

@@ -22,7 +22,9 @@ from citeweave.schemas import EDGES, PAPERS, RESPONSES
 from citeweave.sources.tables import (
     SEED_BATCH,
     append_batch,
+    append_papers,
     create_if_absent,
+    create_papers,
     has_batch,
     path_exists,
     read_edges,
@@ -50,12 +52,12 @@ class Corpus:
         return cls(*[f"{root}/{name}" for name in ("papers", "edges", "done", "rejects", "page_rejects")])
 
     def create(self, spark: SparkSession) -> None:
-        create_if_absent(spark, self.papers, PAPERS)
+        create_papers(spark, self.papers)
         create_if_absent(spark, self.edges, EDGES)
         create_if_absent(spark, self.done, DONE)
 
     def seed(self, papers: DataFrame) -> None:
-        append_batch(papers.select(*PAPERS.fieldNames()), self.papers, SEED_BATCH)
+        append_papers(papers.select(*PAPERS.fieldNames()), self.papers, SEED_BATCH)
 
     def read_papers(self, spark: SparkSession, before: int | None = None) -> DataFrame:
         """Papers with the flags of all parents noted as done."""
@@ -85,7 +87,7 @@ def ingest_batch(
         step = ResponseHop(
             known, landed, terms, hop, staging, done=done if skip_done else None, retry_failed=retry_failed
         )
-        append_batch(step.papers, corpus.papers, batch)
+        append_papers(step.papers, corpus.papers, batch)
         # Both ends of every edge are papers by now: the parent was known, the neighbour is in.
         found = staging.write(step.edges, "found-edges")
         append_batch(unseen(found, matching(edges, found, PAIR), PAIR), corpus.edges, batch)

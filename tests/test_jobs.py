@@ -75,6 +75,14 @@ def test_from_pages_to_a_copied_corpus(spark, frame, values, tmp_path):
     assert {d["ss_id"] for d in dumped} == set("abcxy")
     assert {"ss_id": "b"} in dumped
 
+    run(spark, "compact", "--corpus", root, "--target", tmp_path / "compacted")
+    small = Corpus.below(str(tmp_path / "compacted"))
+    assert values(small.read_papers(spark)) == values(corpus.read_papers(spark))
+    assert values(read_papers(spark, small.papers)) == values(corpus.read_papers(spark))
+    assert values(read_edges(spark, small.edges)) == values(read_edges(spark, corpus.edges))
+    one_hop = read_papers(spark, corpus.papers, before=9).filter("num_hops = 1")._jdf.queryExecution().executedPlan().toString()
+    assert "num_hops" in one_hop.split("PartitionFilters:")[1].split("]")[0] and "Filter" not in one_hop.split("FileScan")[0]
+
     grow = ["grow", "--terms", tmp_path / "terms.csv", "--end", 2, "--corpus", tmp_path / "grown", "--source", root, "--batch", 1]
     grown_to = Corpus.below(str(tmp_path / "grown"))
     grown_to.create(spark)

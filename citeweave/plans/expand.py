@@ -17,7 +17,7 @@ from citeweave.functions.payload import flatten_neighbours, parse_responses, rej
 from citeweave.operators.frontier import lookup_frontier
 from citeweave.operators.identity import dense_position
 from citeweave.operators.neighbours import as_edges, both_directions, neighbours
-from citeweave.operators.upsert import as_papers, discover, first_discovery, mark_processed, matching, new_edges, numbered_rows, pick_new_papers
+from citeweave.operators.upsert import as_papers, discover, first_discovery, mark_processed, matching, new_edges, numbered_rows
 from citeweave.schemas import NO_ABSTRACT, UNTITLED
 from citeweave.sources.terms import first_positions
 from citeweave.staging import Staging
@@ -103,8 +103,9 @@ class EdgeHop(Hop):
 class ResponseHop(Hop):
     """One hop over landed look-ups.
 
-    Bodies are parsed once; papers, edges and rejects all come from the written rows. Parents
-    with a landed look-up are done afterwards, failed ones included, unless ``retry_failed``
+    Bodies are parsed once, where they lie: look-ups are flattened and written before anything is
+    joined, and only keys and places meet the frontier. Titles and abstracts move once, for the new
+    papers. Look-ups of other parents are flattened too, and go with that join. Parents with a landed look-up are done afterwards, failed ones included, unless ``retry_failed``
     leaves those for another run.
     """
 
@@ -125,21 +126,25 @@ class ResponseHop(Hop):
         self._hop, self._staging, self._retry_failed = hop, staging, retry_failed
         waiting = lookup_frontier(papers, first_positions(terms), hop, done)
         self._frontier = staging.write(waiting, f"frontier-{hop}")
-        landed = responses.select(
-            F.col("ss_id").alias("parent_ss_id"), "direction", "page", "status", "body"
-        ).join(self._frontier, "parent_ss_id")
-        parent = ("term_pos", "parent_id", "parent_ss_id", "search_term")
-        flat = flatten_neighbours(parse_responses(landed), *parent, reject_missing=reject_missing)
+        landed = responses.select(F.col("ss_id").alias("parent_ss_id"), "direction", "page", "status", "body")
+        flat = flatten_neighbours(parse_responses(landed), "parent_ss_id", reject_missing=reject_missing)
         self._flat = staging.write(numbered_rows(flat), f"neighbours-{hop}")
+        places = self._flat.select("parent_ss_id", "direction", "page", "pos", "ss_id", "problem", "row_id")
+        self._placed = staging.write(places.join(self._frontier, "parent_ss_id"), f"places-{hop}")
 
     @cached_property
     def papers(self) -> DataFrame:
-        found = valid_neighbours(self._flat).withColumn("num_hops", F.lit(self._hop + 1))
-        return pick_new_papers(found, self._known, PAYLOAD_ORDER, self._staging)
+        found = valid_neighbours(self._placed)
+        keys = found.select("ss_id", *PAYLOAD_ORDER, "row_id")
+        chosen = self._staging.write(discover(keys, self._known, PAYLOAD_ORDER, self._staging).select("row_id", "id"), "chosen")
+        terms = matching(self._placed.select("row_id", "search_term"), chosen, ["row_id"])
+        texts = self._flat.select("row_id", "ss_id", "title", "abstract", "url")
+        added = texts.join(chosen.join(terms, "row_id"), "row_id")
+        return as_papers(added.withColumn("num_hops", F.lit(self._hop + 1)))
 
     @cached_property
     def edges(self) -> DataFrame:
-        linked = as_edges(valid_neighbours(self._flat))
+        linked = as_edges(valid_neighbours(self._placed))
         return linked if self._known_edges is None else new_edges(linked, self._known_edges)
 
     @cached_property
@@ -154,7 +159,7 @@ class ResponseHop(Hop):
 
     @cached_property
     def rejects(self) -> DataFrame:
-        return rejected_neighbours(self._flat).select(
+        return rejected_neighbours(self._placed).select(
             "search_term", "parent_ss_id", "direction", "page", "pos", "problem"
         )
 

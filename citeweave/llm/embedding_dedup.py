@@ -4,9 +4,13 @@ Vectors are scaled to length 1 and cut into two halves; each half has a codebook
 a bounded sample of ``SAMPLE`` vectors, and the grid of the two codebooks has one posting list per cell.
 Every vector is in the list of the cell of its nearest centres. As a query it walks the two codebooks in
 the order of how far it would have to move to cross into their regions, and visits the cells whose two
-distances together stay below a reach. The reach is set on the sample, so that partners at exactly
-the wanted cosine are met with the target recall; with ``recall=1.0`` it is the distance that the
-cosine allows, and no partner can be missed. Visited lists are compared in full, in double precision.
+distances together stay below a reach. The reach is the distance that the cosine allows, so no partner
+can be missed, whatever the vectors are like. With a ``recall`` below 1 it is shortened to what that share
+of the true pairs among the sample needs, if they are enough to tell; a pair may then be counted on one
+side only. Visited lists are compared in full, in double precision.
+
+Cells that the same queries visit are put together to areas, so that a query is sent to each area
+once; the members of an area are compared with all queries that visit one of its cells.
 
 Equal vectors are one unit with a weight before any comparison. Lists and queries are dealt in
 blocks of bounded size, so a cell that a third of all vectors share makes many tasks. A task gives
@@ -37,8 +41,12 @@ from citeweave.staging import Staging
 #: Rows on which the codebooks and the reach are fitted; all rows are indexed and queried.
 SAMPLE = 20_000
 #: Members of a posting list, and queries, in one comparison.
-LIST_BLOCK, QUERY_BLOCK = 1024, 4096
+LIST_BLOCK, QUERY_BLOCK = 2048, 4096
 _CELL = 256
+#: Rows of the sample whose pairs set a shorter reach, and its steps.
+_ASKED, _STEPS = 4096, 4096
+#: What sending a query to one more area costs, in comparisons.
+_SENT = 1024
 
 
 @dataclass
@@ -96,29 +104,61 @@ def _centres(x: np.ndarray, k: int, draw: np.random.Generator) -> np.ndarray:
     return book
 
 
+def _needed(index: MultiIndex, sample: np.ndarray, cosine: float, recall: float) -> float:
+    """The reach that meets ``recall`` on the true pairs of the sample; all that the cosine allows where they are too few."""
+    limit = 2 - 2 * cosine
+    cells = np.concatenate([index.cells(sample[at : at + 1024]) for at in range(0, len(sample), 1024)])
+    seen = np.zeros(_STEPS, int)
+    for at in range(0, min(len(sample), _ASKED), 64):
+        some = sample[at : at + 64]
+        first, second = index.crossing(some)
+        i, j = np.nonzero(some @ sample.T >= cosine)
+        i, j = i[at + i != j], j[at + i != j]
+        needed = first[i, cells[j] // index.grid] + second[i, cells[j] % index.grid]
+        seen += np.histogram(np.minimum(needed, limit), _STEPS, (0, limit))[0]
+    # Fewer than ten pairs beyond the reach say little about it.
+    if seen.sum() * (1 - recall) < 10:
+        return limit
+    return (np.searchsorted(np.cumsum(seen), recall * seen.sum()) + 1) * limit / _STEPS
+
+
 def fit(sample: np.ndarray, rows: int, cosine: float, recall: float) -> MultiIndex:
     """An index for ``rows`` unit vectors, from a sample of them."""
     draw = np.random.default_rng(7)
     k = max(1, min(round(math.sqrt(rows / _CELL)), len(sample) // 32, 512))
     cut = (sample.shape[1] + 1) // 2
-    index = MultiIndex([_centres(sample[:, :cut], k, draw), _centres(sample[:, cut:], k, draw)], 0.0)
-    limit = 2 - 2 * cosine
-    some = sample[:4096]
-    away = draw.normal(size=some.shape)
-    away -= (away * some).sum(1, keepdims=True) * some
-    away /= np.maximum(np.linalg.norm(away, axis=1, keepdims=True), 1e-300)
-    partner = index.cells(cosine * some + math.sqrt(1 - cosine**2) * away)
-    first, second = index.crossing(some)
-    needed = np.sort(first[np.arange(len(some)), partner // index.grid] + second[np.arange(len(some)), partner % index.grid])
+    first, second = _centres(sample[:, :cut], k, draw), _centres(sample[:, cut:], k, draw)
+    if second.size:
+        # Along the direction in which they differ most, so that cells next to each other have common visitors.
+        second = second[np.argsort(second @ np.linalg.svd(second - second.mean(0), full_matrices=False)[2][0])]
+    index = MultiIndex([first, second], 0.0)
+    index.reach = 2 - 2 * cosine
     if recall < 1:
         # A tenth more than the sample asks for, and at most what the cosine allows.
-        index.reach = min(limit, 1.1 * float(needed[min(len(needed) - 1, math.ceil(recall * len(needed)))]))
-    else:
-        index.reach = limit
+        index.reach = min(index.reach, 1.1 * _needed(index, sample, cosine, recall))
     index.reach += 1e-9
     return index
 
 
+def areas(sizes: np.ndarray, rows: np.ndarray, cells: np.ndarray) -> np.ndarray:
+    """Area of each cell, -1 without members: runs of cells whose ``sizes`` stay below the cheapest of some limits.
+
+    What is cheapest shows in the visits (rows, cells) of some queries.
+    """
+    found = []
+    for limit in (0, *(LIST_BLOCK >> i for i in range(4))):
+        area, last, members = np.full(len(sizes), -1), -1, math.inf
+        for cell in np.flatnonzero(sizes):
+            if members + sizes[cell] > limit:
+                last, members = last + 1, 0
+            area[cell] = last
+            members += sizes[cell]
+        sent = np.unique(np.stack([rows, area[cells]])[:, area[cells] >= 0], axis=1)[1]
+        total = np.bincount(area[area >= 0], sizes[area >= 0], last + 1)
+        found.append((float((_SENT + total[sent]).sum()), limit, area))
+    return min(found, key=lambda x: x[:2])[2]
+
+
 def _matrix(units: list[bytes]) -> np.ndarray:
     """Unit vectors in double precision from packed 64-bit floats of one length."""
     x = np.frombuffer(b"".join(units), "<f8").reshape(len(units), -1)
@@ -183,7 +223,7 @@ def compare_blocks(queries: pd.DataFrame, members: pd.DataFrame, cosine: float)
     return pd.concat([x.astype(columns) for x in found])
 
 
-def near_duplicates(vectors: DataFrame, staging: Staging, cosine: float = 0.9, recall: float = 0.9999) -> DataFrame:
+def near_duplicates(vectors: DataFrame, staging: Staging, cosine: float = 0.9, recall: float = 1.0) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of ``vectors``."""
     width = vectors.agg(F.max(F.size("embedding"))).first()[0] or 0
     rows = staging.write(packed(vectors, max(width, 1)), "vectors")
@@ -194,7 +234,8 @@ def near_duplicates(vectors: DataFrame, staging: Staging, cosine: float = 0.9, r
     sample = units.orderBy(F.xxhash64("vector")).limit(SAMPLE).select("vector").toPandas()["vector"]
     if not count:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    index = vectors.sparkSession.sparkContext.broadcast(fit(_matrix(list(sample)), count, cosine, recall))
+    fitted = fit(_matrix(list(sample)), count, cosine, recall)
+    index = vectors.sparkSession.sparkContext.broadcast(fitted)
 
     def own_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -207,24 +248,34 @@ def near_duplicates(vectors: DataFrame, staging: Staging, cosine: float = 0.9, r
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
                 row, cell = index.value.visits(_matrix(part.column(0).to_pylist()))
+                to = area.value[cell]
+                row, to = np.unique(np.stack([row, to])[:, to >= 0], axis=1)
                 row = pa.array(row, pa.int64())
-                yield pa.RecordBatch.from_arrays([part.column(1).take(row), part.column(3).take(row), pa.array(cell, pa.int64())], ["node", "tag", "cell"])
+                yield pa.RecordBatch.from_arrays([part.column(1).take(row), part.column(3).take(row), pa.array(to, pa.int64())], ["node", "tag", "area"])
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(area.value[batch.column(batch.num_columns - 1)], pa.int64())], [*batch.schema.names[:-1], "area"])
 
     lists = staging.write(units.mapInArrow(own_cells, "vector binary, node long, weight long, tag long, cell long"), "lists")
-    visits = staging.write(units.mapInArrow(visited, "node long, tag long, cell long"), "visits")
-    sizes = lists.groupBy("cell").agg(F.ceil(F.count("*") / LIST_BLOCK).alias("blocks"))
-    asked = visits.groupBy("cell").agg(F.ceil(F.count("*") / QUERY_BLOCK).alias("shares"))
     # As many rows as cells, which the codebooks bound.
-    cells = staging.write(sizes.join(asked, "cell"), "cells")
-    deal = lambda n: F.pmod(F.xxhash64("node", "tag", "cell"), F.col(n))
+    held = lists.groupBy("cell").count().toPandas()
+    held = np.bincount(held["cell"], held["count"], fitted.grid**2).astype(int)
+    area = vectors.sparkSession.sparkContext.broadcast(areas(held, *fitted.visits(_matrix(list(sample[:1024])))))
+    visits = staging.write(units.mapInArrow(visited, "node long, tag long, area long"), "visits")
+    sizes = lists.select("cell").mapInArrow(placed, "area long").groupBy("area").agg(F.ceil(F.count("*") / LIST_BLOCK).alias("blocks"))
+    asked = visits.groupBy("area").agg(F.ceil(F.count("*") / QUERY_BLOCK).alias("shares"))
+    dealt = staging.write(sizes.join(asked, "area"), "areas")
+    lists = lists.mapInArrow(placed, "vector binary, node long, weight long, tag long, area long")
+    deal = lambda n: F.pmod(F.xxhash64("node", "tag", "area"), F.col(n))
     each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    members = lists.join(cells, "cell").select("cell", deal("blocks").alias("block"), each("shares").alias("share"), "node", "tag", "weight", "vector")
+    members = lists.join(dealt, "area").select("area", deal("blocks").alias("block"), each("shares").alias("share"), "node", "tag", "weight", "vector")
     queries = (
-        visits.join(cells, "cell")
-        .select("cell", each("blocks").alias("block"), deal("shares").alias("share"), "node", "tag")
+        visits.join(dealt, "area")
+        .select("area", each("blocks").alias("block"), deal("shares").alias("share"), "node", "tag")
         .join(units.select("node", "tag", "vector"), ["node", "tag"])
     )
-    key = ["cell", "block", "share"]
+    key = ["area", "block", "share"]
     compared = (
         queries.select(*key, "node", "tag", "vector")
         .groupBy(*key)

@@ -157,6 +157,41 @@ def test_vectors_against_all_pairs(spark, staging, monkeypatch, recall):
     assert sum(n for n, _ in got.values()) <= near.sum()
 
 
+def spread(kind, n, width=64):
+    """Unit vectors that vary in few directions, or in each direction less than in the one before."""
+    draw = np.random.default_rng(5)
+    x = draw.normal(size=(n, 6)) @ draw.normal(size=(6, width)) if kind == "low-rank" else draw.normal(size=(n, width)) * np.arange(1, width + 1) ** -1.0
+    x = x @ np.linalg.qr(draw.normal(size=(width, width)))[0]
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("kind", ["low-rank", "decaying"])
+def test_vectors_that_vary_in_few_directions(spark, staging, monkeypatch, kind):
+    monkeypatch.setattr(embedding_dedup, "_CELL", 8)
+    x = spread(kind, 1500)
+    rows = [(i, v) for i, v in enumerate(x.tolist())]
+    found = embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), staging).collect()
+    near = (x @ x.T >= 0.9) & ~np.eye(len(x), dtype=bool)
+    want = roots(range(len(x)), np.argwhere(near).tolist())
+    assert near.sum() > 1000
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in found} == {i: (near[i].sum(), want[i]) for i in range(len(x))}
+
+
+@pytest.mark.parametrize("kind", ["low-rank", "decaying"])
+def test_a_lower_recall_is_met_on_true_pairs(monkeypatch, kind):
+    monkeypatch.setattr(embedding_dedup, "_CELL", 8)
+    x = spread(kind, 6000)
+    index = embedding_dedup.fit(x[:3000], len(x), 0.9, 0.99)
+    assert index.reach < 0.2
+    asked, cells = x[3000:], index.cells(x)
+    near = asked @ x.T >= 0.9
+    row, cell = index.visits(asked)
+    visited = np.zeros((len(asked), index.grid**2), bool)
+    visited[row, cell] = True
+    near[np.arange(len(asked)), 3000 + np.arange(len(asked))] = False
+    assert (near & visited[:, cells]).sum() >= 0.99 * near.sum()
+
+
 def test_shards(frame, staging):
     draw = random.Random(6)
     docs = [(i, draw.choice("äbc") * draw.randrange(400), draw.choice(["en", "de", None]), f"s{draw.randrange(5)}") for i in range(600)]

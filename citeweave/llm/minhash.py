@@ -32,6 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from citeweave.llm.components import component_labels
 from citeweave.operators.identity import dense_position
@@ -234,8 +235,8 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int, stagi
     return staging.write(joined.mapInArrow(run, "a long, b long"), "links")
 
 
-def near_duplicates(docs: DataFrame, staging: Staging, words: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row of ``docs``."""
+def grouped(docs: DataFrame, staging: Staging, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The sketches of all rows, and (digest, component_id, head) of each class; one class of a component is its head."""
     rows = staging.write(sketches(docs, words), "sketches")
     some = ["n_shingles", "signature", *_BITS]
     classes = rows.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in some))
@@ -253,14 +254,53 @@ def near_duplicates(docs: DataFrame, staging: Staging, words: int = 5, percent:
     named = (
         classes.select("digest", "node")
         .join(labels.hint("merge"), "node", "left")
-        .select("digest", F.coalesce("component", "node").alias("component"))
+        .select("digest", "node", F.coalesce("component", "node").alias("component"))
         .join(heads.hint("merge"), "component")
-        .select("digest", "component_id")
+        .select("digest", "component_id", (F.col("node") == F.col("component")).alias("head"))
     )
-    named = staging.write(named, "components").hint("merge")
+    return rows, staging.write(named, "components").hint("merge")
+
+
+def near_duplicates(docs: DataFrame, staging: Staging, words: int = 5, percent: int = 80) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for every row of ``docs``."""
+    rows, named = grouped(docs, staging, words, percent)
     own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return (
         rows.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("digest")).alias("digest"))
         .join(named, "digest", "left")
         .select("doc_id", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept"))
     )
+
+
+def one_per_group(docs: DataFrame, staging: Staging, words: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one row of each component and all rows without words.
+
+    The row is of the head class and has its smallest ``doc_id``; among several of those the smallest hash of the row decides.
+    """
+    rows, named = grouped(docs, staging, words, percent)
+    wordless = F.col("n_shingles") == 0
+    chosen = F.col("head") & F.col("doc_id").eqNullSafe(F.col("component_id"))
+    decided = rows.select("doc_id", "n_shingles", "digest").join(named, "digest", "left").select("doc_id", F.when(wordless, True).otherwise(chosen).alias("kept"))
+    # An id that no other row has decides for its row. The rows of other ids are looked at one by one.
+    ids = decided.groupBy(F.col("doc_id").alias("_id")).agg(F.max("kept").alias("_kept"), (F.count("*") > 1).alias("_repeated"))
+    ids = staging.write(ids.where("_repeated OR NOT _kept"), "ids")
+    same = F.col("doc_id").eqNullSafe(F.col("_id"))
+    single = docs.join(ids.hint("merge"), same, "left_anti")
+    repeated = ids.where("_repeated")
+    if repeated.isEmpty():
+        return single
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingles(text.as_py(), words) for text in batch.column(batch.schema.get_field_index("text"))]
+            added = [pa.array([digest(x) for x in sets], pa.binary()), pa.array([len(x) for x in sets], pa.int64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], [*batch.schema.names, "_digest", "_words"])
+
+    added = T.StructType.fromDDL("_digest binary, _words long")
+    copies = docs.join(repeated, same, "left_semi").mapInArrow(run, T.StructType(docs.schema.fields + added.fields))
+    copies = staging.write(copies, "repeated-ids")
+    row = F.struct(*docs.columns)
+    first = copies.where("_words > 0").groupBy("_digest", "doc_id").agg(F.min_by(row, F.xxhash64(row)).alias("_row")).select("_digest", "_row")
+    heads = named.where("head").select(F.col("digest").alias("_digest"), "component_id")
+    first = first.join(heads, "_digest").where(F.col("_row.doc_id").eqNullSafe(F.col("component_id"))).select("_row.*")
+    return single.unionByName(first).unionByName(copies.where("_words = 0").select(*docs.columns))

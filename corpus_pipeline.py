@@ -7,7 +7,8 @@ tables, and returns a DataFrame that is written as Parquet and read again for th
    model learns from the labelled documents among its input, and its prediction replaces ``lang``.
 2. ``line_dedup`` drops lines that recur in at least five documents, but for one holder of each. A
    document of which nothing remains goes.
-3. ``near_dedup`` keeps one document of each group of near-duplicates (five words, 0.8).
+3. ``near_dedup`` keeps one document of each group of near-duplicates (five words, 0.8), and all without words;
+   rows that repeat an id, null among them, are told apart.
 4. ``secret_scan`` masks the secrets in the texts and keeps all documents.
 5. ``packing`` cuts the documents' tokens into sequences whose lengths are powers of two.
 
@@ -48,10 +49,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = minhash.near_duplicates(docs, Staging(spark, "pipeline-near"))
-    # An id, null among them, goes if none of its rows is kept.
-    gone = found.groupBy(F.col("doc_id").alias("_gone")).agg(F.max("kept").alias("_kept")).where(~F.col("_kept"))
-    return docs.join(gone.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    return minhash.one_per_group(docs, Staging(spark, "pipeline-near"))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

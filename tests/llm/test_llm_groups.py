@@ -298,6 +298,20 @@ def test_pipeline_stage_by_stage(spark, staging):
     assert sums == tokens
 
 
+def test_pipeline_keeps_one_row_per_group(frame, spark):
+    """Repeated and null ids: the decision is the row's."""
+    text = [" ".join(f"{name}{i}" for i in range(60)) for name in "abcde"]
+    near = text[2] + " more"
+    rows = [(1, text[0]), (1, text[0]), (2, text[0])]
+    rows += [(None, text[1]), (None, text[1]), (None, text[1] + " more")]
+    rows += [(3, text[2]), (4, near), (4, text[3]), (5, text[4]), (5, text[4] + " more"), (5, text[4].upper())]
+    rows += [(6, None), (6, None), (None, ""), (None, ""), (7, " ")]
+    kept = dict(corpus_pipeline.STAGES)["near_dedup"](spark, frame(rows, "doc_id long, text string"), SF)
+    got = sorted(((r["doc_id"], (r["text"] or "").strip()[:1].lower()) for r in kept.collect()), key=repr)
+    assert got == sorted([(1, "a"), (None, "b"), (3, "c"), (4, "d"), (5, "e"), (6, ""), (6, ""), (None, ""), (None, ""), (7, "")], key=repr)
+    assert kept.columns == ["doc_id", "text"]
+
+
 def test_pipeline_runs(spark):
     rows = registered.queries()["pipeline"](spark, SF).collect()
     assert sorted(r["sequence_id"] for r in rows) == list(range(len(rows)))

@@ -160,6 +160,17 @@ def predict(docs: DataFrame, model: Mixture) -> DataFrame:
     return kept.mapInArrow(run, T.StructType(kept.schema.fields + added.fields))
 
 
+def with_letters(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose text has a letter."""
+    text_at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([len(ngrams(text.as_py())) > 0 for text in batch.column(text_at)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(doc_id: str) -> Column:
     """The test fold: crc32 of the id as text leaves 2 modulo 4. A null id is not in it."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))

@@ -4,7 +4,8 @@ Each stage takes the session, the documents that its predecessor kept and the fo
 tables, and returns a DataFrame that is written as Parquet and read again for the next one:
 
 1. ``language_id`` drops documents without a language: null texts and texts without a letter. The
-   model learns from the labelled documents among its input, and its prediction replaces ``lang``.
+   model learns from all labelled documents among its input, and its prediction replaces ``lang``; where
+   no language could be learned, ``lang`` stays as it is.
 2. ``line_dedup`` drops lines that recur in at least five documents, but for one holder of each. A
    document of which nothing remains goes.
 3. ``near_dedup`` keeps one document of each group of near-duplicates (five words, 0.8), and all without words;
@@ -36,9 +37,12 @@ def _with_text(docs: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = language.train(docs.where(~language.held_out("doc_id")))
+    model = language.train(docs)
+    if not model.langs:
+        return language.with_letters(docs)
     found = language.predict(docs, model)
-    return found.where(F.col("lang_pred") != language.UNKNOWN).withColumn("lang", F.col("lang_pred")).select(*docs.columns)
+    # A label may be called as unknown languages are; only texts without a letter have no language at all.
+    return found.where(F.size("languages") > 0).withColumn("lang", F.col("lang_pred")).select(*docs.columns)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

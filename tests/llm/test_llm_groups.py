@@ -1,6 +1,7 @@
 """Near-duplicates, vectors, shards, components and the pipeline against brute force."""
 
 import random
+import zlib
 from pathlib import Path
 
 import duckdb
@@ -298,6 +299,21 @@ def test_pipeline_stage_by_stage(spark, staging):
     assert sums == tokens
 
 
+def test_pipeline_keeps_texts_without_a_learned_language(frame):
+    stage = dict(corpus_pipeline.STAGES)["language_id"]
+    texts = [(1, "some words"), (2, "12 34 !"), (3, None), (4, ""), (5, "wörter")]
+    run = lambda lang: sorted(tuple(r) for r in stage(None, frame([(*row, lang) for row in texts], "doc_id long, text string, lang string"), SF).collect())
+    assert run(None) == [(1, "some words", None), (5, "wörter", None)]
+    assert run("und") == [(1, "some words", "und"), (5, "wörter", "und")]
+
+
+def test_pipeline_learns_from_all_labelled_rows(frame):
+    held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 4 == 2)
+    rows = [(held, "only this one has a label", "en"), (1000, "another text", None)]
+    found = dict(corpus_pipeline.STAGES)["language_id"](None, frame(rows, "doc_id long, text string, lang string"), SF).collect()
+    assert sorted((r["doc_id"], r["lang"]) for r in found) == [(held, "en"), (1000, "en")]
+
+
 def test_pipeline_keeps_one_row_per_group(frame, spark):
     """Repeated and null ids: the decision is the row's."""
     text = [" ".join(f"{name}{i}" for i in range(60)) for name in "abcde"]

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from citeweave.llm import embedding_dedup, kd_shards, language, line_dedup, minhash, packing, secrets, sentence_pieces, simhash, token_counts
+from citeweave.llm import embedding_dedup, kd_shards, language, line_dedup, minhash, packing, secrets, sentence_pieces, simhash, spelling, token_counts
 from citeweave.llm.common import documents
 from citeweave.staging import Staging
 
@@ -178,6 +178,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near words of every frequent word, and the form that each variant leads to."""
+    return spelling.spelling_variants(documents(spark, sf_dir), Staging(spark, "spelling"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of corpus_pipeline.py over all documents; ids as their CRC beside their bytes."""
     return corpus_pipeline.run(spark, sf_dir).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
@@ -191,6 +196,7 @@ QUERIES = {
     "op7_minhash_dedup": op7_minhash_dedup,
     "op9_packing": op9_packing,
     "op10_token_counts": op10_token_counts,
+    "op11_spelling_variants": op11_spelling_variants,
     "op3_kd_shards": op3_kd_shards,
     "op4_sentence_pieces": op4_sentence_pieces,
     "op5_line_dedup": op5_line_dedup,

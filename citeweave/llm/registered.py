@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from citeweave.llm import embedding_dedup, kd_shards, language, line_dedup, minhash, packing, secrets, sentence_pieces, simhash, spelling, token_counts
+from citeweave.llm import embedding_dedup, kd_shards, language, line_dedup, minhash, packing, secrets, sentence_pieces, simhash, spelling, token_counts, token_files
 from citeweave.llm.common import documents
 from citeweave.staging import Staging
 
@@ -183,6 +183,14 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(documents(spark, sf_dir), Staging(spark, "spelling"))
 
 
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, written to entropy-coded files and read back from them."""
+    staging = Staging(spark, "token-files")
+    folder = staging.path("files")
+    token_files.write_ids(documents(spark, sf_dir).select("doc_id", "text"), folder)
+    return token_files.read_ids(spark, folder)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of corpus_pipeline.py over all documents; ids as their CRC beside their bytes."""
     return corpus_pipeline.run(spark, sf_dir).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
@@ -197,6 +205,7 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_token_counts": op10_token_counts,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_token_files": op12_token_files,
     "op3_kd_shards": op3_kd_shards,
     "op4_sentence_pieces": op4_sentence_pieces,
     "op5_line_dedup": op5_line_dedup,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from citeweave.llm import embedding_dedup, kd_shards, language, line_dedup, minhash, packing, secrets, sentence_pieces, simhash, spelling, token_counts, token_files
+from citeweave.llm import collocations, embedding_dedup, kd_shards, language, line_dedup, minhash, packing, secrets, sentence_pieces, simhash, spelling, token_counts, token_files
 from citeweave.llm.common import documents
 from citeweave.staging import Staging
 
@@ -191,6 +191,47 @@ def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_ids(spark, folder)
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 phrases of each language by their lowest-scoring cut."""
+    return collocations.collocations(documents(spark, sf_dir), Staging(spark, "collocations"))
+
+
+OP13_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase
+  FROM (SELECT lang, w, size, unnest(generate_series(1, len(w) - size + 1)) AS i
+        FROM words, (SELECT unnest([1, 2, 3, 4]) AS size) WHERE len(w) >= size)),
+totals AS (SELECT lang, count(*) AS n FROM grams WHERE size = 1 GROUP BY lang),
+f AS (SELECT lang, size, phrase, count(*) AS c FROM grams GROUP BY ALL HAVING count(*) >= 30),
+cuts AS (
+  SELECT lang, phrase, size, c AS a, k, array_to_string(string_split(phrase, ' ')[1:k], ' ') AS head,
+         array_to_string(string_split(phrase, ' ')[k + 1:size], ' ') AS tail
+  FROM (SELECT *, unnest(generate_series(1, size - 1)) AS k FROM f WHERE size > 1)),
+scores AS (
+  SELECT cuts.lang, cuts.phrase, cuts.size, a, k, x.c AS l, y.c AS r,
+         CAST((CAST(a AS HUGEINT) * 2000000) // (CAST(x.c AS HUGEINT) + y.c) AS BIGINT) AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = head JOIN f y ON y.lang = cuts.lang AND y.phrase = tail),
+lowest AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+spans AS (
+  SELECT lang, a, array_to_string(w[i:i + many - 1], ' ') AS phrase
+  FROM (SELECT lang, a, w, many, unnest(generate_series(1, size - many + 1)) AS i
+        FROM (SELECT lang, a, size, string_split(phrase, ' ') AS w, unnest(generate_series(2, size - 1)) AS many FROM lowest WHERE size > 2))),
+covers AS (SELECT lang, phrase, max(a) AS most FROM spans GROUP BY lang, phrase),
+kept AS (
+  SELECT lowest.* FROM lowest LEFT JOIN covers USING (lang, phrase)
+  WHERE most IS NULL OR CAST(most AS HUGEINT) * 100 < CAST(a AS HUGEINT) * 80)
+SELECT kept.lang, row_number() OVER (PARTITION BY kept.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN totals USING (lang)
+QUALIFY rank <= 2000
+"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of corpus_pipeline.py over all documents; ids as their CRC beside their bytes."""
     return corpus_pipeline.run(spark, sf_dir).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
@@ -206,12 +247,13 @@ QUERIES = {
     "op10_token_counts": op10_token_counts,
     "op11_spelling_variants": op11_spelling_variants,
     "op12_token_files": op12_token_files,
+    "op13_collocations": op13_collocations,
     "op3_kd_shards": op3_kd_shards,
     "op4_sentence_pieces": op4_sentence_pieces,
     "op5_line_dedup": op5_line_dedup,
     "op8_secret_scan": op8_secret_scan,
 }
-ORACLES = {"op1_embedding_dedup": OP1_SQL, "op5_line_dedup": OP5_SQL, "op8_secret_scan": OP8_SQL}
+ORACLES = {"op1_embedding_dedup": OP1_SQL, "op5_line_dedup": OP5_SQL, "op8_secret_scan": OP8_SQL, "op13_collocations": OP13_SQL}
 
 
 def queries():

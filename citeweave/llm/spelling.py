@@ -157,21 +157,21 @@ def descend(words: DataFrame, levels: list[DataFrame], staging: Staging) -> Data
     ``spent`` is 0 before any difference, 1 after the surplus, 2 after the deficit as well. The subtree
     that a word reaches with nothing spent is its own.
     """
-    at = words.select(F.lit("").alias("path"), "word", "n", "vector", F.lit(0).alias("spent"))
-    reached = None
-    for depth, level in enumerate(levels):
-        if depth:
-            own = F.ascii(F.substring("vector", depth, 1))
-            child = lambda step, spent: F.struct(F.concat("path", F.char(own + step)).alias("path"), F.lit(spent).alias("spent"))
-            steps = (
-                F.when(F.col("spent") == 0, F.array(child(0, 0), child(1, 1)))
-                .when(F.col("spent") == 1, F.array(child(0, 1), child(-1, 2)))
-                .otherwise(F.array(child(0, 2)))
-            )
-            at = at.select("word", "n", "vector", F.explode(steps).alias("to")).select("to.path", "word", "n", "vector", "to.spent")
+    root = levels[0].first()
+    whole = root is None or root["closed"]
+    at = words.select(F.substring("vector", 1, 0).alias("path"), "word", "n", "vector", F.lit(0).alias("spent"))
+    reached = at.withColumn("depth", F.lit(0)).where(F.lit(whole))
+    for depth, level in enumerate(levels[1:], 1):
+        own = F.ascii(F.substring("vector", depth, 1))
+        child = lambda step, spent: F.struct(F.concat("path", F.char(own + step)).alias("path"), F.lit(spent).alias("spent"))
+        steps = (
+            F.when(F.col("spent") == 0, F.array(child(0, 0), child(1, 1)))
+            .when(F.col("spent") == 1, F.array(child(0, 1), child(-1, 2)))
+            .otherwise(F.array(child(0, 2)))
+        )
+        at = at.select("word", "n", "vector", F.explode(steps).alias("to")).select("to.path", "word", "n", "vector", "to.spent")
         met = staging.write(at.join(level, "path").withColumn("depth", F.lit(depth)), f"searches-{depth}")
-        ended = met.where("closed").drop("closed", "members")
-        reached = ended if reached is None else reached.unionByName(ended)
+        reached = reached.unionByName(met.where("closed").drop("closed", "members"))
         at = met.where("NOT closed").select("path", "word", "n", "vector", "spent")
     return reached
 

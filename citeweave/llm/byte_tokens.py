@@ -1,9 +1,9 @@
-"""Ids of whole texts by a byte-level vocabulary file, with a cache of pieces in each Python worker.
+"""Ids of whole texts by a byte-level vocabulary file, with the pieces that each Python worker has met.
 
 The tokenizers library splits a text by one pattern and encodes every piece by itself. For texts of plain
 Latin characters the pieces are found by the same pattern here, and the library encodes each piece that
-the worker hasn't met; all other texts, and those that hold a special token's string, go through the
-library as they are. The result is the library's either way; the tests compare it on both kinds.
+the worker doesn't know; the first ``room`` pieces stay known, and they are most of what texts are made
+of. All other texts, and those that hold a special token's string, go through the library as they are. The result is the library's either way; the tests compare it on both kinds.
 """
 
 from __future__ import annotations
@@ -11,12 +11,11 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections import Counter
 from functools import cache
+from itertools import chain
 
 import numpy as np
 
-from citeweave.llm.piece_cache import PieceCache
 from citeweave.llm.word_tokens import _LETTER, _NUMBER, _PLAIN, vocabulary_path
 
 # Fixed value: the pattern by which byte-level vocabularies split, for the characters of _PLAIN.
@@ -26,7 +25,7 @@ _PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^
 class ByteTokens:
     """``encode`` gives the ids of texts as the tokenizers library does, without added special tokens."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, room: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -40,23 +39,27 @@ class ByteTokens:
         self.short_way = spec.get("normalizer") is None and all(before.get(key) == value for key, value in usual.items())
         self.special = [token["content"] for token in spec.get("added_tokens", [])]
         self.size = self.library.get_vocab_size(with_added_tokens=True)
-        self.cache = PieceCache(self._learn, room=800_000)
-
-    def _learn(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        # A line of pieces that begin with a space and go on without one splits into just them again.
-        joins = np.array([len(piece) > 1 and piece[0] == " " and piece[1] not in " \t\n\r" for piece in pieces], bool)
-        found: list[np.ndarray | None] = [None] * len(pieces)
-        at = np.flatnonzero(joins)
-        for i in range(0, len(at), 1000):
-            some = at[i : i + 1000]
-            got = self.library.encode("".join(pieces[k] for k in some), add_special_tokens=False)
-            sizes = np.bincount(np.array(got.word_ids, np.int64), minlength=len(some))
-            for k, ids in zip(some, np.split(np.array(got.ids, np.uint32), np.cumsum(sizes)[:-1]), strict=True):
-                found[k] = ids
-        alone = np.flatnonzero(~joins)
-        for k, got in zip(alone, self.library.encode_batch([pieces[k] for k in alone], add_special_tokens=False), strict=True):
-            found[k] = np.array(got.ids, np.uint32)
-        return np.concatenate(found), np.array([len(ids) for ids in found], np.int64)
+        self.room = room
+        self.numbers: dict[str, int] = {}
+        self.flat, self.starts = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def _learn(self, pieces: set[str]) -> None:
+        """Number the pieces and append their ids."""
+        # In a line of pieces that begin with a space and go on without one, line feeds between them are pieces too.
+        joins = sorted(piece for piece in pieces if len(piece) > 1 and piece[0] == " " and piece[1] not in " \t\n\r")
+        others = sorted(pieces.difference(joins))
+        lines = ["\n".join(joins[i : i + 1000]) for i in range(0, len(joins), 1000)]
+        found = [line.ids for line in self.library.encode_batch_fast(lines, add_special_tokens=False)]
+        feed = self.library.encode("\n", add_special_tokens=False).ids
+        flat = np.array(list(chain.from_iterable(ids + feed for ids in found)), np.uint32)
+        ends = flat == feed[0]
+        sizes = np.diff(np.flatnonzero(np.concatenate([[True], ends]))) - 1
+        alone = [one.ids for one in self.library.encode_batch_fast(others, add_special_tokens=False)]
+        flat = np.concatenate([flat[~ends], np.array(list(chain.from_iterable(alone)), np.uint32)])
+        sizes = np.concatenate([sizes, np.array([len(ids) for ids in alone], np.int64)])
+        self.numbers.update(zip(chain(joins, others), range(len(self.numbers), len(self.numbers) + len(pieces)), strict=True))
+        self.flat = np.concatenate([self.flat, flat])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
 
     def pieces(self, text: str) -> list[str] | None:
         """The pieces of a text that can take the short way, else None."""
@@ -69,23 +72,25 @@ class ByteTokens:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         found = [self.pieces(text) for text in texts]
-        self.cache.prepare(x for x in found if x is not None)
-        return [self.cache.ids(x) if x is not None else self._whole(text) for text, x in zip(texts, found, strict=True)]
-
-    def frequencies(self, texts: list[str]) -> np.ndarray:
-        """How often each id comes in the texts; a piece is looked up once, however often it comes."""
-        counts, total = Counter(), np.zeros(self.size, np.int64)
-        for text in texts:
-            pieces = self.pieces(text)
-            if pieces is None:
-                total += np.bincount(self._whole(text), minlength=self.size)
-            else:
-                counts.update(pieces)
-        distinct = list(counts)
-        self.cache.prepare([distinct])
-        times = np.repeat(np.fromiter(counts.values(), np.int64, len(distinct)), self.cache.sizes(distinct))
-        np.add.at(total, self.cache.ids(distinct), times)
-        return total
+        split = [x for x in found if x is not None]
+        unknown = set().union(*split).difference(self.numbers)
+        kept = len(self.numbers)
+        if unknown:
+            self._learn(unknown)
+        many = np.fromiter(map(len, split), np.int64, len(split))
+        at = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(split)), np.int64, int(many.sum()))
+        begin, size = self.starts[at], self.starts[at + 1] - self.starts[at]
+        out = np.cumsum(size) - size
+        flat = self.flat[np.repeat(begin - out, size) + np.arange(int(size.sum()))]
+        ends = np.append(0, np.cumsum(size))[np.cumsum(many)]
+        if len(self.numbers) > self.room:
+            # Pieces beyond the room are forgotten again, the latest first.
+            for _ in range(len(self.numbers) - max(kept, self.room)):
+                self.numbers.popitem()
+            self.starts = self.starts[: len(self.numbers) + 1].copy()
+            self.flat = self.flat[: self.starts[-1]].copy()
+        of_split = iter(np.split(flat, ends[:-1]))
+        return [next(of_split) if x is not None else self._whole(text) for text, x in zip(texts, found, strict=True)]
 
 
 @cache

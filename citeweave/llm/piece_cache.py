@@ -44,10 +44,6 @@ class PieceCache:
         at = self._at(pieces)
         return int((self.starts[at + 1] - self.starts[at]).sum())
 
-    def sizes(self, pieces: list[str]) -> np.ndarray:
-        at = self._at(pieces)
-        return self.starts[at + 1] - self.starts[at]
-
     def ids(self, pieces: list[str]) -> np.ndarray:
         """The ids of the pieces one after another."""
         at = self._at(pieces)

@@ -187,7 +187,7 @@ def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, written to entropy-coded files and read back from them."""
     staging = Staging(spark, "token-files")
     folder = staging.path("files")
-    token_files.write_ids(documents(spark, sf_dir).select("doc_id", "text"), folder)
+    token_files.write_ids(documents(spark, sf_dir).select("doc_id", "text"), folder, staging)
     return token_files.read_ids(spark, folder)
 
 

@@ -6,9 +6,9 @@ a payload of ``ans_codec``: independent interleaved blocks with checkpoints and
 come before each run). Spark writes and commits all three, so a lost executor costs the repetition of
 its tasks, and any store that Spark writes to will do.
 
-Documents are dealt by ranges of ``doc_id`` and sorted within them; the texts move once. A task closes a
-run after ``RUN`` ids, so what it holds is bounded by that and one document. A run is decoded alone, and a part of
-it from the checkpoint before. The driver holds the frequency table, which the vocabulary bounds.
+Documents are dealt by ranges of ``doc_id`` and sorted within them; the texts move once and are encoded once: runs are
+first written as plain numbers, counted, and coded where they lie. A task closes a run after ``RUN`` ids, so what it
+holds is bounded by that and one document. A run is decoded alone, and a part of it from the checkpoint before. The driver holds the frequency table, which the vocabulary bounds.
 
 Null and empty texts have the end id only. Null ids come first. Rows that repeat a ``doc_id`` are documents each, in
 the order of their texts' hashes and texts, so an id that a third of all rows share is dealt over several ranges. Texts are
@@ -29,33 +29,17 @@ from pyspark.sql import functions as F
 from citeweave.llm import ans_codec
 from citeweave.llm.byte_tokens import byte_tokens
 from citeweave.llm.piece_cache import in_portions
+from citeweave.staging import Staging
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
 RUN = 1 << 20
 
+PLAIN = "part int, run int, doc_ids array<long>, sizes array<long>, width int, ids binary"
 RUNS = "part int, run int, doc_ids array<long>, sizes array<long>, tokens long, payload binary"
 READ = "doc_id long, at long, n_tokens long, ids_crc32 long"
 
 
-def id_counts(docs: DataFrame, vocabulary: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids that occur in the documents, end ids included, and how often; as many as the vocabulary has at most."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = byte_tokens(vocabulary)
-        total = np.zeros(max(encoder.size, end_id + 1), np.int64)
-        for batch in batches:
-            total[end_id] += batch.num_rows
-            for portion in in_portions([text or "" for text in batch.column(0).to_pylist()]):
-                total[: encoder.size] += encoder.frequencies(portion)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], ["id", "n"])
-
-    counts = docs.select("text").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
-    rows = sorted(tuple(row) for row in counts.collect())
-    return np.array([i for i, _ in rows], np.int64), np.array([n for _, n in rows], np.int64)
-
-
 def in_order(docs: DataFrame) -> DataFrame:
     """(doc_id, text) in ranges that ascend with the partitions, sorted within each."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
@@ -63,34 +47,26 @@ def in_order(docs: DataFrame) -> DataFrame:
     return hashed.repartitionByRange("doc_id", "hash").sortWithinPartitions("doc_id", "hash", "text").select("doc_id", "text")
 
 
-def write_ids(docs: DataFrame, folder: str, *, vocabulary: str = VOCABULARY, end_id: int = END_ID, run_ids: int = RUN) -> None:
-    """Write the token ids of every document in ascending ``doc_id`` order."""
-    spark = docs.sparkSession
-    ids, counts = id_counts(docs, vocabulary, end_id)
-    freq = ans_codec.scaled(counts)
-    rows = [(int(i), int(f)) for i, f in zip(ids, freq, strict=True)]
-    spark.createDataFrame(rows, "id long, freq long").coalesce(1).write.mode("overwrite").parquet(f"{folder}/table")
-    shared = spark.sparkContext.broadcast((ids, freq))
+def encoded_runs(docs: DataFrame, vocabulary: str, end_id: int, run_ids: int) -> DataFrame:
+    """Runs of whole documents in order, their ids as plain numbers of ``width`` bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, number = byte_tokens(vocabulary), TaskContext.get().partitionId(), 0
-        table = ans_codec.Table(*shared.value)
+        width = 2 if max(encoder.size, end_id + 1) <= 1 << 16 else 4
         names: list[int | None] = []
         held: list[np.ndarray] = []
         size = 0
 
         def closed() -> pa.RecordBatch:
-            lengths = [len(x) for x in held]
-            payload = ans_codec.encode(np.concatenate(held), table)
             columns = [
                 pa.array([part], pa.int32()),
                 pa.array([number], pa.int32()),
                 pa.array([names], pa.list_(pa.int64())),
-                pa.array([lengths], pa.list_(pa.int64())),
-                pa.array([sum(lengths)], pa.int64()),
-                pa.array([payload], pa.binary()),
+                pa.array([[len(x) for x in held]], pa.list_(pa.int64())),
+                pa.array([width], pa.int32()),
+                pa.array([np.concatenate(held).astype(f"<u{width}").tobytes()], pa.binary()),
             ]
-            return pa.RecordBatch.from_arrays(columns, ["part", "run", "doc_ids", "sizes", "tokens", "payload"])
+            return pa.RecordBatch.from_arrays(columns, ["part", "run", "doc_ids", "sizes", "width", "ids"])
 
         for batch in batches:
             doc_ids, at = batch.column(0).to_pylist(), 0
@@ -106,7 +82,52 @@ def write_ids(docs: DataFrame, folder: str, *, vocabulary: str = VOCABULARY, end
         if held:
             yield closed()
 
-    in_order(docs).mapInArrow(run, RUNS).write.mode("overwrite").parquet(f"{folder}/runs")
+    return in_order(docs).mapInArrow(run, PLAIN)
+
+
+def id_counts(runs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Ids that occur in the runs, and how often; as many as the vocabulary has at most."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(0, np.int64)
+        for batch in batches:
+            for ids, width in zip(batch.column(0), batch.column(1), strict=True):
+                counts = np.bincount(np.frombuffer(ids.as_py(), f"<u{width.as_py()}"))
+                total = np.pad(total, (0, max(0, len(counts) - len(total))))
+                total[: len(counts)] += counts
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], ["id", "n"])
+
+    counts = runs.select("ids", "width").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    rows = sorted(tuple(row) for row in counts.collect())
+    return np.array([i for i, _ in rows], np.int64), np.array([n for _, n in rows], np.int64)
+
+
+def write_ids(
+    docs: DataFrame, folder: str, staging: Staging, *, vocabulary: str = VOCABULARY, end_id: int = END_ID, run_ids: int = RUN
+) -> None:
+    """Write the token ids of every document in ascending ``doc_id`` order."""
+    spark = docs.sparkSession
+    # Encoded once: the table of frequencies has to be known before the first block is coded.
+    path = staging.path("plain-runs")
+    encoded_runs(docs, vocabulary, end_id, run_ids).write.option("compression", "zstd").parquet(path)
+    plain = spark.read.schema(PLAIN).parquet(path)
+    ids, counts = id_counts(plain)
+    freq = ans_codec.scaled(counts)
+    rows = [(int(i), int(f)) for i, f in zip(ids, freq, strict=True)]
+    spark.createDataFrame(rows, "id long, freq long").coalesce(1).write.mode("overwrite").parquet(f"{folder}/table")
+    shared = spark.sparkContext.broadcast((ids, freq))
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = ans_codec.Table(*shared.value)
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1)
+                numbers = np.frombuffer(row.column(5)[0].as_py(), f"<u{row.column(4)[0].as_py()}")
+                columns = [*row.columns[:4], pa.array([len(numbers)], pa.int64()), pa.array([ans_codec.encode(numbers, table)], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["part", "run", "doc_ids", "sizes", "tokens", "payload"])
+
+    plain.mapInArrow(code, RUNS).write.mode("overwrite").parquet(f"{folder}/runs")
     runs = spark.read.schema(RUNS).parquet(f"{folder}/runs").select("part", "run", "tokens")
     before = lambda window: F.coalesce(F.sum("tokens").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     # As many parts as tasks wrote; runs are numbered within them.

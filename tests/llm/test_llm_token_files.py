@@ -94,9 +94,10 @@ def test_ids_equal_the_library():
     texts = [text or "" for text in TEXTS] + ["".join(draw.choices(parts, k=draw.choice([1, 3, 20, 90]))) for _ in range(600)]
     want = [model.library.encode(text, add_special_tokens=False).ids for text in texts]
     assert [list(ids) for ids in model.encode(texts)] == want
-    assert list(model.frequencies(texts)) == list(np.bincount(np.concatenate(want).astype(int), minlength=model.size))
-    model.cache.room = 3
-    assert [list(ids) for ids in model.encode(texts)] == want
+    small = byte_tokens.ByteTokens(PATH, room=60)
+    assert [list(ids) for at in range(0, len(texts), 50) for ids in small.encode(texts[at : at + 50])] == want
+    assert len(small.numbers) == 60 < len(model.numbers)
+    assert small.encode([]) == []
 
 
 def plain(docs):
@@ -120,7 +121,7 @@ def test_odd_documents(frame, staging):
     rows = [(i, text, "x", 1) for i, text in enumerate(TEXTS)] + [(4, TEXTS[9], None, None), (4, TEXTS[4], None, None), (None, "no id", None, 2), (-5, "below", "", 3)]
     docs = frame(rows, "doc_id long, text string, payload string, start long")
     folder = staging.path("files")
-    token_files.write_ids(docs, folder, run_ids=10)
+    token_files.write_ids(docs, folder, staging, run_ids=10)
     found = token_files.read_ids(docs.sparkSession, folder, with_ids=True).collect()
     library = Tokenizer.from_file(PATH)
     want = sorted((-1e9 if d is None else d, [*library.encode(t or "", add_special_tokens=False).ids, 2]) for d, t, _, _ in rows)
@@ -139,6 +140,6 @@ def test_empty_table_and_long_text(frame, staging):
     docs = frame([(1, "many words of a long text, 12 times over. " * 60_000), (2, "z" * 300_000)], "doc_id long, text string")
     for table in (docs, docs.limit(0)):
         folder = staging.path("files")
-        token_files.write_ids(table, folder)
+        token_files.write_ids(table, folder, staging)
         found = token_files.read_ids(docs.sparkSession, folder)
         assert sorted(tuple(r) for r in found.collect()) == plain([tuple(r) for r in table.collect()])

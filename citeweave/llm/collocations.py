@@ -2,7 +2,8 @@
 
 Every word is the beginning of a suffix: itself and the words after it in its piece, up to ``DEPTH`` words. A
 first pass counts all words of each language, and how many suffixes fall to each of ``BUCKETS`` buckets by
-their two leading words. A second pass sends the suffixes to tasks by those leading words; those of a
+their two leading words. A second pass ends pieces at words that are not frequent, as no frequent phrase holds one (a table of
+``BITS`` bits rules them out), and sends the suffixes to tasks by their two leading words; those of a
 bucket that is too large are sent by all their words instead, so that a pair of words that a third of the
 corpus holds is dealt over many tasks, and what such a task sees of a pair or a triple is added up afterwards. Equal suffixes
 of one portion travel as one, with a count, and a portion's suffixes for one task travel as one packed block of word
@@ -31,6 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,24 +43,28 @@ DEPTH = 4
 BUCKETS = 1 << 16
 #: Suffixes of a bucket beyond which it is dealt by all words, and suffixes that one task should get.
 HOT, TASK = 1 << 19, 1 << 20
-#: Suffixes sorted out together before they travel, and bytes of a text read at a time.
+#: Words sorted out together before they travel, and bytes of a text read at a time.
 PORTION, READ = 1 << 20, 1 << 22
+#: Bits that tell which words can be frequent.
+BITS = 1 << 24
 #: Distinct words that a task holds before it passes their counts on.
 HELD = 400_000
 
 # What ends a piece and what stands between words; capitals become small letters.
 _ENDS, _GAPS = b".,;:!?\n\x0b\x0c\r", b"\t"
-_TABLE = bytes(10 if i in _ENDS else 32 if i in _GAPS else i + 32 if 65 <= i <= 90 else i for i in range(256))
+# A byte that no UTF-8 text holds stands for the end of a piece.
+_END = b"\xff"
+_TABLE = bytes(255 if i in _ENDS else 32 if i in _GAPS else i + 32 if 65 <= i <= 90 else i for i in range(256))
 
 COUNTS = "lang string, word string, n long"
-_HEAD = struct.Struct("<IIB")
+_HEAD = struct.Struct("<IIBB")
 
 
 class Numbers(dict):
     """Numbers words as they come; 0 ends a piece."""
 
     def __init__(self):
-        super().__init__({b"\n": 0})
+        super().__init__({_END: 0})
 
     def __missing__(self, word: bytes) -> int:
         self[word] = number = len(self)
@@ -66,84 +72,87 @@ class Numbers(dict):
 
 
 def portions(text: str | None, most: int = READ) -> Iterator[list[bytes]]:
-    """Words and ends of pieces (as line feeds) of a text, in portions that cut no word."""
-    data = (text or "").encode("utf-8", "surrogatepass").translate(_TABLE)
+    """Words and ends of pieces of a text, in portions that cut no word."""
+    data = (text or "").encode().translate(_TABLE)
     at = 0
     while at < len(data):
         end = at + most
         if end < len(data):
-            cuts = [cut for cut in (data.find(b" ", end), data.find(b"\n", end)) if cut >= 0]
+            cuts = [cut for cut in (data.find(b" ", end), data.find(_END, end)) if cut >= 0]
             end = min(cuts, default=len(data))
-        part = data[at:end].replace(b"\n", b" \n ")
-        yield [word for word in part.split(b" ") if word]
+        yield data[at:end].replace(_END, b" " + _END + b" ").split()
         at = end
 
 
-def word_hashes(words: list[bytes], salt: bytes) -> np.ndarray:
-    return np.fromiter((xxhash.xxh3_64_intdigest(salt + word) for word in words), np.uint64, len(words))
-
-
 def _mix(h: np.ndarray, more: np.ndarray) -> np.ndarray:
     h = (h ^ more) * np.uint64(0x9E3779B97F4A7C15)
     return h ^ (h >> np.uint64(29))
 
 
-class Suffixes:
-    """Suffixes of one language: rows of ``DEPTH`` word numbers, 0 beyond the end of the piece."""
+class Portion:
+    """Words of one language as numbers, text after text; 0 ends a piece."""
 
-    def __init__(self, lang: str):
+    def __init__(self, lang: str, begin: list[bytes] | None = None):
         self.lang, self.numbers, self.size = lang, Numbers(), 0
-        self.rows: list[np.ndarray] = []
-
-    def add(self, text: str | None) -> None:
-        number, carried = self.numbers.__getitem__, np.zeros(0, np.int32)
-        for words in portions(text):
-            codes = np.concatenate([carried, np.fromiter(map(number, words), np.int32, len(words))])
-            # The last words wait for those that follow them.
-            keep = max(len(codes) - DEPTH + 1, 0)
-            self._take(codes, keep)
-            carried = codes[keep:]
-        self._take(np.concatenate([carried, np.zeros(DEPTH - 1, np.int32)]), len(carried))
-
-    def _take(self, codes: np.ndarray, many: int) -> None:
-        if many <= 0:
-            return
-        rows = np.lib.stride_tricks.sliding_window_view(codes, DEPTH)[:many]
-        rows = rows[rows[:, 0] != 0].copy()
-        for k in range(1, DEPTH):
-            rows[rows[:, k - 1] == 0, k] = 0
-        self.rows.append(rows)
-        self.size += len(rows)
+        self.parts: list[np.ndarray] = []
+        self.add(begin or [])
 
-    def matrix(self) -> np.ndarray:
-        return np.concatenate(self.rows) if self.rows else np.zeros((0, DEPTH), np.int32)
+    def add(self, words: list[bytes]) -> None:
+        self.parts.append(np.fromiter(map(self.numbers.__getitem__, words), np.int32, len(words)))
+        self.size += len(words)
+
+    def close(self, within: bool) -> list[bytes]:
+        """No more words. Within a text the last ones begin no suffix here, as they lack those that follow; they are returned."""
+        ahead = min(DEPTH - 1, self.size) if within else DEPTH - 1
+        self.codes = np.concatenate(self.parts if within else [*self.parts, np.zeros(ahead, np.int32)])
+        self.starts = len(self.codes) - ahead
+        self.words = list(self.numbers)
+        return [self.words[k] for k in self.codes[self.starts :]] if within else []
 
     def hashes(self) -> np.ndarray:
-        found = word_hashes(list(self.numbers), self.lang.encode("utf-8", "surrogatepass") + b"\n")
+        salt = self.lang.encode() + b"\n"
+        found = np.fromiter((xxhash.xxh3_64_intdigest(salt + word) for word in self.words), np.uint64, len(self.words))
         found[0] = 0
         return found
 
+    def suffixes(self, frequent: np.ndarray) -> np.ndarray:
+        """Rows of ``DEPTH`` numbers for the suffixes of two words and more, 0 beyond the end; a word that is not ``frequent`` ends a piece."""
+        codes = np.where(frequent[self.codes], self.codes, 0)
+        first = np.flatnonzero((codes[: self.starts] != 0) & (codes[1 : self.starts + 1] != 0))
+        rows = np.empty((len(first), DEPTH), np.int32)
+        for k in range(DEPTH):
+            rows[:, k] = codes[first + k]
+            if k > 1:
+                rows[rows[:, k - 1] == 0, k] = 0
+        return rows
+
 
-def bucket_of(hashed: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    return (_mix(hashed[rows[:, 0]], hashed[rows[:, 1]]) >> np.uint64(40)) % np.uint64(BUCKETS)
+def bucket_of(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return ((_mix(first, second) >> np.uint64(40)) % np.uint64(BUCKETS)).astype(np.int64)
 
 
-def _gathered(batches: Iterator[pa.RecordBatch], portion: int) -> Iterator[Suffixes]:
-    """The suffixes of a task's documents, in sets of bounded size of one language each."""
-    held: dict[str, Suffixes] = {}
+def _gathered(batches: Iterator[pa.RecordBatch], portion: int) -> Iterator[Portion]:
+    """A task's words in portions of bounded size, of one language each."""
+    held: dict[str, Portion] = {}
     total = 0
     for batch in batches:
         for text, lang in zip(batch.column(0), batch.column(1), strict=True):
             name = lang.as_py()
-            name = UNKNOWN if name is None else name
-            some = held.setdefault(name, Suffixes(name))
-            before = some.size
-            some.add(text.as_py())
-            total += some.size - before
-            if total >= portion:
-                yield from held.values()
-                held, total = {}, 0
-    yield from held.values()
+            for words in portions(text.as_py(), min(READ, 8 * portion)):
+                if total >= portion:
+                    begin = held[name].close(within=True) if name in held else []
+                    for other, some in held.items():
+                        if other != name:
+                            some.close(within=False)
+                        yield some
+                    held, total = {name: Portion(name, begin)}, 0
+                held.setdefault(name, Portion(name)).add(words)
+                total += len(words)
+            if name in held:
+                held[name].add([_END])
+    for some in held.values():
+        some.close(within=False)
+        yield some
 
 
 def count_words(docs: DataFrame, staging: Staging, portion: int = PORTION) -> tuple[DataFrame, np.ndarray]:
@@ -157,17 +166,25 @@ def count_words(docs: DataFrame, staging: Staging, portion: int = PORTION) -> tu
             columns = [pa.array([lang] * len(words), pa.string()), pa.array(words, pa.string()), pa.array(n, pa.int64())]
             return pa.RecordBatch.from_arrays(columns, ["lang", "word", "n"])
 
+        def flush() -> Iterator[pa.RecordBatch]:
+            for lang, found in counts.items():
+                yield rows(lang, [word.decode() for word in found], list(found.values()))
+            counts.clear()
+
         for some in _gathered(batches, portion):
-            matrix, words = some.matrix(), list(some.numbers)
-            n = np.bincount(matrix[:, 0], minlength=len(words))
-            counts.setdefault(some.lang, Counter()).update({words[k]: int(n[k]) for k in np.flatnonzero(n)})
-            load += np.bincount(bucket_of(some.hashes(), matrix[matrix[:, 1] != 0]).astype(np.int64), minlength=BUCKETS)
+            n = np.bincount(some.codes[: some.starts], minlength=len(some.words))
+            n[0] = 0
+            at = np.flatnonzero(n)
+            known = counts.setdefault(some.lang, Counter())
+            for k, times in zip(at.tolist(), n[at].tolist(), strict=True):
+                known[some.words[k]] += times
+            hashed = some.hashes()
+            first, second = some.codes[: some.starts], some.codes[1 : some.starts + 1]
+            pairs = np.flatnonzero((first != 0) & (second != 0))
+            load += np.bincount(bucket_of(hashed[first[pairs]], hashed[second[pairs]]), minlength=BUCKETS)
             if sum(map(len, counts.values())) >= HELD:
-                for lang, found in counts.items():
-                    yield rows(lang, [w.decode("utf-8", "surrogatepass") for w in found], list(found.values()))
-                counts.clear()
-        for lang, found in counts.items():
-            yield rows(lang, [w.decode("utf-8", "surrogatepass") for w in found], list(found.values()))
+                yield from flush()
+        yield from flush()
         at = np.flatnonzero(load)
         yield rows(None, [str(k) for k in at], load[at])
 
@@ -180,63 +197,87 @@ def count_words(docs: DataFrame, staging: Staging, portion: int = PORTION) -> tu
     return words, load
 
 
-def pack(lang: str, words: list[bytes], rows: np.ndarray, weight: np.ndarray, split: np.ndarray) -> bytes:
-    """A block of suffixes with just the words that they hold."""
-    used, codes = np.unique(rows, return_inverse=True)
-    texts = [lang.encode("utf-8", "surrogatepass"), *[words[k] if k else b"" for k in used]]
+def frequent_bits(words: DataFrame, least: int) -> np.ndarray:
+    """``BITS`` bits: those of words that are frequent in their language are set. A bit that is not set rules words out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(BITS, bool)
+        for batch in batches:
+            for lang, word in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                bits[xxhash.xxh3_64_intdigest(f"{lang}\n{word}".encode()) % BITS] = True
+        packed = np.packbits(bits).view("<i8")
+        at = np.flatnonzero(packed)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(packed[at], pa.int64())], ["at", "bits"])
+
+    found = np.zeros(BITS // 64, "<i8")
+    parts = words.where(F.col("n") >= least).select("lang", "word").mapInArrow(run, "at long, bits long")
+    for row in parts.groupBy("at").agg(F.bit_or("bits").alias("bits")).collect():
+        found[row["at"]] = row["bits"]
+    return np.unpackbits(found.view(np.uint8)).astype(bool)
+
+
+def pack(lang: str, words: list[bytes], rows: np.ndarray, weight: np.ndarray, split: np.ndarray, number: np.ndarray) -> bytes:
+    """A block of suffixes with just the words that they hold; ``number`` is room for as many numbers as there are words."""
+    number[rows] = 1
+    number[0] = 0
+    used = np.flatnonzero(number)
+    number[used] = np.arange(1, len(used) + 1)
+    codes = number[rows]
+    number[used] = 0
+    texts = [lang.encode(), *[words[k] for k in used]]
     sizes = np.fromiter(map(len, texts), "<u4", len(texts))
-    kind = "<u2" if len(used) < 1 << 16 else "<u4"
-    parts = [_HEAD.pack(len(texts), len(rows), 2 if kind == "<u2" else 4), sizes.tobytes(), *texts]
-    # The number 0 has to be there, for the ends of pieces.
-    codes = codes.reshape(rows.shape) + (0 if len(used) and used[0] == 0 else 1)
-    return b"".join([*parts, codes.astype(kind).tobytes(), weight.astype("<u4").tobytes(), split.astype(np.uint8).tobytes()])
+    width = 2 if len(used) < (1 << 16) - 1 else 4
+    heavy = 4 if len(weight) and weight.max() > 255 else 1
+    # Column by column, as rows are sorted and columns then compress.
+    columns = [codes.T.astype(f"<u{width}").tobytes(), weight.astype(f"<u{heavy}").tobytes(), split.astype(np.uint8).tobytes()]
+    block = b"".join([_HEAD.pack(len(texts), len(rows), width, heavy), sizes.tobytes(), *texts, *columns])
+    return zstandard.ZstdCompressor(level=1).compress(block)
 
 
 def unpack(block: bytes) -> tuple[bytes, list[bytes], np.ndarray, np.ndarray, np.ndarray]:
     """(lang, words, rows, weight, split) of a block; word 0 is the end of a piece."""
-    many, n, width = _HEAD.unpack_from(block)
+    block = zstandard.ZstdDecompressor().decompress(block)
+    many, n, width, heavy = _HEAD.unpack_from(block)
     at = _HEAD.size
     sizes = np.frombuffer(block, "<u4", many, at)
-    at += 4 * many
-    ends = at + np.cumsum(sizes, dtype=np.int64)
-    texts = [block[end - size : end] for end, size in zip(ends, sizes, strict=True)]
-    at = int(ends[-1])
-    rows = np.frombuffer(block, f"<u{width}", n * DEPTH, at).reshape(n, DEPTH)
+    ends = (at + 4 * many + np.cumsum(sizes, dtype=np.int64)).tolist()
+    texts = [block[begin:end] for begin, end in zip([at + 4 * many, *ends], ends, strict=False)]
+    at = ends[-1]
+    rows = np.frombuffer(block, f"<u{width}", n * DEPTH, at).reshape(DEPTH, n).T
     at += n * DEPTH * width
-    weight = np.frombuffer(block, "<u4", n, at)
-    split = np.frombuffer(block, np.uint8, n, at + 4 * n)
-    words = texts[1:]
-    if not words or words[0]:
-        words = [b"", *words]
-    return texts[0], words, rows, weight, split
+    weight = np.frombuffer(block, f"<u{heavy}", n, at)
+    split = np.frombuffer(block, np.uint8, n, at + heavy * n)
+    return texts[0], [_END, *texts[1:]], rows, weight, split
 
 
-def routed(docs: DataFrame, hot: np.ndarray, routes: int, portion: int) -> DataFrame:
-    """(route, block): the suffixes of two words and more, equal ones of a portion as one."""
-    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(hot))
+def routed(docs: DataFrame, hot: np.ndarray, bits: np.ndarray, routes: int, portion: int) -> DataFrame:
+    """(route, block): the suffixes of two frequent words and more, equal ones of a portion as one."""
+    shared = docs.sparkSession.sparkContext.broadcast((np.packbits(hot), np.packbits(bits)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        is_hot = np.unpackbits(shared.value, count=BUCKETS).astype(bool)
+        is_hot, is_frequent = (np.unpackbits(x).astype(bool) for x in shared.value)
         for some in _gathered(batches, portion):
-            rows, words, hashed = some.matrix(), list(some.numbers), some.hashes()
-            rows = rows[rows[:, 1] != 0]
+            hashed = some.hashes()
+            frequent = is_frequent[(hashed % np.uint64(BITS)).astype(np.int64)]
+            frequent[0] = False
+            rows = some.suffixes(frequent)
             if not len(rows):
                 continue
             pair = _mix(hashed[rows[:, 0]], hashed[rows[:, 1]])
             whole = _mix(_mix(pair, hashed[rows[:, 2]]), hashed[rows[:, 3]])
-            split = is_hot[bucket_of(hashed, rows).astype(np.int64)]
-            route = (np.where(split, whole, pair) >> np.uint64(8)) % np.uint64(routes)
-            order = np.lexsort((whole, route))
+            split = is_hot[bucket_of(hashed[rows[:, 0]], hashed[rows[:, 1]])]
+            route = ((np.where(split, whole, pair) >> np.uint64(8)) % np.uint64(routes)).astype(np.int64)
+            order = np.lexsort((whole, rows[:, 1].astype(np.int64) + (rows[:, 0].astype(np.int64) << 32), route))
             rows, route, split = rows[order], route[order], split[order]
-            new = np.concatenate([[True], (rows[1:] != rows[:-1]).any(1)])
-            first = np.flatnonzero(new)
+            first = np.flatnonzero(np.concatenate([[True], (rows[1:] != rows[:-1]).any(1) | (route[1:] != route[:-1])]))
             weight = np.diff(np.append(first, len(rows)))
             rows, route, split = rows[first], route[first], split[first]
             edges = np.append(np.flatnonzero(np.concatenate([[True], route[1:] != route[:-1]])), len(rows))
-            blocks = [pack(some.lang, words, rows[a:b], weight[a:b], split[a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(route[edges[:-1]].astype(np.int64)), pa.array(blocks, pa.binary())], ["route", "block"])
+            number = np.zeros(len(some.words), np.int64)
+            blocks = [pack(some.lang, some.words, rows[a:b], weight[a:b], split[a:b], number) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(route[edges[:-1]], pa.int32()), pa.array(blocks, pa.binary())], ["route", "block"])
 
-    return docs.select("text", "lang").mapInArrow(run, "route long, block binary")
+    return docs.select("text", "lang").mapInArrow(run, "route int, block binary")
 
 
 def multikey_quicksort(rows: np.ndarray, weight: np.ndarray, least: int) -> Iterator[tuple[int, int, int]]:
@@ -289,18 +330,19 @@ def count_routed(least: int):
         for batch in batches:
             for block in batch.column(0):
                 lang, words, some, weight, split = unpack(block.as_py())
-                of = np.fromiter((numbers[w] if w else 0 for w in words), np.int32, len(words))
-                rows.append(np.column_stack([np.full(len(some), langs[lang + b"\n\n"], np.int32), of[some]]))
+                of = np.fromiter(map(numbers.__getitem__, words), np.int32, len(words))
+                # A byte before the name keeps it from being an end.
+                rows.append(np.column_stack([np.full(len(some), langs[b"=" + lang], np.int32), of[some]]))
                 weights.append(weight.astype(np.int64))
                 splits.append(split.astype(bool))
         if not rows:
             return
         matrix, weight, split = np.concatenate(rows), np.concatenate(weights), np.concatenate(splits)
         rows.clear()
-        lang_texts, texts = [x[:-2].decode("utf-8", "surrogatepass") for x in langs], list(numbers)
+        lang_texts, texts = ["", *[x[1:].decode() for x in list(langs)[1:]]], list(numbers)
 
         def batch_of(found: list[tuple[int, int, int]]) -> pa.RecordBatch:
-            phrases = [b" ".join(texts[c] for c in matrix[row, 1 : depth + 1]).decode("utf-8", "surrogatepass") for row, depth, _ in found]
+            phrases = [b" ".join(texts[c] for c in matrix[row, 1 : depth + 1]).decode() for row, depth, _ in found]
             columns = [
                 pa.array([lang_texts[matrix[row, 0]] for row, _, _ in found], pa.string()),
                 pa.array(phrases, pa.string()),
@@ -339,7 +381,8 @@ def frequent_phrases(
     words, load = count_words(docs, staging, portion)
     words = staging.write(words, "words")
     routes = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-int(load.sum()) // task))
-    blocks = routed(docs, load > hot, routes, portion).repartition(routes, "route")
+    # Bits and hot buckets are of fixed size, whatever the corpus is.
+    blocks = routed(docs, load > hot, frequent_bits(words, least), routes, portion).repartitionById(routes, "route")
     parts = staging.write(blocks.select("block").mapInArrow(count_routed(least), "lang string, phrase string, words int, n long"), "counted")
     longer = parts.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     single = words.where(F.col("n") >= least).select("lang", F.col("word").alias("phrase"), F.lit(1).alias("words"), "n")

@@ -95,7 +95,7 @@ def test_portions_cut_no_word():
     whole = [word for part in col.portions(text) for word in part]
     for most in (1, 2, 7, 100):
         assert [word for part in col.portions(text, most) for word in part] == whole
-    assert list(col.portions(None)) == [] and whole[:4] == [b"one", b"two", b"\n", b"three"]
+    assert list(col.portions(None)) == [] and whole[:4] == [b"one", b"two", b"\xff", b"three"]
 
 
 def test_quicksort_counts():
@@ -116,12 +116,11 @@ def test_quicksort_counts():
 
 def test_blocks_come_back():
     numbers = np.array([[1, 2, 0, 0], [5, 1, 2, 3]], np.int32)
-    words = [b"\n", b"a", b"b", b"c", b"d", "é".encode()]
-    for rows_ in (numbers, numbers[1:]):
-        lang, texts, codes, weight, split = col.unpack(col.pack("fr", words, rows_, np.arange(len(rows_)) + 1, np.ones(len(rows_), bool)))
-        back = [[texts[c] for c in row] for row in codes]
-        assert lang == b"fr" and back == [[words[c] if c else b"" for c in row] for row in rows_]
-        assert list(weight) == list(range(1, len(rows_) + 1)) and split.all()
+    words = [b"\xff", b"a", b"b", b"c", b"d", "é".encode()]
+    for rows_, weight in ((numbers, np.array([1, 2])), (numbers[1:], np.array([70_000]))):
+        lang, texts, codes, heavy, split = col.unpack(col.pack("fr", words, rows_, weight, np.ones(len(rows_), bool), np.zeros(6, np.int64)))
+        assert lang == b"fr" and [[texts[c] for c in row] for row in codes] == [[words[c] for c in row] for row in rows_]
+        assert list(heavy) == list(weight) and split.all()
 
 
 def test_products_beyond_64_bits(frame):

@@ -1,7 +1,8 @@
 """The jobs as commands: ``spark-submit citeweave/jobs.py <job> ...`` or ``python -m citeweave.jobs <job> ...``.
 
-A corpus is a folder with the tables ``papers``, ``edges``, ``done``, ``rejects`` and ``page_rejects``. Jobs that
-write take a batch number: running a job again under the same number replaces what it wrote.
+A corpus is a folder with the tables ``papers``, ``edges``, ``done``, ``discoveries``, ``rejects`` and ``page_rejects``. Jobs
+that write take a batch number: running a job again under the same number replaces what it wrote. All tables of a batch
+count from the job's end on, or none.
 ``follow`` takes the first number of its micro-batches and needs all later ones for itself.
 """
 
@@ -17,13 +18,13 @@ from citeweave.plans.collect import collect_pages
 from citeweave.plans.curate import PER_TERM, copy_seed, curate, curated_edges
 from citeweave.plans.expand import expand_hops
 from citeweave.plans.validate import validate
-from citeweave.schemas import LEGACY_EDGES, LEGACY_PAPERS, PAPERS, PAPERS_CURATED
+from citeweave.schemas import LEGACY_EDGES, LEGACY_PAPERS
 from citeweave.session import build_session
+from citeweave.sources.corpus import BUCKETS, SEED_BATCH, Corpus
 from citeweave.sources.landed import scan_responses, scan_result_pages
-from citeweave.sources.tables import SEED_BATCH, append_batch, append_papers, create_papers, read_edges, read_papers, read_table
 from citeweave.sources.terms import first_positions, read_terms, slice_exclusive, slice_inclusive
 from citeweave.staging import Staging
-from citeweave.streaming.ingest import DONE, Corpus, ingest_batch, ingest_responses
+from citeweave.streaming.ingest import ingest_batch, ingest_responses, settle
 
 
 def listed_terms(spark: SparkSession, args: argparse.Namespace, staging: Staging) -> DataFrame:
@@ -32,25 +33,31 @@ def listed_terms(spark: SparkSession, args: argparse.Namespace, staging: Staging
     return staging.write(first_positions(cut(terms, args.start, args.end)), "terms")
 
 
+def opened(spark: SparkSession, args: argparse.Namespace, root: str) -> Corpus:
+    """The corpus below ``root``, made if there is none."""
+    corpus = Corpus.below(root)
+    corpus.create(spark, args.buckets)
+    return corpus
+
+
 def run_collect(spark, args, staging):
     """Stored result pages to seed papers."""
-    corpus = Corpus.below(args.corpus)
-    corpus.create(spark)
-    known = read_papers(spark, corpus.papers, before=args.batch)
+    corpus = opened(spark, args, args.corpus)
+    known = corpus.read(spark, "papers", before=args.batch)
     resume = None
     if args.resume:
         term, page, item = args.resume
         resume = (term, int(page), int(item))
     pages = scan_result_pages(spark, args.pages)
     fresh, rejects = collect_pages(pages, listed_terms(spark, args, staging), known, args.base_url, staging, resume=resume)
-    append_papers(fresh, corpus.papers, args.batch)
-    append_batch(rejects, corpus.page_rejects, args.batch)
+    with corpus.batch(spark, args.batch) as out:
+        out.append("papers", fresh)
+        out.append("page_rejects", rejects)
 
 
 def run_expand(spark, args, staging):
     """Landed look-ups of one hop to papers and edges of the next."""
-    corpus = Corpus.below(args.corpus)
-    corpus.create(spark)
+    corpus = opened(spark, args, args.corpus)
     responses = scan_responses(spark, args.responses, args.format)
     terms = listed_terms(spark, args, staging)
     ingest_batch(corpus, terms, args.hop, responses, args.batch, skip_done=True, retry_failed=args.retry_failed)
@@ -58,8 +65,7 @@ def run_expand(spark, args, staging):
 
 def run_follow(spark, args, staging):
     """As ``expand``, micro-batch by micro-batch over what has landed since the last start."""
-    corpus = Corpus.below(args.corpus)
-    corpus.create(spark)
+    corpus = opened(spark, args, args.corpus)
     terms = listed_terms(spark, args, staging)
     ingest_responses(
         spark,
@@ -70,32 +76,39 @@ def run_follow(spark, args, staging):
         args.checkpoint,
         first_batch=args.batch,
         files_per_batch=args.files_per_batch,
+        by_order=args.by_order,
     ).awaitTermination()
 
 
+def run_settle(spark, args, staging):
+    """The papers found by ``follow --by-order``, with ids in the order of their first discoveries."""
+    settle(Corpus.below(args.corpus), spark, args.hop, args.batch)
+
+
 def run_curate(spark, args, staging):
-    """The first papers of every term to the curated table."""
-    create_papers(spark, args.curated, PAPERS_CURATED)
-    curated = read_table(spark, args.curated, PAPERS_CURATED, before=args.batch)
-    papers = read_papers(spark, Corpus.below(args.corpus).papers)
-    fresh = curate(papers, listed_terms(spark, args, staging), curated, staging, args.per_term)
-    append_papers(fresh, args.curated, args.batch)
+    """The first papers of every term to the curated corpus."""
+    curated = opened(spark, args, args.curated)
+    papers = Corpus.below(args.corpus).read(spark, "papers")
+    known = curated.read(spark, "papers", before=args.batch)
+    fresh = curate(papers, listed_terms(spark, args, staging), known, staging, args.per_term)
+    with curated.batch(spark, args.batch) as out:
+        out.append("papers", fresh)
 
 
 def run_copy(spark, args, staging):
     """Seed papers and the edges that leave them to another corpus."""
-    source, target = Corpus.below(args.corpus), Corpus.below(args.target)
-    target.create(spark)
+    source, target = Corpus.below(args.corpus), opened(spark, args, args.target)
     papers, edges = copy_seed(
         source.read_papers(spark),
-        read_edges(spark, source.edges),
-        read_papers(spark, target.papers, before=args.batch),
-        read_edges(spark, target.edges, before=args.batch),
+        source.read(spark, "edges"),
+        target.read(spark, "papers", before=args.batch),
+        target.read(spark, "edges", before=args.batch),
         staging,
         both_ends=args.both_ends,
     )
-    append_papers(papers.select(*PAPERS.fieldNames()), target.papers, args.batch)
-    append_batch(edges, target.edges, args.batch)
+    with target.batch(spark, args.batch) as out:
+        out.append("papers", papers)
+        out.append("edges", edges)
 
 
 def run_progress(spark, args, staging):
@@ -112,41 +125,38 @@ def run_fetched(spark, args, staging):
 def run_dump(spark, args, staging):
     """Every paper with its citations and references, one JSON line for each neighbour."""
     corpus = Corpus.below(args.corpus)
-    rows = collated(read_papers(spark, corpus.papers), read_edges(spark, corpus.edges), staging)
+    rows = collated(corpus.read(spark, "papers"), corpus.read(spark, "edges"), staging)
     collated_json(rows).select("body").write.mode("overwrite").text(args.target)
 
 
 def run_grow(spark, args, staging):
     """Hops over the edge table of another corpus, up to the given number, into this one."""
-    corpus, source = Corpus.below(args.corpus), Corpus.below(args.source)
-    corpus.create(spark)
+    corpus, source = opened(spark, args, args.corpus), Corpus.below(args.source)
     known = corpus.read_papers(spark, before=args.batch)
-    attributes = read_papers(spark, source.papers)
+    attributes = source.read(spark, "papers")
     terms = listed_terms(spark, args, staging)
-    links = staging.write(read_edges(spark, source.edges), "links")
+    links = staging.write(source.read(spark, "edges"), "links")
     grown, met = expand_hops(known, links, terms, args.hops, staging, attributes=attributes)
-    added = grown.join(known.select("ss_id"), "ss_id", "left_anti")
-    append_papers(added.select(*PAPERS.fieldNames()), corpus.papers, args.batch)
-    append_batch(new_edges(met, read_edges(spark, corpus.edges, before=args.batch)), corpus.edges, args.batch)
     flags = grown.filter("is_processed").select("ss_id")
-    append_batch(unseen(flags, read_table(spark, corpus.done, DONE, before=args.batch), ["ss_id"]), corpus.done, args.batch)
+    with corpus.batch(spark, args.batch) as out:
+        out.append("papers", grown.join(known.select("ss_id"), "ss_id", "left_anti"))
+        out.append("edges", new_edges(met, corpus.read(spark, "edges", before=args.batch)))
+        out.append("done", unseen(flags, corpus.read(spark, "done", before=args.batch), ["ss_id"]))
 
 
 def run_compact(spark, args, staging):
     """All batches of a corpus as the first batch of another, with the flags merged into the papers."""
-    source, target = Corpus.below(args.corpus), Corpus.below(args.target)
-    target.create(spark)
-    # Dealt by hop and key, so each hop gets as many files as its rows ask for.
-    papers = source.read_papers(spark).repartition("num_hops", "ss_id")
-    append_papers(papers, target.papers, SEED_BATCH)
-    append_batch(read_edges(spark, source.edges).repartition("ss_id", "reference_id"), target.edges, SEED_BATCH)
-    append_batch(read_table(spark, source.done, DONE).distinct(), target.done, SEED_BATCH)
+    source, target = Corpus.below(args.corpus), opened(spark, args, args.target)
+    with target.batch(spark, SEED_BATCH) as out:
+        out.append("papers", source.read_papers(spark))
+        out.append("edges", source.read(spark, "edges"))
+        out.append("done", source.read(spark, "done").distinct())
 
 
 def run_curated_edges(spark, args, staging):
     """The edges whose both ends are curated papers."""
-    curated = read_table(spark, args.curated, PAPERS_CURATED)
-    edges = curated_edges(read_edges(spark, Corpus.below(args.corpus).edges), curated)
+    curated = Corpus.below(args.curated).read(spark, "papers")
+    edges = curated_edges(Corpus.below(args.corpus).read(spark, "edges"), curated)
     edges.write.mode("overwrite").parquet(args.target)
 
 
@@ -159,7 +169,7 @@ def run_upgrade(spark, args, staging):
 def run_validate(spark, args, staging):
     """Violations of every constraint, as CSV."""
     corpus = Corpus.below(args.corpus)
-    report = validate(read_papers(spark, corpus.papers), read_edges(spark, corpus.edges), staging)
+    report = validate(corpus.read(spark, "papers"), corpus.read(spark, "edges"), staging)
     report.write.mode("overwrite").option("header", True).csv(args.target)
 
 
@@ -172,6 +182,7 @@ def parser() -> argparse.ArgumentParser:
         sub.set_defaults(run=run)
         sub.add_argument("--corpus", required=True)
         sub.add_argument("--shuffle-partitions", help="about one per 128 MB of the largest shuffle")
+        sub.add_argument("--buckets", type=int, default=BUCKETS, help="buckets of a corpus that is made anew, about one per 1 GB of its largest table")
         if terms:
             sub.add_argument("--terms", required=True, help="headerless CSV of search terms")
             sub.add_argument("--start", type=int, default=0)
@@ -197,6 +208,10 @@ def parser() -> argparse.ArgumentParser:
     follow.add_argument("--hop", type=int, default=0)
     follow.add_argument("--checkpoint", required=True)
     follow.add_argument("--files-per-batch", type=int)
+    follow.add_argument("--by-order", action="store_true", help="keep first discoveries for a later settle, whatever lands first")
+
+    settled = job("settle", run_settle, batch=True)
+    settled.add_argument("--hop", type=int, default=0)
 
     pick = job("curate", run_curate, terms=True, batch=True)
     pick.add_argument("--curated", required=True)

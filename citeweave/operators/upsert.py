@@ -48,15 +48,27 @@ def insertable(candidates: DataFrame) -> DataFrame:
     )
 
 
-def discover(candidates: DataFrame, known: DataFrame, order_by: Sequence[str], staging: Staging) -> DataFrame:
+def discover(candidates: DataFrame, known: DataFrame, order_by: Sequence[str], staging: Staging, *, after: int | None = None, look_up=matching) -> DataFrame:
     """First discoveries of papers that are not known yet, with ids in discovery order.
 
-    The known papers are first reduced to the keys of the batch, so a batch much smaller than
-    the corpus leaves the corpus in place.
+    The known papers are first reduced to the keys of the batch by ``look_up``, so a batch much smaller than
+    the corpus leaves the corpus in place. ``after`` is the highest id in use, looked for where it isn't given.
     """
     first = staging.write(first_discovery(candidates, "ss_id", order_by), "first-discovery")
-    fresh = unseen(first, matching(known.select("ss_id"), first, ["ss_id"]), ["ss_id"])
-    return assign_ids(fresh, [*order_by, "ss_id"], staging, after=highest_id(known))
+    fresh = unseen(first, look_up(known.select("ss_id"), first, ["ss_id"]), ["ss_id"])
+    return assign_ids(fresh, [*order_by, "ss_id"], staging, after=highest_id(known) if after is None else after)
+
+
+def improved(candidates: DataFrame, versions: DataFrame, key: str, order_by: Sequence[str], look_up=matching) -> DataFrame:
+    """The candidates that come before every version of their key so far.
+
+    ``candidates`` is a written table with one row per key. The versions of a key are brought by batches in any order;
+    the first of all of them is what one batch over everything would have found.
+    """
+    held = first_discovery(look_up(versions, candidates, [key]).select(key, *order_by), key, order_by)
+    held = held.select(F.col(key).alias("_key"), F.struct(*order_by).alias("_held"))
+    met = candidates.join(held, F.col(key) == F.col("_key"), "left")
+    return met.where(F.col("_key").isNull() | (F.struct(*order_by) < F.col("_held"))).drop("_key", "_held")
 
 
 def numbered_rows(rows: DataFrame) -> DataFrame:

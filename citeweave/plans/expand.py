@@ -17,12 +17,10 @@ from citeweave.functions.payload import flatten_neighbours, parse_responses, rej
 from citeweave.operators.frontier import lookup_frontier
 from citeweave.operators.identity import dense_position
 from citeweave.operators.neighbours import as_edges, both_directions, neighbours
-from citeweave.operators.upsert import as_papers, discover, first_discovery, mark_processed, matching, new_edges, numbered_rows
-from citeweave.schemas import NO_ABSTRACT, UNTITLED
+from citeweave.operators.upsert import as_papers, discover, first_discovery, improved, mark_processed, matching, new_edges, numbered_rows, unseen
+from citeweave.schemas import NO_ABSTRACT, PAYLOAD_ORDER, UNTITLED
 from citeweave.sources.terms import first_positions
-from citeweave.staging import Staging
-
-PAYLOAD_ORDER = ("term_pos", "parent_id", "direction", "page", "pos")
+from citeweave.staging import Staging, broadcastable
 
 
 class Hop:
@@ -78,7 +76,9 @@ class EdgeHop(Hop):
         self._hop, self._staging = hop, staging
         waiting = lookup_frontier(papers, first_positions(terms), hop)
         self._frontier = dense_position(waiting, ["term_pos", "parent_id"], staging, column="turn")
-        self._found = neighbours(self._frontier.select("parent_ss_id", "turn"), both_directions(edges))
+        found = neighbours(self._frontier.select("parent_ss_id", "turn"), both_directions(edges))
+        # Papers and edges both come from it, so the join with the edges is done once.
+        self._found = staging.write(found.select("parent_ss_id", "turn", "direction", "ss_id"), f"found-{hop}")
 
     @cached_property
     def papers(self) -> DataFrame:
@@ -103,10 +103,12 @@ class EdgeHop(Hop):
 class ResponseHop(Hop):
     """One hop over landed look-ups.
 
-    Bodies are parsed once, where they lie: look-ups are flattened and written before anything is
-    joined, and only keys and places meet the frontier. Titles and abstracts move once, for the new
-    papers. Look-ups of other parents are flattened too, and go with that join. Parents with a landed look-up are done afterwards, failed ones included, unless ``retry_failed``
-    leaves those for another run.
+    The frontier is cut to the parents that have landed, and look-ups of other parents are left unread as far
+    as the planner would broadcast the frontier; beyond that size bodies stay where they lie, and what other
+    parents brought goes with the join. Bodies are parsed once and written flat before anything
+    is joined, and only keys and places meet the frontier. Titles and abstracts move once, for the new
+    papers. Parents with a landed look-up are done afterwards, failed ones included, unless ``retry_failed``
+    leaves those for another run. ``after`` is the highest id in use, ``look_up`` reduces the known papers to some keys.
     """
 
     def __init__(
@@ -121,26 +123,44 @@ class ResponseHop(Hop):
         done: DataFrame | None = None,
         retry_failed: bool = False,
         reject_missing: bool = False,
+        after: int | None = None,
+        look_up=matching,
     ):
         self._known, self._known_edges, self._responses = papers, known_edges, responses
         self._hop, self._staging, self._retry_failed = hop, staging, retry_failed
-        waiting = lookup_frontier(papers, first_positions(terms), hop, done)
+        self._after, self._look_up = after, look_up
+        # A hub has many pages of look-ups, so its key is made single before any join.
+        answered = staging.write(responses.select("ss_id").distinct(), f"answered-{hop}")
+        waiting = lookup_frontier(look_up(papers, answered, ["ss_id"]), first_positions(terms), hop, done)
         self._frontier = staging.write(waiting, f"frontier-{hop}")
         landed = responses.select(F.col("ss_id").alias("parent_ss_id"), "direction", "page", "status", "body")
+        if broadcastable(self._frontier):
+            landed = matching(landed, self._frontier, ["parent_ss_id"])
         flat = flatten_neighbours(parse_responses(landed), "parent_ss_id", reject_missing=reject_missing)
         self._flat = staging.write(numbered_rows(flat), f"neighbours-{hop}")
         places = self._flat.select("parent_ss_id", "direction", "page", "pos", "ss_id", "problem", "row_id")
         self._placed = staging.write(places.join(self._frontier, "parent_ss_id"), f"places-{hop}")
 
+    def _keys(self) -> DataFrame:
+        return valid_neighbours(self._placed).select("ss_id", *PAYLOAD_ORDER, "row_id")
+
+    def _with_texts(self, chosen: DataFrame) -> DataFrame:
+        """Title, abstract, url, term and hop of written rows that are told by their ``row_id``."""
+        terms = matching(self._placed.select("row_id", "search_term"), chosen, ["row_id"])
+        texts = self._flat.select("row_id", "title", "abstract", "url")
+        return texts.join(chosen.join(terms, "row_id"), "row_id").withColumn("num_hops", F.lit(self._hop + 1))
+
     @cached_property
     def papers(self) -> DataFrame:
-        found = valid_neighbours(self._placed)
-        keys = found.select("ss_id", *PAYLOAD_ORDER, "row_id")
-        chosen = self._staging.write(discover(keys, self._known, PAYLOAD_ORDER, self._staging).select("row_id", "id"), "chosen")
-        terms = matching(self._placed.select("row_id", "search_term"), chosen, ["row_id"])
-        texts = self._flat.select("row_id", "ss_id", "title", "abstract", "url")
-        added = texts.join(chosen.join(terms, "row_id"), "row_id")
-        return as_papers(added.withColumn("num_hops", F.lit(self._hop + 1)))
+        found = discover(self._keys(), self._known, PAYLOAD_ORDER, self._staging, after=self._after, look_up=self._look_up)
+        return as_papers(self._with_texts(self._staging.write(found.select("row_id", "id", "ss_id"), "chosen")))
+
+    def discoveries(self, versions: DataFrame) -> DataFrame:
+        """The first discoveries in this batch that come before all ``versions`` so far, of papers that are not known."""
+        first = self._staging.write(first_discovery(self._keys(), "ss_id", PAYLOAD_ORDER), "first-discovery")
+        fresh = unseen(first, self._look_up(self._known.select("ss_id"), first, ["ss_id"]), ["ss_id"])
+        better = improved(self._staging.write(fresh, "fresh"), versions, "ss_id", PAYLOAD_ORDER, self._look_up)
+        return self._with_texts(self._staging.write(better, "better"))
 
     @cached_property
     def edges(self) -> DataFrame:
@@ -149,9 +169,7 @@ class ResponseHop(Hop):
 
     @cached_property
     def processed(self) -> DataFrame:
-        # A hub has many pages of look-ups, so its key is made single before the join.
-        answered = self._responses.select("ss_id").distinct()
-        parents = self._frontier.select(F.col("parent_ss_id").alias("ss_id")).join(answered, "ss_id", "left_semi")
+        parents = self._frontier.select(F.col("parent_ss_id").alias("ss_id"))
         if self._retry_failed:
             failed = self._responses.filter(~F.coalesce(F.col("status") == 200, F.lit(False)))
             parents = parents.join(failed.select("ss_id").distinct(), "ss_id", "left_anti")

@@ -29,6 +29,24 @@ PAPERS = _struct(
     ("is_processed", T.BooleanType(), True),
 )
 
+# The place at which a look-up names a paper; the first one gives the paper its values.
+PAYLOAD_ORDER = ("term_pos", "parent_id", "direction", "page", "pos")
+
+# Keys of the papers that have been looked up.
+DONE = _struct(("ss_id", T.StringType(), False))
+
+def _nullable(**kinds):
+    return _struct(*[(name, kind(), True) for name, kind in kinds.items()])
+
+
+_PLACE = {"term_pos": T.LongType, "parent_id": T.LongType, "direction": T.IntegerType, "page": T.IntegerType, "pos": T.IntegerType}
+_FOUND = {"title": T.StringType, "abstract": T.StringType, "search_term": T.StringType, "num_hops": T.IntegerType, "url": T.StringType}
+DISCOVERIES = _nullable(ss_id=T.StringType, **_PLACE, **_FOUND)
+REJECTS = _nullable(
+    search_term=T.StringType, parent_ss_id=T.StringType, direction=T.IntegerType, page=T.IntegerType, pos=T.IntegerType, problem=T.StringType
+)
+PAGE_REJECTS = _nullable(search_term=T.StringType, page=T.LongType, item=T.IntegerType, problem=T.StringType)
+
 # A curated corpus has the columns of the corpus it was picked from.
 PAPERS_CURATED = PAPERS
 

@@ -1,23 +1,8 @@
-"""Corpus tables as parquet, and tables of another database.
-
-Every append of a run or micro-batch goes to its own ``batch=<n>`` folder, papers below that by
-hop, so a job over one hop opens the files of that hop alone. Writing a batch again replaces that folder, so a repeated attempt leaves no duplicates, and reading
-``before=n`` gives a batch the state it started from.
-"""
+"""Tables as they are in a folder or another database."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructType
-
-from citeweave.schemas import EDGES, PAPERS
-
-BY_HOP = ("num_hops",)
-SEED_BATCH = -1  # batch number of rows that were there before the first micro-batch
-
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark._jvm
@@ -25,70 +10,6 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
-def create_if_absent(spark: SparkSession, path: str, schema: StructType, by: Sequence[str] = ()) -> None:
-    """Write an empty table unless there is one already."""
-    if not path_exists(spark, path):
-        append_batch(spark.createDataFrame([], schema), path, SEED_BATCH, by)
-
-
-def append_batch(df: DataFrame, path: str, batch: int, by: Sequence[str] = ()) -> None:
-    """Write one batch, in folders ``by`` some columns; a second attempt at the same batch replaces the first."""
-    df.write.mode("overwrite").partitionBy(*by).parquet(f"{path}/batch={batch}")
-
-
-def create_papers(spark: SparkSession, path: str, schema: StructType = PAPERS) -> None:
-    create_if_absent(spark, path, schema, BY_HOP)
-
-
-def append_papers(papers: DataFrame, path: str, batch: int) -> None:
-    """Write one batch of papers, one folder per hop."""
-    append_batch(papers, path, batch, BY_HOP)
-
-
-def _with_batch(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    with_batch = StructType(list(schema.fields)).add("batch", IntegerType())
-    return spark.read.schema(with_batch).option("basePath", path).parquet(path)
-
-
-def read_table(spark: SparkSession, path: str, schema: StructType, before: int | None = None) -> DataFrame:
-    """All batches of a table, or only those below ``before``."""
-    table = _with_batch(spark, path, schema)
-    if before is not None:
-        table = table.filter(F.col("batch") < before)
-    return table.select(*schema.fieldNames())
-
-
-def has_batch(spark: SparkSession, path: str, first: int) -> bool:
-    """Whether a table has rows in batch ``first`` or a later one."""
-    return not _with_batch(spark, path, StructType()).filter(F.col("batch") >= first).isEmpty()
-
-
-def read_papers(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
-    return read_table(spark, path, PAPERS, before)
-
-
-def read_edges(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
-    return read_table(spark, path, EDGES, before)
-
-
-def write_by_hop(papers: DataFrame, path: str) -> None:
-    """Write papers with one folder per hop; hops already there and absent here stay as they are.
-
-    ``papers`` must not read from the hops it replaces: stage it first.
-    """
-    (
-        papers.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("num_hops")
-        .parquet(path)
-    )
-
-
-def read_by_hop(spark: SparkSession, path: str) -> DataFrame:
-    """Papers written by hop; a filter on ``num_hops`` prunes folders."""
-    return spark.read.schema(PAPERS).parquet(path).select(*PAPERS.fieldNames())
-
-
 def scan_papers(papers: DataFrame) -> DataFrame:
     """Id, key and flag of every paper, in insertion order."""
     return papers.select("id", "ss_id", "is_processed").orderBy("id")

@@ -22,6 +22,12 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def broadcastable(staged: DataFrame) -> bool:
+    """Whether the planner would broadcast a written table by its size."""
+    size = int(str(staged._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size <= staged.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
+
 class Staging:
     """One run's folder of written tables below the shared folder.
 

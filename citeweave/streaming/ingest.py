@@ -1,67 +1,32 @@
 """Look-ups ingested as they land.
 
 Each micro-batch does what one batch hop does: insert-or-ignore papers, insert-or-ignore
-edges, note the rejects and the parents now done. Its writes go to ``batch=<n>`` folders that
-a repeated attempt replaces, and it reads only earlier batches, so stopping anywhere and
-starting again ends in the same tables. "First" means landing order here.
+edges, note the rejects and the parents now done. All of it counts with the batch's state file or not at all, and
+a batch reads only earlier batches, so stopping anywhere and starting again ends in the same tables.
+
+"First" means landing order between micro-batches. Where files may land in any order, ``by_order`` keeps for
+each paper the discoveries that come before all earlier ones instead of inserting it, and ``settle`` inserts the papers
+with the first discoveries of all batches, as one batch over everything that landed would have done.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from citeweave.operators.upsert import first_discovery, mark_processed, matching, unseen
+from citeweave.operators.identity import assign_ids
+from citeweave.operators.upsert import as_papers, first_discovery, improved, unseen
 from citeweave.plans.expand import ResponseHop
-from citeweave.schemas import EDGES, PAPERS, RESPONSES
-from citeweave.sources.tables import (
-    SEED_BATCH,
-    append_batch,
-    append_papers,
-    create_if_absent,
-    create_papers,
-    has_batch,
-    path_exists,
-    read_edges,
-    read_papers,
-    read_table,
-)
+from citeweave.schemas import EDGES, PAYLOAD_ORDER, RESPONSES
+from citeweave.sources.corpus import BUCKETS, Corpus, Shape, touched
+from citeweave.sources.tables import path_exists
 from citeweave.staging import Staging
 
 PAIR = EDGES.fieldNames()
-DONE = StructType([field for field in PAPERS.fields if field.name == "ss_id"])
-
-
-@dataclass(frozen=True)
-class Corpus:
-    """Folders of a corpus that grows by micro-batches. Flags live in ``done`` until merged."""
-
-    papers: str
-    edges: str
-    done: str
-    rejects: str
-    page_rejects: str
-
-    @classmethod
-    def below(cls, root: str) -> "Corpus":
-        return cls(*[f"{root}/{name}" for name in ("papers", "edges", "done", "rejects", "page_rejects")])
-
-    def create(self, spark: SparkSession) -> None:
-        create_papers(spark, self.papers)
-        create_if_absent(spark, self.edges, EDGES)
-        create_if_absent(spark, self.done, DONE)
-
-    def seed(self, papers: DataFrame) -> None:
-        append_papers(papers.select(*PAPERS.fieldNames()), self.papers, SEED_BATCH)
-
-    def read_papers(self, spark: SparkSession, before: int | None = None) -> DataFrame:
-        """Papers with the flags of all parents noted as done."""
-        return mark_processed(read_papers(spark, self.papers, before), read_table(spark, self.done, DONE, before))
 
 
 def ingest_batch(
@@ -73,6 +38,7 @@ def ingest_batch(
     *,
     skip_done: bool = False,
     retry_failed: bool = False,
+    by_order: bool = False,
 ) -> None:
     """Take one batch of landed look-ups into the corpus.
 
@@ -80,19 +46,45 @@ def ingest_batch(
     so, since further pages of such a parent may land later; taking a page twice is harmless.
     """
     spark = landed.sparkSession
-    with Staging(spark, f"ingest-{batch}") as staging:
-        known = read_papers(spark, corpus.papers, before=batch)
-        edges = read_edges(spark, corpus.edges, before=batch)
-        done = read_table(spark, corpus.done, DONE, before=batch)
+    with Staging(spark, f"ingest-{batch}") as staging, corpus.batch(spark, batch) as out:
+        read = lambda table: corpus.read(spark, table, before=batch)
+        done = read("done")
         step = ResponseHop(
-            known, landed, terms, hop, staging, done=done if skip_done else None, retry_failed=retry_failed
+            read("papers"),
+            landed,
+            terms,
+            hop,
+            staging,
+            done=done if skip_done else None,
+            retry_failed=retry_failed,
+            after=corpus.highest_id(spark, before=batch),
+            look_up=touched,
         )
-        append_papers(step.papers, corpus.papers, batch)
-        # Both ends of every edge are papers by now: the parent was known, the neighbour is in.
+        if by_order:
+            out.append("discoveries", step.discoveries(read("discoveries")))
+        else:
+            out.append("papers", step.papers)
+        # Both ends of every edge are papers by now or when settled: the parent was known, the neighbour is found.
         found = staging.write(step.edges, "found-edges")
-        append_batch(unseen(found, matching(edges, found, PAIR), PAIR), corpus.edges, batch)
-        append_batch(step.rejects, corpus.rejects, batch)
-        append_batch(unseen(step.processed, done, ["ss_id"]), corpus.done, batch)
+        out.append("edges", unseen(found, touched(read("edges"), found, PAIR), PAIR))
+        out.append("rejects", step.rejects)
+        processed = staging.write(step.processed, "processed")
+        out.append("done", unseen(processed, touched(done, processed, ["ss_id"]), ["ss_id"]))
+
+
+def settle(corpus: Corpus, spark: SparkSession, hop: int, batch: int) -> None:
+    """Insert the papers that ``by_order`` batches found at ``hop``, with ids in the order of their first discoveries.
+
+    Papers that have an id keep it, with the values they have.
+    """
+    with Staging(spark, f"settle-{batch}") as staging, corpus.batch(spark, batch) as out:
+        versions = corpus.read(spark, "discoveries", before=batch).where(F.col("num_hops") == hop + 1)
+        places = first_discovery(versions.select("ss_id", *PAYLOAD_ORDER), "ss_id", PAYLOAD_ORDER)
+        fresh = unseen(places, corpus.read(spark, "papers", before=batch), ["ss_id"])
+        numbered = assign_ids(fresh, [*PAYLOAD_ORDER, "ss_id"], staging, after=corpus.highest_id(spark, before=batch))
+        # A place comes twice only where a batch was repeated with the same values.
+        chosen = versions.dropDuplicates(["ss_id", *PAYLOAD_ORDER]).join(numbered, ["ss_id", *PAYLOAD_ORDER])
+        out.append("papers", as_papers(chosen))
 
 
 def ingest_responses(
@@ -105,21 +97,22 @@ def ingest_responses(
     *,
     first_batch: int = 0,
     files_per_batch: int | None = None,
+    by_order: bool = False,
 ) -> StreamingQuery:
     """Start ingesting everything landed so far; a later start goes on where this one ended.
 
     Micro-batches are written as the batches from ``first_batch`` on, which must be free when
     a checkpoint is first used.
     """
-    if not path_exists(spark, checkpoint) and has_batch(spark, corpus.papers, first_batch):
-        raise ValueError(f"{corpus.papers} already has batches from {first_batch} on")
+    if not path_exists(spark, checkpoint) and corpus.has_batch(spark, first_batch):
+        raise ValueError(f"{corpus.root} already has batches from {first_batch} on")
     reader = spark.readStream.schema(RESPONSES).format("parquet")
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return (
         reader.load(landing)
         .writeStream.foreachBatch(
-            lambda landed, batch: ingest_batch(corpus, terms, hop, landed, first_batch + batch)
+            lambda landed, batch: ingest_batch(corpus, terms, hop, landed, first_batch + batch, by_order=by_order)
         )
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -127,6 +120,10 @@ def ingest_responses(
     )
 
 
+def _versions(target: str, schema: StructType, key: str) -> Corpus:
+    return Corpus(target.rstrip("/"), {"versions": Shape(schema, (key,))})
+
+
 def first_seen(
     spark: SparkSession,
     landing: str,
@@ -135,21 +132,30 @@ def first_seen(
     key: str,
     order_by: Sequence[str],
     checkpoint: str,
+    *,
+    by_order: bool = False,
+    buckets: int = BUCKETS,
 ) -> StreamingQuery:
     """Keep the first row of every key over everything that lands.
 
-    The table written so far is the state, so it may outgrow memory; within a micro-batch the
-    first row is that of the smallest ``order_by``.
+    The table written so far is the state, so it may outgrow memory, and it is clustered by ``key``, so a micro-batch
+    meets it bucket by bucket. Within a micro-batch the first row is that of the smallest ``order_by``. Between micro-batches
+    the first one to land stays, or with ``by_order`` the smallest, whenever it lands: then a key gets a further version, and
+    ``read_first`` takes the smallest of all versions.
     """
+    state = _versions(target, schema, key)
 
     def keep_first(landed: DataFrame, batch: int) -> None:
-        with Staging(spark, f"first-seen-{batch}") as staging:
+        spark = landed.sparkSession
+        with Staging(spark, f"first-seen-{batch}") as staging, state.batch(spark, batch) as out:
             first = staging.write(first_discovery(landed, key, order_by), "first")
-            known = read_table(spark, target, schema, before=batch)
-            fresh = unseen(first, matching(known.select(key), first, [key]), [key])
-            append_batch(fresh.select(*schema.fieldNames()), target, batch)
+            known = state.read(spark, "versions", before=batch)
+            if by_order:
+                out.append("versions", improved(first, known, key, order_by, touched))
+            else:
+                out.append("versions", unseen(first, touched(known.select(key), first, [key]), [key]))
 
-    create_if_absent(spark, target, schema)
+    state.create(spark, buckets)
     return (
         spark.readStream.schema(schema)
         .parquet(landing)
@@ -158,3 +164,9 @@ def first_seen(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def read_first(spark: SparkSession, target: str, schema: StructType, key: str, order_by: Sequence[str]) -> DataFrame:
+    """The first row of every key so far."""
+    versions = _versions(target, schema, key).read(spark, "versions")
+    return first_discovery(versions, key, order_by).select(*schema.fieldNames())

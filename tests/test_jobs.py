@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from citeweave.jobs import parser
 from citeweave.schemas import LEGACY_EDGES, LEGACY_PAPERS, RESPONSES, RESULT_PAGES
-from citeweave.sources.tables import read_edges, read_papers
+from citeweave.sources.corpus import Corpus
 from citeweave.staging import Staging
-from citeweave.streaming.ingest import Corpus
 
 
 def run(spark, *arguments):
@@ -40,7 +39,7 @@ def test_from_pages_to_a_copied_corpus(spark, frame, values, tmp_path):
     run(spark, *collect)
     run(spark, *collect)
     corpus = Corpus.below(str(root))
-    seeds = read_papers(spark, corpus.papers).select("id", "ss_id", "title", "search_term", "url")
+    seeds = corpus.read(spark, "papers").select("id", "ss_id", "title", "search_term", "url")
     assert values(seeds) == [
         (1, "c", "C", "deep nets", "/p/c"), (2, "b", "again", "deep nets", "/p/b"), (3, "a", "A", "graphs", "/p/a")
     ]
@@ -56,9 +55,9 @@ def test_from_pages_to_a_copied_corpus(spark, frame, values, tmp_path):
     run(spark, *expand)
     run(spark, *expand)
     run(spark, *expand[:-1], 2)
-    grown = read_papers(spark, corpus.papers).filter("num_hops = 1").select("id", "ss_id", "search_term")
+    grown = corpus.read(spark, "papers").filter("num_hops = 1").select("id", "ss_id", "search_term")
     assert values(grown) == [(4, "x", "deep nets"), (5, "y", "graphs")]
-    assert values(read_edges(spark, corpus.edges)) == [("a", "c"), ("a", "x"), ("a", "y"), ("x", "c")]
+    assert values(corpus.read(spark, "edges")) == [("a", "c"), ("a", "x"), ("a", "y"), ("x", "c")]
 
     run(spark, "progress", "--corpus", root, "--target", tmp_path / "counts")
     counts = spark.read.option("header", True).csv(str(tmp_path / "counts"))
@@ -78,32 +77,32 @@ def test_from_pages_to_a_copied_corpus(spark, frame, values, tmp_path):
     run(spark, "compact", "--corpus", root, "--target", tmp_path / "compacted")
     small = Corpus.below(str(tmp_path / "compacted"))
     assert values(small.read_papers(spark)) == values(corpus.read_papers(spark))
-    assert values(read_papers(spark, small.papers)) == values(corpus.read_papers(spark))
-    assert values(read_edges(spark, small.edges)) == values(read_edges(spark, corpus.edges))
-    one_hop = read_papers(spark, corpus.papers, before=9).filter("num_hops = 1")._jdf.queryExecution().executedPlan().toString()
-    assert "num_hops" in one_hop.split("PartitionFilters:")[1].split("]")[0] and "Filter" not in one_hop.split("FileScan")[0]
+    assert values(small.read(spark, "papers")) == values(corpus.read_papers(spark))
+    assert values(small.read(spark, "edges")) == values(corpus.read(spark, "edges"))
+    one_hop = corpus.read(spark, "papers", before=9).filter("num_hops = 1")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(num_hops,1)" in one_hop and "folder" in one_hop.split("PartitionFilters:")[1].split("]")[0]
 
     grow = ["grow", "--terms", tmp_path / "terms.csv", "--end", 2, "--corpus", tmp_path / "grown", "--source", root, "--batch", 1]
     grown_to = Corpus.below(str(tmp_path / "grown"))
     grown_to.create(spark)
-    grown_to.seed(read_papers(spark, corpus.papers).filter("num_hops = 0").withColumn("is_processed", F.lit(False)))
+    grown_to.seed(corpus.read(spark, "papers").filter("num_hops = 0").withColumn("is_processed", F.lit(False)))
     run(spark, *grow)
     run(spark, *grow)
     assert values(grown_to.read_papers(spark).select("id", "ss_id", "title", "is_processed")) == [
         (1, "c", "C", True), (2, "b", "again", True), (3, "a", "A", True), (4, "x", "X", False), (5, "y", "Y", False)
     ]
-    assert values(read_edges(spark, grown_to.edges)) == [("a", "c"), ("a", "x"), ("a", "y"), ("x", "c")]
+    assert values(grown_to.read(spark, "edges")) == [("a", "c"), ("a", "x"), ("a", "y"), ("x", "c")]
 
     run(spark, "curate", *listed, "--end", 2, "--curated", tmp_path / "curated", "--per-term", 1, "--batch", 0)
-    assert values(read_papers(spark, str(tmp_path / "curated")).select("id", "ss_id")) == [(1, "c"), (2, "a")]
+    assert values(Corpus.below(str(tmp_path / "curated")).read(spark, "papers").select("id", "ss_id")) == [(1, "c"), (2, "a")]
 
     run(spark, "curated-edges", "--corpus", root, "--curated", tmp_path / "curated", "--target", tmp_path / "between")
     assert values(spark.read.parquet(str(tmp_path / "between"))) == [("a", "c")]
 
     run(spark, "copy", "--corpus", root, "--target", tmp_path / "target", "--batch", 0)
     target = Corpus.below(str(tmp_path / "target"))
-    assert values(read_papers(spark, target.papers).select("ss_id", "is_processed")) == [("a", True), ("b", True), ("c", True)]
-    assert values(read_edges(spark, target.edges)) == [("a", "c"), ("a", "x"), ("a", "y")]
+    assert values(target.read(spark, "papers").select("ss_id", "is_processed")) == [("a", True), ("b", True), ("c", True)]
+    assert values(target.read(spark, "edges")) == [("a", "c"), ("a", "x"), ("a", "y")]
 
     frame([(2, "b", 0, 1, 200, body("citingPaper", "w"))], RESPONSES).write.parquet(str(tmp_path / "later"))
     follow = ["follow", *listed, "--end", 2, "--responses", tmp_path / "later", "--checkpoint", tmp_path / "progress", "--batch"]
@@ -111,5 +110,5 @@ def test_from_pages_to_a_copied_corpus(spark, frame, values, tmp_path):
         run(spark, *follow, 0)
     run(spark, *follow, 10)
     run(spark, *follow, 10)
-    ids = read_papers(spark, corpus.papers).select("id", "ss_id")
+    ids = corpus.read(spark, "papers").select("id", "ss_id")
     assert values(ids) == [(1, "c"), (2, "b"), (3, "a"), (4, "x"), (5, "y"), (6, "w")]

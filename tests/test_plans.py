@@ -9,7 +9,6 @@ from citeweave.operators import checks, neighbours, subset, upsert
 from citeweave.operators.frontier import papers_by_term
 from citeweave.operators.ranking import top_n_per_group
 from citeweave.operators.report import adjacency, collated
-from citeweave.sources.tables import read_by_hop, write_by_hop
 from workload import tables
 
 SF = "/root/testdata/sf0.001"
@@ -131,11 +130,7 @@ def test_small_batches_leave_the_corpus_in_place(spark, staging, hub_papers):
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
 
 
-def test_filters_and_columns_reach_the_files(spark, staging):
+def test_filters_and_columns_reach_the_files(spark):
     papers = tables.table(spark, SF, "part")
     plan = plan_of(papers.filter("p_brand = 'Brand#2'").select("p_partkey"))
     assert "EqualTo(p_brand,Brand#2)" in plan and "p_name" not in plan
-    path = staging.path("papers")
-    write_by_hop(tables.part_papers(spark, SF), path)
-    pruned = plan_of(read_by_hop(spark, path).filter("num_hops = 0").select("ss_id"))
-    assert "(num_hops" in pruned.split("PartitionFilters:")[1] and "title" not in pruned

@@ -1,14 +1,15 @@
-"""Streams: same tables as one batch, also after a stop in the middle."""
+"""Streams: same tables as one batch, also after a stop in the middle, whatever lands first."""
+
+import random
 
 import pytest
 
 from citeweave.plans.expand import ResponseHop
 from citeweave.operators.upsert import mark_processed
 from citeweave.schemas import PAPERS, RESPONSES
-from citeweave.sources.tables import append_batch, read_edges
+from citeweave.sources.corpus import Batch, Corpus
 from citeweave.staging import Staging
-from citeweave.streaming import ingest
-from citeweave.streaming.ingest import Corpus, first_seen, ingest_responses
+from citeweave.streaming.ingest import first_seen, ingest_responses, read_first, settle
 from model import landed, random_corpus
 
 TERMS = ["t0", "t1", "t2"]
@@ -38,8 +39,8 @@ def start(spark, scene, name):
     return corpus, staging.path("landing"), staging.path("checkpoint")
 
 
-def run(spark, scene, corpus, landing, checkpoint):
-    ingest_responses(spark, landing, corpus, scene[1], 0, checkpoint).awaitTermination()
+def run(spark, scene, corpus, landing, checkpoint, **options):
+    ingest_responses(spark, landing, corpus, scene[1], 0, checkpoint, **options).awaitTermination()
 
 
 def halves(rows):
@@ -54,7 +55,7 @@ def test_two_landings_equal_one_batch(spark, frame, values, scene):
         run(spark, scene, corpus, landing, checkpoint)
     papers, edges = whole(scene, frame)
     assert values(corpus.read_papers(spark)) == values(papers)
-    assert values(read_edges(spark, corpus.edges)) == values(edges)
+    assert values(corpus.read(spark, "edges")) == values(edges)
     # Nothing new has landed: a further start changes nothing.
     run(spark, scene, corpus, landing, checkpoint)
     assert values(corpus.read_papers(spark)) == values(papers)
@@ -67,19 +68,44 @@ def test_a_stop_between_the_writes_of_a_batch(spark, frame, values, scene, monke
     run(spark, scene, corpus, landing, checkpoint)
     frame(second, RESPONSES).write.mode("append").parquet(landing)
 
-    def breaks_at_edges(df, path, batch):
-        if path == corpus.edges:
+    before = [values(corpus.read(spark, table)) for table in ("papers", "edges", "done")]
+    append = Batch.append
+
+    def breaks_at_edges(self, table, rows):
+        if table == "edges":
             raise RuntimeError("stopped")
-        append_batch(df, path, batch)
+        append(self, table, rows)
 
     with monkeypatch.context() as patch:
-        patch.setattr(ingest, "append_batch", breaks_at_edges)
+        patch.setattr(Batch, "append", breaks_at_edges)
         with pytest.raises(Exception, match="stopped"):
             run(spark, scene, corpus, landing, checkpoint)
+    # The papers of the batch are written, and no reader sees them.
+    assert [values(corpus.read(spark, table)) for table in ("papers", "edges", "done")] == before
     run(spark, scene, corpus, landing, checkpoint)
     papers, edges = whole(scene, frame)
     assert values(corpus.read_papers(spark)) == values(papers)
-    assert values(read_edges(spark, corpus.edges)) == values(edges)
+    assert values(corpus.read(spark, "edges")) == values(edges)
+    assert len(corpus.clean(spark)) == 1
+    assert values(corpus.read_papers(spark)) == values(papers)
+
+
+def test_any_landing_order(spark, frame, values, scene):
+    """Look-ups in a random order over many batches, settled twice, give what one batch gives."""
+    corpus, landing, checkpoint = start(spark, scene, "corpus")
+    rows = random.Random(3).sample(scene[2], len(scene[2]))
+    cut = len(rows) // 4
+    for part in [rows[i : i + cut] for i in range(0, len(rows), cut)] + [rows[:cut]]:
+        frame(part, RESPONSES).write.mode("append").parquet(landing)
+        run(spark, scene, corpus, landing, checkpoint, by_order=True)
+    seeds = values(corpus.read(spark, "papers"))
+    assert len(seeds) == 20
+    settle(corpus, spark, 0, 100)
+    papers, edges = whole(scene, frame)
+    assert values(corpus.read_papers(spark)) == values(papers)
+    assert values(corpus.read(spark, "edges")) == values(edges)
+    settle(corpus, spark, 0, 101)
+    assert values(corpus.read_papers(spark)) == values(papers)
 
 
 def test_pages_of_one_parent_in_two_landings(spark, frame, values, scene):
@@ -90,15 +116,17 @@ def test_pages_of_one_parent_in_two_landings(spark, frame, values, scene):
         run(spark, scene, corpus, landing, checkpoint)
     papers, edges = whole(scene, frame)
     assert values(corpus.read_papers(spark).select("ss_id")) == values(papers.select("ss_id"))
-    assert values(read_edges(spark, corpus.edges)) == values(edges)
+    assert values(corpus.read(spark, "edges")) == values(edges)
 
 
 def test_first_seen(spark, frame, values):
-    staging = Staging(spark, "seen")
-    landing, target, checkpoint = staging.path("landing"), staging.path("target"), staging.path("checkpoint")
     schema = frame([], "user int, at int, what string").schema
-    for part in ([(1, 5, "a"), (1, 3, "b"), (2, 9, "c")], [(1, 1, "d"), (3, 4, "e"), (3, 2, "f")]):
-        frame(part, schema).write.mode("append").parquet(landing)
-        first_seen(spark, landing, schema, target, "user", ["at"], checkpoint).awaitTermination()
-    # Landing order decides between landings, the order column within one.
-    assert values(spark.read.parquet(target).select("user", "at", "what")) == [(1, 3, "b"), (2, 9, "c"), (3, 2, "f")]
+    parts = ([(1, 5, "a"), (1, 3, "b"), (2, 9, "c")], [(1, 1, "d"), (3, 4, "e"), (3, 2, "f"), (2, 9, "c")])
+    for by_order, want in ((False, [(1, 3, "b"), (2, 9, "c"), (3, 2, "f")]), (True, [(1, 1, "d"), (2, 9, "c"), (3, 2, "f")])):
+        staging = Staging(spark, "seen")
+        landing, target, checkpoint = staging.path("landing"), staging.path("target"), staging.path("checkpoint")
+        for part in parts:
+            frame(part, schema).write.mode("append").parquet(landing)
+            first_seen(spark, landing, schema, target, "user", ["at"], checkpoint, by_order=by_order).awaitTermination()
+        # Landing order decides between landings unless the order is to, the order column within one.
+        assert values(read_first(spark, target, schema, "user", ["at"])) == want

@@ -1,9 +1,8 @@
 """Sources, sinks and staged tables."""
 
 import pytest
-from pyspark.sql import functions as F
 
-from citeweave.schemas import EDGES, PAPERS, RESPONSES, RESULT_PAGES
+from citeweave.schemas import PAPERS, RESPONSES, RESULT_PAGES
 from citeweave.sources import tables
 from citeweave.sources.landed import scan_responses, scan_result_pages
 from citeweave.sources.terms import first_positions, read_terms, slice_exclusive, slice_inclusive
@@ -44,37 +43,6 @@ def test_terms_in_many_splits(spark, staging, tmp_path):
     assert [row["term_pos"] for row in rows] == list(range(5000))
 
 
-def test_create_only_if_absent(spark, frame, tmp_path):
-    path = str(tmp_path / "papers")
-    tables.create_if_absent(spark, path, PAPERS)
-    assert tables.read_papers(spark, path).isEmpty()
-    tables.append_batch(frame(PAPER, PAPERS), path, 0)
-    tables.create_if_absent(spark, path, PAPERS)
-    assert tables.read_papers(spark, path).count() == 2
-    assert tables.read_papers(spark, path).columns == PAPERS.fieldNames()
-
-
-def test_a_batch_written_again_replaces_itself(spark, frame, values, tmp_path):
-    path = str(tmp_path / "edges")
-    tables.append_batch(frame([("a", "b")], EDGES), path, 0)
-    tables.append_batch(frame([("c", "d"), ("e", "f")], EDGES), path, 1)
-    assert values(tables.read_edges(spark, path, before=1)) == [("a", "b")]
-    tables.append_batch(frame([("c", "d")], EDGES), path, 1)
-    assert values(tables.read_edges(spark, path)) == [("a", "b"), ("c", "d")]
-
-
-def test_papers_by_hop(spark, frame, values, staging, tmp_path):
-    path = str(tmp_path / "papers")
-    both = frame([*PAPER, (3, "c", "C", "x", "t", 1, None, False)], PAPERS)
-    tables.write_by_hop(both, path)
-    marked = staging.write(tables.read_by_hop(spark, path).filter("num_hops = 0").withColumn("is_processed", F.lit(True)))
-    tables.write_by_hop(marked, path)
-    again = tables.read_by_hop(spark, path)
-    assert values(again.select("id", "is_processed")) == [(1, True), (2, True), (3, False)]
-    plan = again.filter("num_hops = 1")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(num_hops" in plan
-
-
 def test_scans(spark, frame, tmp_path):
     papers = frame(PAPER, PAPERS)
     assert [r["id"] for r in tables.scan_papers(papers).collect()] == [1, 2]

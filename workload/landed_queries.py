@@ -14,9 +14,10 @@ from citeweave.functions.payload import (
 )
 from citeweave.plans.collect import collect_pages, listed_rows, rejected_results
 from citeweave.plans.expand import ResponseHop
+from citeweave.sources.corpus import Corpus
 from citeweave.sources.landed import scan_responses, scan_result_pages
 from citeweave.staging import Staging
-from citeweave.streaming.ingest import Corpus, first_seen, ingest_responses
+from citeweave.streaming.ingest import first_seen, ingest_responses, read_first, settle
 from workload import tables
 from workload.corpus_queries import BASE_URL, sql_clean, sql_strip
 from workload.registry import query
@@ -269,14 +270,15 @@ def collect_rejects(spark, sf):
 # --- streams -----------------------------------------------------------------------------
 
 
-@query(
-    "stream_ingest",
+INGESTED = (
     LANDED_HOP
     + """SELECT id, ss_id, title, abstract, search_term, num_hops, url, true AS is_processed FROM g_papers
-    UNION ALL SELECT * FROM hop1""",
+    UNION ALL SELECT * FROM hop1"""
 )
-def stream_ingest(spark, sf):
-    """Look-ups landed in two parts by term; the second start goes on from the first one's checkpoint."""
+
+
+def ingested(spark, sf, later_first):
+    """The corpus after look-ups landed in two parts by term; the second start goes on from the first one's checkpoint."""
     staging = Staging(spark, "stream")
     landing, checkpoint = staging.path("landing"), staging.path("checkpoint")
     terms = tables.part_terms(spark, sf, staging)
@@ -286,24 +288,49 @@ def stream_ingest(spark, sf):
     corpus.seed(papers)
     ranked = papers.join(terms, papers["search_term"] == terms["term"]).select("ss_id", "term_pos")
     responses = staging.write(tables.landed_responses(spark, sf).join(ranked, "ss_id"), "responses")
-    for part in (F.col("term_pos") < 10, F.col("term_pos") >= 10):
+    parts = (F.col("term_pos") < 10, F.col("term_pos") >= 10)
+    for part in reversed(parts) if later_first else parts:
         responses.filter(part).drop("term_pos").write.mode("append").parquet(landing)
-        ingest_responses(spark, landing, corpus, terms, 0, checkpoint).awaitTermination()
-    return corpus.read_papers(spark)
+        ingest_responses(spark, landing, corpus, terms, 0, checkpoint, by_order=later_first).awaitTermination()
+    if later_first:
+        settle(corpus, spark, 0, 1000)
+    return corpus
 
 
-@query(
-    "stream_first_seen",
-    """SELECT user_id, event_id, event_type FROM (
-      SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS place FROM events) e WHERE place = 1""",
-)
-def stream_first_seen(spark, sf):
-    """First event per user, with the events landed in two parts."""
+@query("stream_ingest", INGESTED)
+def stream_ingest(spark, sf):
+    return ingested(spark, sf, later_first=False).read_papers(spark)
+
+
+@query("stream_ingest_any_order", INGESTED)
+def stream_ingest_any_order(spark, sf):
+    """The look-ups of the later terms land first; papers get the values and ids that one batch gives them."""
+    return ingested(spark, sf, later_first=True).read_papers(spark)
+
+
+FIRST_EVENTS = """SELECT user_id, event_id, event_type FROM (
+      SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS place FROM events) e WHERE place = 1"""
+
+
+def first_events(spark, sf, later_first):
     staging = Staging(spark, "seen")
     landing, target, checkpoint = staging.path("landing"), staging.path("first"), staging.path("checkpoint")
     events = tables.table(spark, sf, "events").select("user_id", "event_id", "event_type")
     half = events.agg(F.expr("(min(event_id) + max(event_id)) div 2").alias("half")).first()["half"]
-    for part in (F.col("event_id") <= half, F.col("event_id") > half):
+    parts = (F.col("event_id") <= half, F.col("event_id") > half)
+    for part in reversed(parts) if later_first else parts:
         events.filter(part).write.mode("append").parquet(landing)
-        first_seen(spark, landing, events.schema, target, "user_id", ["event_id"], checkpoint).awaitTermination()
-    return spark.read.schema(events.schema).parquet(target).select(*events.columns)
+        first_seen(spark, landing, events.schema, target, "user_id", ["event_id"], checkpoint, by_order=later_first).awaitTermination()
+    return read_first(spark, target, events.schema, "user_id", ["event_id"])
+
+
+@query("stream_first_seen", FIRST_EVENTS)
+def stream_first_seen(spark, sf):
+    """First event per user, with the events landed in two parts."""
+    return first_events(spark, sf, later_first=False)
+
+
+@query("stream_first_seen_any_order", FIRST_EVENTS)
+def stream_first_seen_any_order(spark, sf):
+    """The same, with the later half of the events landed first."""
+    return first_events(spark, sf, later_first=True)

@@ -3,7 +3,8 @@
 The tokenizers library splits a text by one pattern and encodes every piece by itself. For texts of plain
 Latin characters the pieces are found by the same pattern here, and the library encodes each piece that
 the worker doesn't know; the first ``room`` pieces stay known, and they are most of what texts are made
-of. All other texts, and those that hold a special token's string, go through the library as they are. The result is the library's either way; the tests compare it on both kinds.
+of. All other texts, and those that hold a special token's string, go through the library as they are. The result is
+the library's either way; the tests compare it on both kinds.
 """
 
 from __future__ import annotations
@@ -22,6 +23,40 @@ from citeweave.llm.word_tokens import _LETTER, _NUMBER, _PLAIN, vocabulary_path
 _PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^\t\n\r {_LETTER}{_NUMBER}]+|[\t\n\r ]+(?![^\t\n\r ])|[\t\n\r ]+")
 
 
+class Known(dict):
+    """Numbers texts as they come, and holds the ids of each one after another."""
+
+    def __init__(self, room: int):
+        super().__init__()
+        self.room, self.new = room, []
+        self.flat, self.starts = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def __missing__(self, text: str) -> int:
+        self[text] = number = len(self)
+        self.new.append(text)
+        return number
+
+    def learn(self, flat: np.ndarray, sizes: np.ndarray) -> None:
+        """The ids of the new texts."""
+        self.flat = np.concatenate([self.flat, flat])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+        self.new = []
+
+    def ids(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the numbered texts one after another, and how many each has."""
+        begin, size = self.starts[at], self.starts[at + 1] - self.starts[at]
+        out = np.cumsum(size) - size
+        return self.flat[np.repeat(begin - out, size) + np.arange(int(size.sum()))], size
+
+    def forget(self) -> None:
+        """Texts beyond the room go again, the latest first."""
+        if len(self) > self.room:
+            for _ in range(len(self) - self.room):
+                self.popitem()
+            self.starts = self.starts[: self.room + 1].copy()
+            self.flat = self.flat[: self.starts[-1]].copy()
+
+
 class ByteTokens:
     """``encode`` gives the ids of texts as the tokenizers library does, without added special tokens."""
 
@@ -39,27 +74,29 @@ class ByteTokens:
         self.short_way = spec.get("normalizer") is None and all(before.get(key) == value for key, value in usual.items())
         self.special = [token["content"] for token in spec.get("added_tokens", [])]
         self.size = self.library.get_vocab_size(with_added_tokens=True)
-        self.room = room
-        self.numbers: dict[str, int] = {}
-        self.flat, self.starts = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self.known = Known(room)
 
-    def _learn(self, pieces: set[str]) -> None:
-        """Number the pieces and append their ids."""
+    def _encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         # In a line of pieces that begin with a space and go on without one, line feeds between them are pieces too.
-        joins = sorted(piece for piece in pieces if len(piece) > 1 and piece[0] == " " and piece[1] not in " \t\n\r")
-        others = sorted(pieces.difference(joins))
-        lines = ["\n".join(joins[i : i + 1000]) for i in range(0, len(joins), 1000)]
-        found = [line.ids for line in self.library.encode_batch_fast(lines, add_special_tokens=False)]
-        feed = self.library.encode("\n", add_special_tokens=False).ids
-        flat = np.array(list(chain.from_iterable(ids + feed for ids in found)), np.uint32)
-        ends = flat == feed[0]
-        sizes = np.diff(np.flatnonzero(np.concatenate([[True], ends]))) - 1
-        alone = [one.ids for one in self.library.encode_batch_fast(others, add_special_tokens=False)]
-        flat = np.concatenate([flat[~ends], np.array(list(chain.from_iterable(alone)), np.uint32)])
-        sizes = np.concatenate([sizes, np.array([len(ids) for ids in alone], np.int64)])
-        self.numbers.update(zip(chain(joins, others), range(len(self.numbers), len(self.numbers) + len(pieces)), strict=True))
-        self.flat = np.concatenate([self.flat, flat])
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+        joins = [len(piece) > 1 and piece[0] == " " and piece[1] not in " \t\n\r" for piece in pieces]
+        in_lines = [piece for piece, join in zip(pieces, joins, strict=True) if join]
+        alone = [piece for piece, join in zip(pieces, joins, strict=True) if not join]
+        lines = ["\n".join(in_lines[i : i + 1000]) + "\n" for i in range(0, len(in_lines), 1000)]
+        encode = lambda texts: [np.array(x.ids, np.uint32) for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        feed = self.library.encode("\n", add_special_tokens=False).ids[0]
+        none = np.zeros(0, np.uint32)
+        flat = np.concatenate([none, *encode(lines)])
+        ends = np.flatnonzero(flat == feed)
+        found = encode(alone)
+        sizes = np.empty(len(pieces), np.int64)
+        place = np.array(joins, bool)
+        sizes[place] = np.diff(np.append(-1, ends)) - 1
+        sizes[~place] = np.fromiter(map(len, found), np.int64, len(found))
+        out = np.empty(int(sizes.sum()), np.uint32)
+        of_lines = np.repeat(place, sizes)
+        out[of_lines] = flat[flat != feed]
+        out[~of_lines] = np.concatenate([none, *found])
+        return out, sizes
 
     def pieces(self, text: str) -> list[str] | None:
         """The pieces of a text that can take the short way, else None."""
@@ -73,22 +110,13 @@ class ByteTokens:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         found = [self.pieces(text) for text in texts]
         split = [x for x in found if x is not None]
-        unknown = set().union(*split).difference(self.numbers)
-        kept = len(self.numbers)
-        if unknown:
-            self._learn(unknown)
         many = np.fromiter(map(len, split), np.int64, len(split))
-        at = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(split)), np.int64, int(many.sum()))
-        begin, size = self.starts[at], self.starts[at + 1] - self.starts[at]
-        out = np.cumsum(size) - size
-        flat = self.flat[np.repeat(begin - out, size) + np.arange(int(size.sum()))]
+        at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(split)), np.int64, int(many.sum()))
+        if self.known.new:
+            self.known.learn(*self._encode_pieces(self.known.new))
+        flat, size = self.known.ids(at)
+        self.known.forget()
         ends = np.append(0, np.cumsum(size))[np.cumsum(many)]
-        if len(self.numbers) > self.room:
-            # Pieces beyond the room are forgotten again, the latest first.
-            for _ in range(len(self.numbers) - max(kept, self.room)):
-                self.numbers.popitem()
-            self.starts = self.starts[: len(self.numbers) + 1].copy()
-            self.flat = self.flat[: self.starts[-1]].copy()
         of_split = iter(np.split(flat, ends[:-1]))
         return [next(of_split) if x is not None else self._whole(text) for text, x in zip(texts, found, strict=True)]
 

@@ -33,7 +33,7 @@ from citeweave.staging import Staging
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
-RUN = 1 << 20
+RUN = 1 << 22
 
 PLAIN = "part int, run int, doc_ids array<long>, sizes array<long>, width int, ids binary"
 RUNS = "part int, run int, doc_ids array<long>, sizes array<long>, tokens long, payload binary"

@@ -96,7 +96,7 @@ def test_ids_equal_the_library():
     assert [list(ids) for ids in model.encode(texts)] == want
     small = byte_tokens.ByteTokens(PATH, room=60)
     assert [list(ids) for at in range(0, len(texts), 50) for ids in small.encode(texts[at : at + 50])] == want
-    assert len(small.numbers) == 60 < len(model.numbers)
+    assert len(small.known) == 60 < len(model.known)
     assert small.encode([]) == []
 
 

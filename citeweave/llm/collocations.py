@@ -28,6 +28,7 @@ from __future__ import annotations
 import struct
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +49,7 @@ PORTION, READ = 1 << 20, 1 << 22
 #: Bits that tell which words can be frequent.
 BITS = 1 << 24
 #: Distinct words that a task holds before it passes their counts on.
-HELD = 400_000
+HELD = 100_000
 
 # What ends a piece and what stands between words; capitals become small letters.
 _ENDS, _GAPS = b".,;:!?\n\x0b\x0c\r", b"\t"
@@ -168,7 +169,9 @@ def count_words(docs: DataFrame, staging: Staging, portion: int = PORTION) -> tu
 
         def flush() -> Iterator[pa.RecordBatch]:
             for lang, found in counts.items():
-                yield rows(lang, [word.decode() for word in found], list(found.values()))
+                pairs = iter(found.items())
+                while some := list(islice(pairs, 20_000)):
+                    yield rows(lang, [word.decode() for word, _ in some], [n for _, n in some])
             counts.clear()
 
         for some in _gathered(batches, portion):
@@ -188,13 +191,13 @@ def count_words(docs: DataFrame, staging: Staging, portion: int = PORTION) -> tu
         at = np.flatnonzero(load)
         yield rows(None, [str(k) for k in at], load[at])
 
-    partial = staging.write(docs.select("text", "lang").mapInArrow(run, COUNTS), "partial-counts")
-    words = partial.where("lang IS NOT NULL").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    counted = docs.select("text", "lang").mapInArrow(run, COUNTS).groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    counted = staging.write(counted, "words")
     # As many rows as buckets at most.
     load = np.zeros(BUCKETS, np.int64)
-    for row in partial.where("lang IS NULL").groupBy("word").agg(F.sum("n").alias("n")).collect():
+    for row in counted.where("lang IS NULL").collect():
         load[int(row["word"])] = row["n"]
-    return words, load
+    return counted.where("lang IS NOT NULL"), load
 
 
 def frequent_bits(words: DataFrame, least: int) -> np.ndarray:
@@ -379,7 +382,6 @@ def frequent_phrases(
     """(lang, phrase, words, n) of the phrases of 1 to ``DEPTH`` words found ``least`` times, and (lang, n) of all words."""
     docs = docs.select("text", F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"))
     words, load = count_words(docs, staging, portion)
-    words = staging.write(words, "words")
     routes = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-int(load.sum()) // task))
     # Bits and hot buckets are of fixed size, whatever the corpus is.
     blocks = routed(docs, load > hot, frequent_bits(words, least), routes, portion).repartitionById(routes, "route")

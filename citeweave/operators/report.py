@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citeweave.operators.frontier import unprocessed
-from citeweave.operators.identity import dense_position
+from citeweave.operators.identity import place_within
 from citeweave.operators.neighbours import both_directions
 from citeweave.staging import Staging
 
@@ -44,22 +44,20 @@ def collated(papers: DataFrame, edges: DataFrame, staging: Staging) -> DataFrame
 
     ``place`` counts from 0 in the order of the neighbours' keys. Every neighbour is a row, however many
     a paper has; a paper without neighbours has one row with a null direction. Neighbours that
-    are no papers of the corpus have null fields. Places come from a sort by ranges in which a hub
-    fills as many ranges as it needs, and from the first position of each paper and direction.
+    are no papers of the corpus have null fields. Links get ids and places as narrow rows, in a sort by ranges in which
+    a hub fills as many ranges as it needs; titles and abstracts are joined last and not moved again.
     """
-    links = both_directions(edges).withColumnRenamed("parent_ss_id", "paper")
-    placed = dense_position(links, ["paper", "direction", "ss_id"], staging, column="position")
-    first = placed.groupBy("paper", "direction").agg(F.min("position").alias("first"))
-    placed = placed.join(first, ["paper", "direction"]).select(
-        "paper", "direction", (F.col("position") - F.col("first")).alias("place"), F.col("ss_id").alias("neighbour")
-    )
+    links = both_directions(edges).withColumnRenamed("ss_id", "neighbour")
+    named = papers.select("id", F.col("ss_id").alias("parent_ss_id"))
+    linked = links.join(named, "parent_ss_id").select("id", F.col("parent_ss_id").alias("ss_id"), "direction", "neighbour")
+    placed = place_within(linked, ["ss_id", "direction"], ["neighbour"], staging)
     known = papers.select(F.col("ss_id").alias("neighbour"), "title", "abstract", "url")
-    # Written, so that what is grouped from it is dealt anew and not by the keys of a join.
-    fields = staging.write(placed.join(known, "neighbour", "left"), "collated")
-    named = papers.select("id", "ss_id")
-    return named.join(fields.withColumnRenamed("paper", "ss_id"), "ss_id", "left").select(
-        "id", "ss_id", "direction", "place", "neighbour", "title", "abstract", "url"
-    )
+    columns = ["id", "ss_id", "direction", "place", "neighbour", "title", "abstract", "url"]
+    rows = placed.join(known, "neighbour", "left").select(*columns)
+    # A hub's key is made single before the join.
+    alone = papers.select("id", "ss_id").join(placed.select("ss_id").distinct(), "ss_id", "left_anti")
+    missing = [F.lit(None).cast(rows.schema[name].dataType).alias(name) for name in columns[2:]]
+    return rows.unionByName(alone.select("id", "ss_id", *missing))
 
 
 def collated_json(rows: DataFrame) -> DataFrame:

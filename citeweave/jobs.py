@@ -22,6 +22,7 @@ from citeweave.schemas import LEGACY_EDGES, LEGACY_PAPERS
 from citeweave.session import build_session
 from citeweave.sources.corpus import BUCKETS, SEED_BATCH, Corpus
 from citeweave.sources.landed import scan_responses, scan_result_pages
+from citeweave.sources.links import SLICES, read_links, write_links
 from citeweave.sources.terms import first_positions, read_terms, slice_exclusive, slice_inclusive
 from citeweave.staging import Staging
 from citeweave.streaming.ingest import ingest_batch, ingest_responses, settle
@@ -135,7 +136,7 @@ def run_grow(spark, args, staging):
     known = corpus.read_papers(spark, before=args.batch)
     attributes = source.read(spark, "papers")
     terms = listed_terms(spark, args, staging)
-    links = staging.write(source.read(spark, "edges"), "links")
+    links = read_links(spark, args.links) if args.links else staging.write(source.read(spark, "edges"), "links")
     grown, met = expand_hops(known, links, terms, args.hops, staging, attributes=attributes)
     flags = grown.filter("is_processed").select("ss_id")
     with corpus.batch(spark, args.batch) as out:
@@ -144,6 +145,11 @@ def run_grow(spark, args, staging):
         out.append("done", unseen(flags, corpus.read(spark, "done", before=args.batch), ["ss_id"]))
 
 
+def run_links(spark, args, staging):
+    """The edges from either end, in slices by paper, for ``grow --links``."""
+    write_links(Corpus.below(args.corpus).read(spark, "edges"), args.target, args.slices)
+
+
 def run_compact(spark, args, staging):
     """All batches of a corpus as the first batch of another, with the flags merged into the papers."""
     source, target = Corpus.below(args.corpus), opened(spark, args, args.target)
@@ -224,11 +230,15 @@ def parser() -> argparse.ArgumentParser:
     grow = job("grow", run_grow, terms=True, batch=True)
     grow.add_argument("--source", required=True, help="corpus whose papers and edges are known")
     grow.add_argument("--hops", type=int, default=1)
+    grow.add_argument("--links", help="what the job links wrote of that corpus; a hop then reads the slices of its frontier")
+
+    linked = job("links", run_links)
+    linked.add_argument("--slices", type=int, default=SLICES)
 
     between = job("curated-edges", run_curated_edges)
     between.add_argument("--curated", required=True)
     written = [("compact", run_compact), ("progress", run_progress), ("fetched", run_fetched), ("dump", run_dump), ("validate", run_validate), ("upgrade", run_upgrade)]
-    for sub in (between, *[job(name, run) for name, run in written]):
+    for sub in (between, linked, *[job(name, run) for name, run in written]):
         sub.add_argument("--target", required=True)
     return top
 

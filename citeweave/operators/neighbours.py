@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citeweave.schemas import CITATION, REFERENCE
@@ -30,6 +30,22 @@ def both_directions(edges: DataFrame) -> DataFrame:
     return citations_of(edges).unionByName(references_of(edges))
 
 
+def slice_of(key: Column, slices: int) -> Column:
+    """The slice of a link table that holds the links of a paper."""
+    return F.pmod(F.xxhash64(key), F.lit(slices)).cast("int")
+
+
+def links_of(frontier: DataFrame, links: DataFrame, slices: int) -> DataFrame:
+    """The part of a link table in slices that can hold links of the frontier.
+
+    The driver names the slices that the frontier meets, which are ``slices`` numbers at most, and files of other
+    slices are not opened: what a hop reads falls with its frontier.
+    """
+    met = [row[0] for row in frontier.select(slice_of(F.col("parent_ss_id"), slices)).distinct().collect()]
+    some = links if len(met) == slices else links.where(F.col("slice").isin(met) if met else F.lit(False))
+    return some.select("parent_ss_id", "direction", "ss_id")
+
+
 def neighbours(frontier: DataFrame, links: DataFrame) -> DataFrame:
     """Neighbours of the frontier along ``links``, one of the views above.
 

@@ -18,7 +18,8 @@ from citeweave.operators.frontier import lookup_frontier
 from citeweave.operators.identity import dense_position
 from citeweave.operators.neighbours import as_edges, both_directions, neighbours
 from citeweave.operators.upsert import as_papers, discover, first_discovery, improved, mark_processed, matching, new_edges, numbered_rows, unseen
-from citeweave.schemas import NO_ABSTRACT, PAYLOAD_ORDER, UNTITLED
+from citeweave.schemas import EDGES, NO_ABSTRACT, PAYLOAD_ORDER, UNTITLED
+from citeweave.sources.links import Links
 from citeweave.sources.terms import first_positions
 from citeweave.staging import Staging, broadcastable
 
@@ -64,7 +65,7 @@ class EdgeHop(Hop):
     def __init__(
         self,
         papers: DataFrame,
-        edges: DataFrame,
+        edges: DataFrame | Links,
         terms: DataFrame,
         hop: int,
         staging: Staging,
@@ -72,11 +73,13 @@ class EdgeHop(Hop):
         attributes: DataFrame | None = None,
         known_edges: DataFrame | None = None,
     ):
+        """``edges`` is a table of edges, or a link table in slices, of which the hop reads those of its frontier."""
         self._known, self._known_edges, self._attributes = papers, known_edges, attributes
         self._hop, self._staging = hop, staging
         waiting = lookup_frontier(papers, first_positions(terms), hop)
         self._frontier = dense_position(waiting, ["term_pos", "parent_id"], staging, column="turn")
-        found = neighbours(self._frontier.select("parent_ss_id", "turn"), both_directions(edges))
+        links = edges.of(self._frontier) if isinstance(edges, Links) else both_directions(edges)
+        found = neighbours(self._frontier.select("parent_ss_id", "turn"), links)
         # Papers and edges both come from it, so the join with the edges is done once.
         self._found = staging.write(found.select("parent_ss_id", "turn", "direction", "ss_id"), f"found-{hop}")
 
@@ -184,7 +187,7 @@ class ResponseHop(Hop):
 
 def expand_hops(
     papers: DataFrame,
-    edges: DataFrame,
+    edges: DataFrame | Links,
     terms: DataFrame,
     hops: int,
     staging: Staging,
@@ -198,15 +201,17 @@ def expand_hops(
     the parents of a hop are new papers of the hop before. The loop ends early when a hop
     finds nothing.
     """
-    known, processed = papers, []
-    met = staging.write(edges.select("ss_id", "reference_id").limit(0), "no-edges")
+    known, processed, met = papers, [], None
     for hop in range(hops):
         step = EdgeHop(known, edges, terms, hop, staging, attributes=attributes)
-        added = staging.write(step.papers, f"papers-{hop + 1}")
+        added, some = staging.write_some(step.papers, f"papers-{hop + 1}")
         processed.append(step.processed)
         # A hop inserts its edges whether or not they lead to a new paper.
-        met = met.unionByName(staging.write(new_edges(step.edges, met), f"edges-{hop + 1}"))
+        found = staging.write(step.edges if met is None else new_edges(step.edges, met), f"edges-{hop + 1}")
+        met = found if met is None else met.unionByName(found)
         known = known.unionByName(added)
-        if added.isEmpty():
+        if not some:
             break
+    if met is None:
+        met = papers.sparkSession.createDataFrame([], EDGES)
     return mark_processed(known, reduce(DataFrame.unionByName, processed)) if processed else known, met

@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -55,6 +56,13 @@ class Staging:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def write_some(self, df: DataFrame, name: str = "table") -> tuple[DataFrame, bool]:
+        """As ``write``, and whether any row was written, as seen by the write itself."""
+        seen = Observation()
+        # A repeated task may be seen twice, so this is no exact count.
+        table = self.write(df.observe(seen, F.count(F.lit(1)).alias("rows")), name)
+        return table, seen.get["rows"] > 0
+
     def release(self) -> None:
         """Delete the folder once nothing reads from it any more."""
         self._files.delete(self._folder, True)

@@ -10,6 +10,7 @@ from citeweave.plans.curate import copy_seed, curated_edges
 from citeweave.plans.expand import EdgeHop, expand_hops
 from citeweave.plans.validate import validate
 from citeweave.schemas import EDGES, PAPERS
+from citeweave.sources.links import read_links, write_links
 from citeweave.sources.tables import scan_table
 from citeweave.sources.terms import slice_inclusive
 from citeweave.staging import Staging
@@ -426,7 +427,7 @@ SECOND_HOP = (
 )
 
 
-def two_hops(spark, sf):
+def two_hops(spark, sf, stored=False):
     """Two hops from the papers of all terms but the last; the papers of that are found anew."""
     staging = Staging(spark, "hops")
     parts = tables.part_papers(spark, sf)
@@ -436,22 +437,36 @@ def two_hops(spark, sf):
     seeds = parts.join(terms.select(F.col("term").alias("search_term")), "search_term", "left_semi")
     columns = ["ss_id", "title", "abstract", "url"]
     attributes = parts.select(*columns).unionByName(tables.order_papers(spark, sf).select(*columns))
-    edges = staging.write(tables.part_edges(spark, sf), "edges")
+    edges = tables.part_edges(spark, sf)
+    if stored:
+        path = staging.path("links")
+        write_links(edges, path)
+        edges = read_links(spark, path)
+    else:
+        edges = staging.write(edges, "edges")
     return expand_hops(seeds.select(*PAPERS.fieldNames()), edges, terms, 2, staging, attributes=attributes)
 
 
-@query(
-    "expand_hop2_papers",
+SECOND_PAPERS = (
     SECOND_HOP
     + """
     SELECT id, ss_id, title, abstract, search_term, num_hops, url, true AS is_processed FROM seeds
     UNION ALL SELECT id, ss_id, title, abstract, search_term, num_hops, url, true FROM hop1
-    UNION ALL SELECT * FROM hop2""",
+    UNION ALL SELECT * FROM hop2"""
 )
+
+
+@query("expand_hop2_papers", SECOND_PAPERS)
 def expand_hop2_papers(spark, sf):
     return two_hops(spark, sf)[0]
 
 
+@query("expand_hop2_from_links", SECOND_PAPERS)
+def expand_hop2_from_links(spark, sf):
+    """The same hops over a link table, of which each reads the slices of its frontier."""
+    return two_hops(spark, sf, stored=True)[0]
+
+
 @query(
     "expand_hop2_edges",
     SECOND_HOP

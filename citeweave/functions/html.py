@@ -1,8 +1,8 @@
 """Fields of stored result pages.
 
-Rows, titles and ids come from regular expressions inside the JVM. Two things need Python:
-resolving character entities, and the tree relations around an expanded abstract; both get
-only the texts they have to change.
+Titles and ids come from regular expressions inside the JVM. Three things need Python: the bounds of rows,
+which are those of a tree, resolving character entities, and the tree relations around an expanded abstract; all get
+only the texts concerned.
 """
 
 from __future__ import annotations
@@ -64,10 +64,44 @@ def drop_inert(page: Column) -> Column:
     return F.regexp_replace(page, _INERT, "")
 
 
+def _cut_rows(pages: pd.Series, row_tag: str, tag: str) -> pd.Series:
+    start, tags = re.compile(row_tag), re.compile(r"<(/?)([a-zA-Z][^\s/>]*)[^>]*>")
+
+    def cut(page: str) -> list[str]:
+        found: list[list[int]] = []
+        # Open elements as (name, place among the rows or -1), and the places of rows still open.
+        open_: list[tuple[str, int]] = []
+        for match in tags.finditer(page):
+            name = match[2].lower()
+            if not match[1]:
+                is_row = name == tag and start.match(page, match.start()) is not None
+                if is_row:
+                    found.append([match.start(), len(page)])
+                if name not in _Tree.VOID:
+                    open_.append((name, len(found) - 1 if is_row else -1))
+                continue
+            depth = next((k for k in range(len(open_) - 1, -1, -1) if open_[k][0] == name), None)
+            if depth is not None:
+                # An end tag also ends what stands open inside its element, just before it.
+                for k in range(len(open_) - 1, depth - 1, -1):
+                    if open_[k][1] >= 0:
+                        found[open_[k][1]][1] = match.end() if k == depth else match.start()
+                del open_[depth:]
+        return [page[begin:end] for begin, end in found]
+
+    return pages.map(cut, na_action="ignore")
+
+
 def row_chunks(page: Column, row: Selector = ROW) -> Column:
-    """Array of the page's rows, each from its start tag up to the next row."""
+    """Array of the page's rows, each from its start tag to its own end tag, as a tree has them.
+
+    A row inside another one is a row too, and part of the outer one. A row that is not ended goes as far as what
+    holds it. Only pages with a row reach Python.
+    """
     tag = start_tag(row)
-    return F.regexp_extract_all(drop_inert(page), F.lit(rf"(?s){tag}.*?(?={tag}|\z)"), F.lit(0))
+    bare = drop_inert(page)
+    cut = F.pandas_udf(lambda pages: _cut_rows(pages, tag, row.tag.lower()), "array<string>")
+    return F.coalesce(cut(F.when(bare.rlike(tag), bare)), F.when(page.isNotNull(), F.array().cast("array<string>")))
 
 
 def page_rows(pages: DataFrame, row: Selector = ROW, carry: Sequence[str] = ()) -> DataFrame:

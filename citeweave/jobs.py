@@ -159,6 +159,11 @@ def run_compact(spark, args, staging):
         out.append("done", source.read(spark, "done").distinct())
 
 
+def run_merge(spark, args, staging):
+    """The flags of looked-up papers into the batches that hold these papers; other batches keep their files."""
+    Corpus.below(args.corpus).merge_flags(spark)
+
+
 def run_curated_edges(spark, args, staging):
     """The edges whose both ends are curated papers."""
     curated = Corpus.below(args.curated).read(spark, "papers")
@@ -232,6 +237,8 @@ def parser() -> argparse.ArgumentParser:
     grow.add_argument("--hops", type=int, default=1)
     grow.add_argument("--links", help="what the job links wrote of that corpus; a hop then reads the slices of its frontier")
 
+    job("merge", run_merge)
+
     linked = job("links", run_links)
     linked.add_argument("--slices", type=int, default=SLICES)
 

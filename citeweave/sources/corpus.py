@@ -151,10 +151,14 @@ class Corpus:
     def read(self, spark: SparkSession, table: str, before: int | None = None) -> DataFrame:
         """The rows of all batches of a table, or of those below ``before``."""
         state = self._state(spark)
-        counts = [entry for entry in state["batches"] if (before is None or entry["batch"] < before) and table in entry["tables"]]
-        folders = [entry["folder"] for entry in counts]
+        counts = [entry for entry in state["batches"] if before is None or entry["batch"] < before]
+        return self._rows(spark, table, state, counts).select(*self.shapes[table].schema.fieldNames())
+
+    def _rows(self, spark: SparkSession, table: str, state: dict, counts: Sequence[dict]) -> DataFrame:
+        """Rows of some batches, with their ``folder``."""
+        folders = [entry["tables"][table] for entry in counts if table in entry["tables"]]
         rows = spark.table(self._table(spark, table, state["buckets"], folders))
-        return rows.where(F.col("folder").isin(folders) if folders else F.lit(False)).select(*self.shapes[table].schema.fieldNames())
+        return rows.where(F.col("folder").isin(folders) if folders else F.lit(False))
 
     def read_papers(self, spark: SparkSession, before: int | None = None) -> DataFrame:
         """Papers with the flags of all parents noted as done; bucket meets bucket."""
@@ -168,11 +172,35 @@ class Corpus:
         with self.batch(papers.sparkSession, SEED_BATCH) as out:
             out.append("papers", papers)
 
+    def merge_flags(self, spark: SparkSession) -> list[int]:
+        """Write the batches anew whose papers have flags noted in ``done`` only; the numbers of those batches.
+
+        Files of other batches stay as they are, and so does ``done``. All merged batches count at once.
+        """
+        state = self._state(spark)
+        done = self.read(spark, "done")
+        waiting = self._rows(spark, "papers", state, state["batches"]).where("NOT coalesce(is_processed, false)")
+        marked = matching(waiting.select("ss_id", "folder"), done, ["ss_id"]).select("folder").distinct().collect()
+        found = {row["folder"] for row in marked}
+        merged = []
+        for entry in state["batches"]:
+            if entry["tables"].get("papers") in found:
+                rows = self._rows(spark, "papers", state, [entry]).select(*self.shapes["papers"].schema.fieldNames())
+                folder = _new_folder(entry["batch"])
+                _write(spark, self, "papers", mark_processed(rows, done), folder, state["buckets"])
+                merged.append(entry | {"tables": entry["tables"] | {"papers": folder}})
+        if merged:
+            others = [entry for entry in state["batches"] if entry["tables"].get("papers") not in found]
+            batches = sorted([*others, *merged], key=lambda entry: entry["batch"])
+            self._put(spark, {"version": state["version"] + 1, "buckets": state["buckets"], "batches": batches})
+        return [entry["batch"] for entry in merged]
+
     def clean(self, spark: SparkSession) -> list[str]:
         """Delete the folders of batches that were stopped or written again; no other job may be writing or reading."""
-        counts = {entry["folder"] for entry in self.batches(spark)}
+        batches = self.batches(spark)
         gone = []
         for table in self.shapes:
+            counts = {entry["tables"].get(table) for entry in batches}
             for name in _names(spark, f"{self.root}/{table}"):
                 if name.startswith("batch-") and name not in counts:
                     target, files = _files(spark, f"{self.root}/{table}/{name}")
@@ -181,6 +209,30 @@ class Corpus:
         return gone
 
 
+def _new_folder(batch: int) -> str:
+    return f"batch-{batch}-{uuid.uuid4().hex}"
+
+
+def _write(spark: SparkSession, corpus: Corpus, table: str, rows: DataFrame, folder: str, buckets: int) -> int:
+    """Write rows of a table to a new folder; the highest id among them, 0 where there is none."""
+    shape = corpus.shapes[table]
+    rows = rows.select(*[F.col(column.name).cast(column.dataType) for column in shape.schema])
+    path = f"{corpus.root}/{table}/{folder}"
+    numbered = "id" in shape.schema.names
+    if numbered:
+        seen = Observation()
+        rows = rows.observe(seen, F.max("id").alias("highest"))
+    if shape.keys:
+        # Spark buckets rows for tables only: one is made for the write and forgotten, its files stay.
+        name = f"citeweave_{folder.replace('-', '_')}_{table}"
+        dealt = rows.repartition(buckets, *shape.keys)
+        dealt.write.format("parquet").bucketBy(buckets, *shape.keys).sortBy(*shape.keys).option("path", path).saveAsTable(name)
+        spark.sql(f"DROP TABLE {name}")
+    else:
+        rows.write.parquet(path)
+    return seen.get["highest"] or 0 if numbered else 0
+
+
 @dataclass
 class Batch:
     """The tables of one batch; all of them count at once, or none if the block ends with an error."""
@@ -188,39 +240,24 @@ class Batch:
     corpus: Corpus
     spark: SparkSession
     number: int
-    folder: str = field(init=False)
-    tables: list[str] = field(default_factory=list)
+    tables: dict[str, str] = field(default_factory=dict)
     highest_id: int = 0
 
     def __enter__(self) -> "Batch":
-        self.folder = f"batch-{self.number}-{uuid.uuid4().hex}"
+        self._folder = _new_folder(self.number)
         self._buckets = self.corpus._state(self.spark)["buckets"]
         return self
 
     def append(self, table: str, rows: DataFrame) -> None:
         """Write the rows of one table; once for each table."""
-        shape = self.corpus.shapes[table]
-        rows = rows.select(*[F.col(column.name).cast(column.dataType) for column in shape.schema])
-        path = f"{self.corpus.root}/{table}/{self.folder}"
-        if "id" in shape.schema.names:
-            seen = Observation()
-            rows = rows.observe(seen, F.max("id").alias("highest"))
-        if shape.keys:
-            # Spark buckets rows for tables only: one is made for the write and forgotten, its files stay.
-            name = f"citeweave_{self.folder.replace('-', '_')}_{table}"
-            dealt = rows.repartition(self._buckets, *shape.keys)
-            dealt.write.format("parquet").bucketBy(self._buckets, *shape.keys).sortBy(*shape.keys).option("path", path).saveAsTable(name)
-            self.spark.sql(f"DROP TABLE {name}")
-        else:
-            rows.write.parquet(path)
-        if "id" in shape.schema.names:
-            self.highest_id = max(self.highest_id, seen.get["highest"] or 0)
-        self.tables.append(table)
+        highest = _write(self.spark, self.corpus, table, rows, self._folder, self._buckets)
+        self.highest_id = max(self.highest_id, highest)
+        self.tables[table] = self._folder
 
     def __exit__(self, kind, *_rest) -> None:
         if kind is None:
             state = self.corpus._state(self.spark)
-            entry = {"batch": self.number, "folder": self.folder, "tables": self.tables, "highest_id": self.highest_id}
+            entry = {"batch": self.number, "tables": self.tables, "highest_id": self.highest_id}
             others = [other for other in state["batches"] if other["batch"] != self.number]
             batches = sorted([*others, entry], key=lambda entry: entry["batch"])
             self.corpus._put(self.spark, state | {"version": state["version"] + 1, "batches": batches})

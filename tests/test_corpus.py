@@ -53,7 +53,7 @@ def test_a_batch_written_again_replaces_itself(spark, frame, values, corpus):
     assert values(corpus.read(spark, "edges")) == [("a", "b"), ("c", "d")]
     # Files that a reader has begun with are left alone until they are cleaned up.
     assert values(earlier) == [("a", "b"), ("c", "d"), ("e", "f")]
-    assert corpus.clean(spark) == [f"edges/{name}" for name in {r.split("/")[-2] for r in earlier.inputFiles()} - {e["folder"] for e in corpus.batches(spark)}]
+    assert corpus.clean(spark) == [f"edges/{name}" for name in {r.split("/")[-2] for r in earlier.inputFiles()} - {e["tables"]["edges"] for e in corpus.batches(spark)}]
     assert values(corpus.read(spark, "edges")) == [("a", "b"), ("c", "d")]
 
 
@@ -118,6 +118,25 @@ def test_bucket_meets_bucket(spark, large):
         assert plan_of(again).split("LocalLimit")[0].count("Exchange hashpartitioning") == 1
 
 
+def test_flags_are_merged_where_there_are_new_ones(spark, large, values):
+    """Batches without an unmerged flag keep their files."""
+    with large.batch(spark, 3) as out:
+        out.append("papers", spark.createDataFrame([(9000, "z", "Z", "x", "t", 3, None, False)], PAPERS))
+    before, files = values(large.read_papers(spark)), set(large.read(spark, "papers").inputFiles())
+    last = set(spark.read.parquet(f"{large.root}/papers/{large.batches(spark)[-1]['tables']['papers']}").inputFiles())
+    assert large.merge_flags(spark) == [0, 1, 2]
+    assert values(large.read(spark, "papers")) == before == values(large.read_papers(spark))
+    assert set(large.read(spark, "papers").inputFiles()) & files == last
+    assert large.merge_flags(spark) == [] and large.highest_id(spark) == 9000
+    with large.batch(spark, 4) as out:
+        out.append("done", spark.createDataFrame([("n2001",)], "ss_id string"))
+    files = set(large.read(spark, "papers").inputFiles())
+    assert large.merge_flags(spark) == [1]
+    kept = set(large.read(spark, "papers").inputFiles()) & files
+    assert all(name in kept for name in files if f"/{large.batches(spark)[1]['tables']['papers']}/" not in name and "batch-1-" not in name)
+    assert large.read(spark, "papers").where("ss_id = 'n2001'").first()["is_processed"]
+
+
 def test_a_small_batch_opens_its_buckets_alone(spark, large, staging):
     batch = staging.write(spark.createDataFrame([("n17",), ("n4000",), ("new",)], "ss_id string"))
     with settings(spark, spark__sql__sources__bucketing__autoBucketedScan__enabled="false"):

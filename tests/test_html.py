@@ -39,6 +39,30 @@ def test_rows_titles_and_abstracts(frame):
     ]
 
 
+def test_rows_end_with_their_element(frame):
+    """Nested rows, a footer's label, rows that are not ended, stray end tags, void elements, other tags of a row's name."""
+    row = '<div class="cl-paper-row">'
+    label = BUTTON.format("Collapse")
+    pages = {
+        "footer": f"<body>{row}<p>a<br>b</p></div>{row}<b>c</b></div><footer><div>d</div>{label}</footer></body>",
+        "nested": f"{row}x<div>y{row}z</div></div>{label}</div>w",
+        "open": f"<section>{row}a<div>b</section>{row}c",
+        "stray": f"</div>{row}</p></span>a</div></div>b",
+        "void": f'{row}<img src="/div"><input>a</div>b',
+        "none": "<div>nothing</div>",
+    }
+    rows = page_rows(frame(list(pages.items()), "name string, html string"), carry=("name",)).collect()
+    found = {name: [r["row_html"] for r in sorted(rows, key=lambda r: r["item"]) if r["name"] == name] for name in pages}
+    assert found == {
+        "footer": [f"{row}<p>a<br>b</p></div>", f"{row}<b>c</b></div>"],
+        "nested": [f"{row}x<div>y{row}z</div></div>{label}</div>", f"{row}z</div>"],
+        "open": [f"{row}a<div>b", f"{row}c"],
+        "stray": [f"{row}</p></span>a</div>"],
+        "void": [f'{row}<img src="/div"><input>a</div>'],
+        "none": [],
+    }
+
+
 def test_expanded_text_by_hand():
     collapse = BUTTON.format("Collapse")
     assert expanded_text(None) is None

@@ -204,7 +204,7 @@ def result_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as pages of search results, ten ids to a page.
 
     English abstracts stand in a block before the button, Spanish ones are not expanded, the
-    others stand around the button under a heading.
+    others stand around the button under a heading. The footer has such a button too, which belongs to no result.
     """
     docs = table(spark, sf, "documents")
     key = _key("D", "doc_id")
@@ -238,7 +238,7 @@ def result_pages(spark: SparkSession, sf: str) -> DataFrame:
             F.concat(
                 F.lit('<html><head><script>var x="<div class=cl-paper-row>";</script></head><body>\n'),
                 F.array_join(F.col("rows.row"), ""),
-                F.lit("<footer>end</footer></body></html>"),
+                F.lit("<footer><div>end</div>" + button.format("Collapse") + "</footer></body></html>"),
             ).alias("html"),
         )
     )

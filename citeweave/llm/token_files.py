@@ -35,7 +35,7 @@ VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
 RUN = 1 << 22
 
-PLAIN = "part int, run int, doc_ids array<long>, sizes array<long>, width int, ids binary"
+PLAIN = "part int, run int, doc_ids array<long>, sizes array<long>, width int, ids binary, counts binary"
 RUNS = "part int, run int, doc_ids array<long>, sizes array<long>, tokens long, payload binary"
 READ = "doc_id long, at long, n_tokens long, ids_crc32 long"
 
@@ -48,7 +48,7 @@ def in_order(docs: DataFrame) -> DataFrame:
 
 
 def encoded_runs(docs: DataFrame, vocabulary: str, end_id: int, run_ids: int) -> DataFrame:
-    """Runs of whole documents in order, their ids as plain numbers of ``width`` bytes."""
+    """Runs of whole documents in order, their ids as plain numbers of ``width`` bytes, and how often each id comes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, number = byte_tokens(vocabulary), TaskContext.get().partitionId(), 0
@@ -58,15 +58,17 @@ def encoded_runs(docs: DataFrame, vocabulary: str, end_id: int, run_ids: int) ->
         size = 0
 
         def closed() -> pa.RecordBatch:
+            ids = np.concatenate(held)
             columns = [
                 pa.array([part], pa.int32()),
                 pa.array([number], pa.int32()),
                 pa.array([names], pa.list_(pa.int64())),
                 pa.array([[len(x) for x in held]], pa.list_(pa.int64())),
                 pa.array([width], pa.int32()),
-                pa.array([np.concatenate(held).astype(f"<u{width}").tobytes()], pa.binary()),
+                pa.array([ids.astype(f"<u{width}").tobytes()], pa.binary()),
+                pa.array([np.bincount(ids).astype("<u4").tobytes()], pa.binary()),
             ]
-            return pa.RecordBatch.from_arrays(columns, ["part", "run", "doc_ids", "sizes", "width", "ids"])
+            return pa.RecordBatch.from_arrays(columns, ["part", "run", "doc_ids", "sizes", "width", "ids", "counts"])
 
         for batch in batches:
             doc_ids, at = batch.column(0).to_pylist(), 0
@@ -91,14 +93,14 @@ def id_counts(runs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for ids, width in zip(batch.column(0), batch.column(1), strict=True):
-                counts = np.bincount(np.frombuffer(ids.as_py(), f"<u{width.as_py()}"))
-                total = np.pad(total, (0, max(0, len(counts) - len(total))))
-                total[: len(counts)] += counts
+            for counts in batch.column(0):
+                n = np.frombuffer(counts.as_py(), "<u4")
+                total = np.pad(total, (0, max(0, len(n) - len(total))))
+                total[: len(n)] += n
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], ["id", "n"])
 
-    counts = runs.select("ids", "width").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    counts = runs.select("counts").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     rows = sorted(tuple(row) for row in counts.collect())
     return np.array([i for i, _ in rows], np.int64), np.array([n for _, n in rows], np.int64)
 
@@ -127,7 +129,7 @@ def write_ids(
                 columns = [*row.columns[:4], pa.array([len(numbers)], pa.int64()), pa.array([ans_codec.encode(numbers, table)], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["part", "run", "doc_ids", "sizes", "tokens", "payload"])
 
-    plain.mapInArrow(code, RUNS).write.mode("overwrite").parquet(f"{folder}/runs")
+    plain.drop("counts").mapInArrow(code, RUNS).write.mode("overwrite").parquet(f"{folder}/runs")
     runs = spark.read.schema(RUNS).parquet(f"{folder}/runs").select("part", "run", "tokens")
     before = lambda window: F.coalesce(F.sum("tokens").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     # As many parts as tasks wrote; runs are numbered within them.

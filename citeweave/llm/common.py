@@ -26,6 +26,14 @@ def ascii_lower(text: Column) -> Column:
     )
 
 
+def unused(columns: Sequence[str], name: str) -> str:
+    """``name``, made longer until no column has it, whatever the case of its letters."""
+    taken = {column.lower() for column in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def two_hashes(value: Column) -> tuple[Column, Column]:
     """128 bits of hash as two longs, so that equal hashes mean equal values at any corpus size."""
     return F.xxhash64(value), F.xxhash64(F.lit(1), value)

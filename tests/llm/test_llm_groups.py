@@ -220,7 +220,8 @@ def test_the_walk_meets_its_recall_and_shortens(spark, kind):
         near[np.arange(len(asked)), asked] = False
         assert (near & visited).sum() >= 0.95 * near.sum()
         shares.append(visited.mean())
-    assert shares[1] < 0.1 and shares[1] < shares[0]
+    # Where vectors crowd in few cells, these hold more rows.
+    assert shares[1] < shares[0] and shares[1] < (0.05 if kind == "isotropic" else 0.2)
 
 
 def test_the_nearest_cells(monkeypatch):

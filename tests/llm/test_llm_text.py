@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -156,6 +157,26 @@ def test_lines(frame, staging):
     assert {r["n_lines"] for r in rows if r["doc_id"] == 4} == {4}
 
 
+def test_lines_with_names_that_the_operator_uses(frame, staging):
+    docs = [(i, f"the one line that all hold\nown {i}", "a", "b", "c", 5) for i in range(4)]
+    df = frame(docs, "doc_id long, text string, _doc string, _KEY string, _gone string, n_dropped int")
+    rows = sorted(line_dedup.drop_repeated_lines(df, staging, min_chars=10, min_docs=3).collect())
+    names = ["doc_id", "text", "_doc", "_KEY", "_gone", "n_lines", "n_dropped"]
+    assert rows[0].__fields__ == names
+    assert [tuple(row) for row in rows] == [(i, f"own {i}" if i < 3 else docs[3][1], "a", "b", "c", 2, int(i < 3)) for i in range(4)]
+
+
+def test_a_text_of_very_many_lines(spark, staging):
+    """200,000 distinct lines, half of them in five documents: some seconds, not hours."""
+    begin = time.time()
+    line = lambda i: F.concat(F.lit("a line that is long enough to count as one "), i.cast("string"))
+    text = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(200_000)), lambda i: F.when(i % 2 == 0, line(i)).otherwise(F.concat(line(i), F.lit(" of "), F.col("id").cast("string")))), "\n")
+    docs = spark.range(5).select(F.col("id").alias("doc_id"), text.alias("text"))
+    rows = line_dedup.drop_repeated_lines(docs, staging).select("doc_id", "n_lines", "n_dropped", F.size(F.split("text", "\n")).alias("left")).collect()
+    assert sorted(map(tuple, rows)) == [(i, 200_000, 100_000 if i < 4 else 0, 100_000 if i < 4 else 200_000) for i in range(5)]
+    assert time.time() - begin < 60
+
+
 def plain_spans(text):
     found = []
     for rank, rule in enumerate(secrets.RULES, start=1):

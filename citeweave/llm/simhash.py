@@ -168,7 +168,8 @@ def neighbour_counts(prints: DataFrame, staging: Staging, radius: int = 3, chunk
     shared = entries.groupBy("table", "key").agg(F.count("*").alias("members")).where("members > 1")
     shared = staging.write(shared, "shared-blocks")
     members = staging.write(entries.join(shared, ["table", "key"]), "block-tables")
-    part = F.pmod(F.xxhash64("fingerprint", F.lit(1)), F.ceil(F.col("members") / chunk))
+    parts = F.ceil(F.col("members") / chunk)
+    part = F.pmod(F.xxhash64("fingerprint", F.lit(1)), parts)
     chunks = members.groupBy("table", "key", part.alias("part")).agg(
         F.collect_list(F.struct(F.col("fingerprint").alias("f"), F.col("docs").alias("n"))).alias("others")
     )
@@ -181,9 +182,10 @@ def neighbour_counts(prints: DataFrame, staging: Staging, radius: int = 3, chunk
         return fits
 
     near = F.aggregate(F.filter("others", counts), F.lit(0).cast("long"), lambda total, other: total + other["n"])
+    # Every member asks every chunk of its key; the chunk is part of the key, so those of a hot key are asked by many tasks.
+    asking = members.select("table", "key", "fingerprint", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"))
     found = (
-        members.select("table", "key", "fingerprint")
-        .join(chunks, ["table", "key"])
+        asking.join(chunks, ["table", "key", "part"])
         .select("fingerprint", near.alias("near"))
         .groupBy("fingerprint")
         .agg(F.sum("near").alias("near"))

@@ -1,10 +1,12 @@
 """Tokenizers, packing, lines, secrets, language and fingerprints against plain versions and the libraries."""
 
 import hashlib
+import math
 import random
 import re
 import time
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -298,3 +300,69 @@ def test_empty_tables(frame, staging):
     assert token_counts.count_tokens(df, staging.path("cache"), staging).count() == 0
     assert sentence_pieces.encode_and_decode(df).count() == 0
     assert language.predict(df, language.train(df)).count() == 0
+
+
+def test_a_hot_block_is_asked_in_parts(spark, staging):
+    """Two thousand fingerprints in one block: counted by chunks, each a key of its own."""
+    prints = spark.range(2000).select((F.col("id") * 7).alias("fingerprint"))
+    found = {r["fingerprint"]: r["near"] for r in simhash.neighbour_counts(prints, staging, chunk=100).collect()}
+    values = np.array(sorted(found))
+    want = (np.bitwise_count(values[:, None] ^ values) <= 3).sum(1) - 1
+    assert [found[v] for v in values.tolist()] == want.tolist()
+
+
+def plain_mixture(counts, text):
+    """Languages and score by expectation-maximisation over dictionaries, one n-gram after the other."""
+    grams = [int(g) for g in language.ngrams(text)]
+    langs = sorted(counts)
+    total = {lang: sum(counts[lang].values()) + 0.5 * language.BUCKETS for lang in langs}
+    prob = {g: {lang: (counts[lang].get(g, 0) + 0.5) / total[lang] for lang in langs} for g in set(grams)}
+
+    def fitted(some):
+        share, last = {lang: 1 / len(some) for lang in some}, -math.inf
+        for _ in range(20):
+            fit = sum(math.log(sum(prob[g][lang] * share[lang] for lang in some)) for g in grams)
+            if fit - last < 1e-3:
+                break
+            last, new = fit, dict.fromkeys(some, 0.0)
+            for g in grams:
+                mass = sum(prob[g][lang] * share[lang] for lang in some)
+                for lang in some:
+                    new[lang] += prob[g][lang] * share[lang] / mass / len(grams)
+            share = new
+        return share, fit
+
+    single = {lang: sum(math.log(prob[g][lang]) for g in grams) for lang in langs}
+    best = max(langs, key=lambda lang: single[lang])
+    share, fit = fitted(langs)
+    penalty = 2 * math.log(len(grams) + 1)
+    if fit - single[best] <= penalty:
+        return [best], share[best]
+    order, chosen, value, its = sorted(langs, key=lambda lang: -share[lang]), [best], single[best], {best: 1.0}
+    for size in range(2, len(langs) + 1):
+        some, some_fit = fitted(order[:size])
+        if some_fit - penalty * (size - 1) <= value:
+            break
+        chosen, value, its = order[:size], some_fit - penalty * (size - 1), some
+    top = sorted(chosen, key=lambda lang: (-its[lang], lang))
+    return top, share[top[0]]
+
+
+def test_languages_against_a_plain_mixture(spark):
+    """Shares, selected languages and scores of single and of mixed texts."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("text IS NOT NULL AND lang IS NOT NULL")
+    texts = {}
+    for row in docs.orderBy("doc_id").collect():
+        if 200 < len(row["text"]) < 2000:
+            texts.setdefault(row["lang"], []).append(row["text"])
+    train = spark.createDataFrame([(t, lang) for lang, some in texts.items() for t in some[2:]], "text string, lang string")
+    model = language.train(train)
+    counts = {lang: Counter(int(g) for t in some[2:] for g in language.ngrams(t)) for lang, some in texts.items()}
+    langs = sorted(texts)
+    asked = [t for some in texts.values() for t in some[:2]]
+    asked += [texts[a][0] + " " + texts[b][1] for a in langs for b in langs if a < b] + ["a", "Zz. 7"]
+    found = language.predict(spark.createDataFrame([(i, t) for i, t in enumerate(asked)], "doc_id long, text string"), model).collect()
+    assert len(langs) >= 3 and any(len(r["languages"]) > 1 for r in found)
+    for row in found:
+        want, score = plain_mixture(counts, row["text"])
+        assert row["languages"] == want and row["lang_pred"] == want[0] and abs(row["score"] - score) < 1e-6

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -34,6 +34,17 @@ def unused(columns: Sequence[str], name: str) -> str:
     return name
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often the body and its lambdas use it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def in_chunks(array: Column) -> Column:
+    """An array cut into as many chunks as each has elements; ``array`` has to be a column or a lambda's variable, and not empty."""
+    size = F.ceil(F.sqrt(F.size(array))).cast("int")
+    return F.transform(F.sequence(F.lit(0), F.size(array) - 1, size), lambda at: F.slice(array, at + 1, size))
+
+
 def two_hashes(value: Column) -> tuple[Column, Column]:
     """128 bits of hash as two longs, so that equal hashes mean equal values at any corpus size."""
     return F.xxhash64(value), F.xxhash64(F.lit(1), value)

@@ -13,11 +13,13 @@ table gives an empty table. Other columns of the input pass through untouched, t
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from citeweave.llm.common import in_chunks, let, unused
 from citeweave.staging import Staging
 
 
@@ -70,7 +72,6 @@ def spans_of(text: Column, rule: Rule) -> Column:
         ),
     )
     empty = F.array().cast("array<struct<start:int,end:int>>")
-    start = F.struct(F.lit(0).alias("at"), empty.alias("spans"))
 
     def step(state: Column, piece: Column) -> Column:
         begin = state["at"] + piece["gap"]
@@ -80,10 +81,25 @@ def spans_of(text: Column, rule: Rule) -> Column:
             end.alias("at"), F.when(F.coalesce(piece["fits"], F.lit(False)), F.concat(state["spans"], span)).otherwise(state["spans"]).alias("spans")
         )
 
-    found = F.aggregate(pieces, start, step, lambda state: state["spans"])
+    def length(chunk: Column) -> Column:
+        return F.aggregate(chunk, F.lit(0), lambda total, piece: total + piece["gap"] + F.coalesce(piece["width"], F.lit(0)))
+
+    def spans(chunk: Column, at: Column) -> Column:
+        return F.aggregate(chunk, F.struct(at.alias("at"), empty.alias("spans")), step, lambda state: state["spans"])
+
+    # An array that grows is copied with each element, so spans grow chunk by chunk.
+    found = let(pieces, lambda all_: let(in_chunks(all_), lambda chunks: let(_before(chunks, lambda at, chunk: at + length(chunk)), lambda begins: F.flatten(F.zip_with(chunks, begins, spans)))))
     return F.when(text.rlike(rule.pattern), found).otherwise(empty)
 
 
+def _before(chunks: Column, add: Callable[[Column, Column], Column]) -> Column:
+    """For each chunk the number, 0 at first, to which ``add`` has come by the chunks before it."""
+    none = F.array().cast("array<int>")
+    start = F.struct(F.lit(0).alias("at"), none.alias("begins"))
+    step = lambda state, chunk: F.struct(add(state["at"], chunk).alias("at"), F.concat(state["begins"], F.array(state["at"])).alias("begins"))
+    return F.aggregate(chunks, start, step, lambda state: state["begins"])
+
+
 def read_ledger(spark: SparkSession, folder: str) -> DataFrame:
     """All scanned pairs; a pair that two runs have scanned counts once."""
     files = spark._jvm.org.apache.hadoop.fs.Path(folder)
@@ -138,24 +154,43 @@ def scan_versions(versions: DataFrame, ledger_folder: str, staging: Staging, rul
         .groupBy("blob")
         .agg(F.array_sort(F.flatten(F.collect_list(one_kind))).alias("spans"))
     )
-    findings = staging.write(findings, "findings").withColumnRenamed("blob", "_blob")
+    known = unused([*versions.columns, "blob", "spans"], "_blob")
+    findings = staging.write(findings, "findings").withColumnRenamed("blob", known)
     rows = versions.drop("spans", "blob").withColumn("blob", blob_of(F.col("text")))
     nothing = F.array().cast(findings.schema["spans"].dataType)
     # The same join at every size: a text that is carried along always moves once.
-    return rows.join(findings.hint("merge"), F.col("blob") == F.col("_blob"), "left").withColumn("spans", F.coalesce("spans", nothing)).drop("_blob")
+    return rows.join(findings.hint("merge"), F.col("blob") == F.col(known), "left").withColumn("spans", F.coalesce("spans", nothing)).drop(known)
 
 
 def redact(text: Column, spans: Column, mask: str = "[REDACTED]") -> Column:
     """``text`` with each run of overlapping spans replaced by one mask; null stays null."""
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(state: Column, span: Column) -> Column:
-        gap = F.substring(text, state["at"] + 1, F.greatest(span["start"] - state["at"], F.lit(0)))
-        new = (span["start"] >= state["at"]) & (span["end"] > state["at"])
-        return F.struct(
-            F.greatest(state["at"], span["end"]).alias("at"),
-            F.when(new, F.concat(state["out"], gap, F.lit(mask))).otherwise(state["out"]).alias("out"),
+    last = lambda chunk: F.aggregate(chunk, F.lit(0), lambda at, span: F.greatest(at, span["end"]))
+
+    def masked(chunk: Column, begin: Column) -> Column:
+        """The text from ``begin`` to the chunk's last end."""
+
+        def step(part: Column) -> Callable[[Column, Column], Column]:
+            def one(state: Column, span: Column) -> Column:
+                gap = F.substring(part, state["at"] - begin + 1, F.greatest(span["start"] - state["at"], F.lit(0)))
+                new = (span["start"] >= state["at"]) & (span["end"] > state["at"])
+                return F.struct(
+                    F.greatest(state["at"], span["end"]).alias("at"),
+                    F.when(new, F.concat(state["out"], F.array(F.concat(gap, F.lit(mask))))).otherwise(state["out"]).alias("out"),
+                )
+
+            return one
+
+        nothing = F.struct(begin.alias("at"), F.array().cast("array<string>").alias("out"))
+        part = F.substring(text, begin + 1, F.greatest(last(chunk) - begin, F.lit(0)))
+        return let(part, lambda part: F.array_join(F.aggregate(chunk, nothing, step(part), lambda state: state["out"]), ""))
+
+    def whole(all_: Column) -> Column:
+        return let(
+            in_chunks(all_),
+            lambda chunks: let(
+                _before(chunks, lambda at, chunk: F.greatest(at, last(chunk))), lambda begins: F.array_join(F.zip_with(chunks, begins, masked), "")
+            ),
         )
 
-    whole = F.aggregate(spans, begin, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.char_length(text))))
-    return F.when(text.isNull() | (F.size(spans) == 0), text).otherwise(whole)
+    rest = F.substring(text, last(spans) + 1, F.char_length(text))
+    return F.when(text.isNull() | (F.size(spans) == 0), text).otherwise(F.concat(let(spans, whole), rest))

@@ -17,7 +17,7 @@ from citeweave.operators.upsert import new_edges, unseen, upgrade_edges, upgrade
 from citeweave.plans.collect import collect_pages
 from citeweave.plans.curate import PER_TERM, copy_seed, curate, curated_edges
 from citeweave.plans.expand import expand_hops
-from citeweave.plans.validate import validate
+from citeweave.plans.validate import check_orphans, validate
 from citeweave.schemas import LEGACY_EDGES, LEGACY_PAPERS
 from citeweave.session import build_session
 from citeweave.sources.corpus import BUCKETS, SEED_BATCH, Corpus
@@ -184,6 +184,11 @@ def run_validate(spark, args, staging):
     report.write.mode("overwrite").option("header", True).csv(args.target)
 
 
+def run_orphans(spark, args, staging):
+    """The edges without a paper at an end, brought up to date by what the batches since the last check have added."""
+    check_orphans(Corpus.below(args.corpus), spark, args.batch)
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="citeweave", description=__doc__)
     jobs = top.add_subparsers(dest="job", required=True)
@@ -238,6 +243,7 @@ def parser() -> argparse.ArgumentParser:
     grow.add_argument("--links", help="what the job links wrote of that corpus; a hop then reads the slices of its frontier")
 
     job("merge", run_merge)
+    job("orphans", run_orphans, batch=True)
 
     linked = job("links", run_links)
     linked.add_argument("--slices", type=int, default=SLICES)

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from citeweave.operators.subset import matching
 from citeweave.staging import Staging
 
 
@@ -52,3 +53,27 @@ def flag_orphans(edges: DataFrame, papers: DataFrame, staging: Staging) -> DataF
 def orphan_edges(edges: DataFrame, papers: DataFrame, staging: Staging) -> DataFrame:
     """Edges with an end that is no paper, or null."""
     return flag_orphans(edges, papers, staging).filter("orphan").drop("orphan")
+
+
+def orphans_after(previous: DataFrame, edges: DataFrame, added: DataFrame, papers: DataFrame, staging: Staging, look_up=matching) -> DataFrame:
+    """Orphans with the ends they lack (``no_source``, ``no_target``), after ``edges`` and the papers ``added`` have come.
+
+    ``previous`` are the orphans before, and only the added papers can free them; the ends of the new edges are looked up
+    among all ``papers``, the added ones included. A null end is no paper.
+    """
+    new = staging.write(edges.select("ss_id", "reference_id").distinct(), "new-edges")
+    ends = staging.write(edge_ends(new).where("ss_id IS NOT NULL"), "new-ends")
+    missing = staging.write(ends.join(look_up(papers.select("ss_id"), ends, ["ss_id"]), "ss_id", "left_anti"), "new-missing")
+
+    def flagged(edges: DataFrame, keys: DataFrame, name: str, end: str) -> DataFrame:
+        marks = keys.select(F.col("ss_id").alias(end)).distinct().withColumn(name, F.lit(True))
+        return edges.join(marks, end, "left").withColumn(name, F.coalesce(name, F.col(end).isNull()))
+
+    found = flagged(flagged(new, missing, "no_source", "ss_id"), missing, "no_target", "reference_id")
+    freed = flagged(flagged(previous, added, "_source", "ss_id"), added, "_target", "reference_id")
+    still = freed.select(
+        "ss_id",
+        "reference_id",
+        *[(F.col(f"no_{end}") & (~F.col(f"_{end}") | F.col(key).isNull())).alias(f"no_{end}") for end, key in (("source", "ss_id"), ("target", "reference_id"))],
+    )
+    return found.unionByName(still).where("no_source OR no_target")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from citeweave.operators.checks import flag_orphans, repeated_keys
 from citeweave.operators.identity import assign_ids, highest_id
+from citeweave.operators.subset import matching
 from citeweave.schemas import LEGACY_EDGES, LEGACY_PAPERS, NO_ABSTRACT, PAPERS
 from citeweave.staging import Staging
 
@@ -32,15 +33,6 @@ def unseen(candidates: DataFrame, known: DataFrame, keys: Sequence[str]) -> Data
     return candidates.join(known.select(*keys), list(keys), "left_anti")
 
 
-def matching(table: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The rows of a table whose key occurs in a staged batch.
-
-    If the batch's files are small enough to broadcast, the table is only scanned and not
-    shuffled; otherwise both sides are shuffled.
-    """
-    return table.join(staged.select(*keys), list(keys), "left_semi")
-
-
 def insertable(candidates: DataFrame) -> DataFrame:
     """Drop candidates without id or title, and fill in a missing abstract."""
     return candidates.na.drop(subset=["ss_id", "title"]).withColumn(

@@ -1,14 +1,15 @@
-"""One report over all constraints of a corpus."""
+"""One report over all constraints of a corpus, and its orphaned edges kept up to date."""
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeweave.operators.checks import orphan_edges, repeated_keys
+from citeweave.operators.checks import orphan_edges, orphans_after, repeated_keys
 from citeweave.schemas import EDGES, PAPERS
+from citeweave.sources.corpus import Corpus, touched
 from citeweave.staging import Staging
 
 
@@ -37,3 +38,23 @@ def validate(papers: DataFrame, edges: DataFrame, staging: Staging) -> DataFrame
         _row_count(orphan_edges(edges.na.drop(), papers, staging), "edges ends are papers"),
     ]
     return reduce(DataFrame.unionByName, parts)
+
+
+def check_orphans(corpus: Corpus, spark: SparkSession, batch: int) -> DataFrame:
+    """The orphans of a corpus, kept as a table of batch ``batch`` and brought up to date by what came since the last check.
+
+    Where a batch that was checked has been written again, everything is checked anew.
+    """
+    entries = corpus.batches(spark, before=batch)
+    now = {table: {entry["tables"][table] for entry in entries if table in entry["tables"]} for table in ("papers", "edges")}
+    last = max((entry for entry in entries if "checked" in entry), key=lambda entry: entry["batch"], default=None)
+    checked = {table: set(last["checked"][table]) if last else set() for table in now}
+    if any(checked[table] - now[table] for table in now):
+        last, checked = None, {table: set() for table in now}
+    new = {table: corpus.read_folders(spark, table, sorted(now[table] - checked[table])) for table in now}
+    previous = corpus.read_folders(spark, "orphans", [last["tables"]["orphans"]] if last else [])
+    papers = corpus.read(spark, "papers", before=batch)
+    with Staging(spark, "orphans") as staging, corpus.batch(spark, batch) as out:
+        out.append("orphans", orphans_after(previous, new["edges"], new["papers"], papers, staging, touched))
+        out.notes["checked"] = {table: sorted(now[table]) for table in now}
+    return corpus.read_folders(spark, "orphans", [out.tables["orphans"]])

@@ -45,6 +45,8 @@ DISCOVERIES = _nullable(ss_id=T.StringType, **_PLACE, **_FOUND)
 REJECTS = _nullable(
     search_term=T.StringType, parent_ss_id=T.StringType, direction=T.IntegerType, page=T.IntegerType, pos=T.IntegerType, problem=T.StringType
 )
+# Edges without a paper at an end, and at which.
+ORPHANS = _nullable(ss_id=T.StringType, reference_id=T.StringType, no_source=T.BooleanType, no_target=T.BooleanType)
 PAGE_REJECTS = _nullable(search_term=T.StringType, page=T.LongType, item=T.IntegerType, problem=T.StringType)
 
 # A curated corpus has the columns of the corpus it was picked from.

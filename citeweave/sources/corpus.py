@@ -22,12 +22,12 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from citeweave.operators.upsert import mark_processed, matching
-from citeweave.schemas import DISCOVERIES, DONE, EDGES, PAGE_REJECTS, PAPERS, REJECTS
+from citeweave.schemas import DISCOVERIES, DONE, EDGES, ORPHANS, PAGE_REJECTS, PAPERS, REJECTS
 
 BUCKETS = 16
 SEED_BATCH = -1  # batch number of rows that were there before the first micro-batch
@@ -50,6 +50,7 @@ TABLES = {
     "discoveries": Shape(DISCOVERIES, ("ss_id",)),
     "rejects": Shape(REJECTS),
     "page_rejects": Shape(PAGE_REJECTS),
+    "orphans": Shape(ORPHANS),
 }
 
 # Folders that a session's catalog knows already, by application and table.
@@ -160,6 +161,12 @@ class Corpus:
         rows = spark.table(self._table(spark, table, state["buckets"], folders))
         return rows.where(F.col("folder").isin(folders) if folders else F.lit(False))
 
+    def read_folders(self, spark: SparkSession, table: str, folders: Sequence[str]) -> DataFrame:
+        """The rows of some of the folders that the state names."""
+        state = self._state(spark)
+        counts = [entry for entry in state["batches"] if entry["tables"].get(table) in folders]
+        return self._rows(spark, table, state, counts).select(*self.shapes[table].schema.fieldNames())
+
     def read_papers(self, spark: SparkSession, before: int | None = None) -> DataFrame:
         """Papers with the flags of all parents noted as done; bucket meets bucket."""
         return mark_processed(self.read(spark, "papers", before), self.read(spark, "done", before))
@@ -218,10 +225,6 @@ def _write(spark: SparkSession, corpus: Corpus, table: str, rows: DataFrame, fol
     shape = corpus.shapes[table]
     rows = rows.select(*[F.col(column.name).cast(column.dataType) for column in shape.schema])
     path = f"{corpus.root}/{table}/{folder}"
-    numbered = "id" in shape.schema.names
-    if numbered:
-        seen = Observation()
-        rows = rows.observe(seen, F.max("id").alias("highest"))
     if shape.keys:
         # Spark buckets rows for tables only: one is made for the write and forgotten, its files stay.
         name = f"citeweave_{folder.replace('-', '_')}_{table}"
@@ -230,7 +233,10 @@ def _write(spark: SparkSession, corpus: Corpus, table: str, rows: DataFrame, fol
         spark.sql(f"DROP TABLE {name}")
     else:
         rows.write.parquet(path)
-    return seen.get["highest"] or 0 if numbered else 0
+    if "id" not in shape.schema.names:
+        return 0
+    # One column of this batch, as its files hold it.
+    return spark.read.schema(shape.schema).parquet(path).agg(F.max("id")).first()[0] or 0
 
 
 @dataclass
@@ -242,6 +248,8 @@ class Batch:
     number: int
     tables: dict[str, str] = field(default_factory=dict)
     highest_id: int = 0
+    #: What else the state file says of the batch.
+    notes: dict = field(default_factory=dict)
 
     def __enter__(self) -> "Batch":
         self._folder = _new_folder(self.number)
@@ -257,7 +265,7 @@ class Batch:
     def __exit__(self, kind, *_rest) -> None:
         if kind is None:
             state = self.corpus._state(self.spark)
-            entry = {"batch": self.number, "tables": self.tables, "highest_id": self.highest_id}
+            entry = self.notes | {"batch": self.number, "tables": self.tables, "highest_id": self.highest_id}
             others = [other for other in state["batches"] if other["batch"] != self.number]
             batches = sorted([*others, entry], key=lambda entry: entry["batch"])
             self.corpus._put(self.spark, state | {"version": state["version"] + 1, "batches": batches})

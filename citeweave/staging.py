@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,7 +62,11 @@ class Staging:
         seen = Observation()
         # A repeated task may be seen twice, so this is no exact count.
         table = self.write(df.observe(seen, F.count(F.lit(1)).alias("rows")), name)
-        return table, seen.get["rows"] > 0
+        try:
+            return table, seen.get["rows"] > 0
+        except Py4JJavaError:
+            # Spark leaves the counter out of a plan that it finds to be empty.
+            return table, not table.isEmpty()
 
     def release(self) -> None:
         """Delete the folder once nothing reads from it any more."""

@@ -3,7 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+from citeweave.operators.checks import orphan_edges
 from citeweave.operators.upsert import discover, first_discovery, improved, mark_processed, unseen
+from citeweave.plans.validate import check_orphans
 from citeweave.schemas import EDGES, PAPERS
 from citeweave.sources.corpus import SEED_BATCH, Corpus, touched
 from test_plans import plan_of, settings
@@ -169,3 +171,23 @@ def test_versions(frame, values, staging):
             held = staging.write(held.unionByName(better))
         assert values(first_discovery(held, "ss_id", ["at", "sub"])) == [("a", 2, 0, "z"), ("b", 1, 0, "y"), ("c", None, 1, "n")]
         assert held.count() <= 6
+
+
+def test_orphans_are_kept_up_to_date(spark, frame, values, corpus, staging):
+    """After each batch the same as a check of everything, whether papers or edges come first, or a batch comes again."""
+    paper = lambda i, key: (i, key, "T", "x", "t", 0, None, False)
+    steps = [
+        ([paper(1, "a")], [("a", "b"), ("b", "c"), ("a", "a"), (None, "a"), (None, "z"), ("d", None)]),
+        ([paper(2, "b")], []),
+        ([], [("c", "b"), ("a", "d")]),
+        ([paper(3, "c"), paper(4, "d")], [("e", "f")]),
+    ]
+    for number, (papers, edges) in enumerate([*steps, ([], [])]):
+        with corpus.batch(spark, 2 * number if number < 4 else 2) as out:
+            out.append("papers", frame(papers, PAPERS))
+            # Rows as they may have come from elsewhere, null ends among them.
+            out.append("edges", frame(edges, "ss_id string, reference_id string"))
+        kept = check_orphans(corpus, spark, 2 * number + 1)
+        edges = corpus.read(spark, "edges", before=100)
+        assert values(kept.select("ss_id", "reference_id")) == values(orphan_edges(edges, corpus.read(spark, "papers"), staging))
+    assert values(kept.where("no_source").select("ss_id")) == [("b",), ("e",), (None,), (None,)]

@@ -8,8 +8,9 @@ from citeweave.operators import checks, neighbours, report, subset, upsert
 from citeweave.operators.frontier import lookup_frontier
 from citeweave.plans.curate import copy_seed, curated_edges
 from citeweave.plans.expand import EdgeHop, expand_hops
-from citeweave.plans.validate import validate
+from citeweave.plans.validate import check_orphans, validate
 from citeweave.schemas import EDGES, PAPERS
+from citeweave.sources.corpus import Corpus
 from citeweave.sources.links import read_links, write_links
 from citeweave.sources.tables import scan_table
 from citeweave.sources.terms import slice_inclusive
@@ -169,6 +170,26 @@ def orphan_edges(spark, sf):
     return checks.orphan_edges(edges, papers_with_gaps(spark, sf), staging)
 
 
+@query(
+    "orphan_edges_kept",
+    SOME_PAPERS
+    + """SELECT * FROM g_edges WHERE ss_id NOT IN (SELECT ss_id FROM some_papers)
+    OR reference_id NOT IN (SELECT ss_id FROM some_papers)""",
+)
+def orphan_edges_kept(spark, sf):
+    """The same orphans, kept up to date over two batches: parts and some edges first, then orders and the other edges."""
+    corpus = Corpus.below(Staging(spark, "kept").path("corpus"))
+    corpus.create(spark)
+    papers, edges = papers_with_gaps(spark, sf), tables.part_edges(spark, sf)
+    early = F.pmod(F.xxhash64("ss_id"), F.lit(3)) > 0
+    for batch, (some_papers, some_edges) in enumerate((("id > 1000000000000", early), ("id <= 1000000000000", ~early))):
+        with corpus.batch(spark, 2 * batch) as out:
+            out.append("papers", papers.filter(some_papers))
+            out.append("edges", edges.filter(some_edges))
+        orphans = check_orphans(corpus, spark, 2 * batch + 1)
+    return orphans.select("ss_id", "reference_id")
+
+
 @query("violations_not_null", "SELECT id, ss_id FROM d_papers WHERE is_processed IS NULL OR title IS NULL")
 def violations_not_null(spark, sf):
     return checks.null_violations(tables.document_papers(spark, sf), ["is_processed", "title"]).select("id", "ss_id")

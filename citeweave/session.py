@@ -9,6 +9,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Rankings of the first thousands of a group are cut within each task, too.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 

@@ -10,11 +10,11 @@ from __future__ import annotations
 import html as html_module
 import re
 import sys
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -64,7 +64,29 @@ def drop_inert(page: Column) -> Column:
     return F.regexp_replace(page, _INERT, "")
 
 
-def _cut_rows(pages: pd.Series, row_tag: str, tag: str) -> pd.Series:
+#: So many characters are held as Python texts at a time, and one text more.
+PORTION = 1 << 20
+
+
+def _mapped(texts: pa.Array, work: Callable, kind: pa.DataType) -> pa.Array:
+    """What ``work`` makes of every text that is there.
+
+    Python takes up to four bytes for a character, and a batch may hold thousands of pages: only a portion of them is
+    held as Python texts, and what comes of it goes back to Arrow before the next one.
+    """
+    done, held, size = [], [], 0
+    for text in texts:
+        value = text.as_py()
+        held.append(None if value is None else work(value))
+        size += 0 if value is None else len(value)
+        if size >= PORTION:
+            done.append(pa.array(held, kind))
+            held, size = [], 0
+    done.append(pa.array(held, kind))
+    return pa.concat_arrays(done)
+
+
+def _cut_rows(pages: pa.Array, row_tag: str, tag: str) -> pa.Array:
     start, tags = re.compile(row_tag), re.compile(r"<(/?)([a-zA-Z][^\s/>]*)[^>]*>")
 
     def cut(page: str) -> list[str]:
@@ -89,7 +111,7 @@ def _cut_rows(pages: pd.Series, row_tag: str, tag: str) -> pd.Series:
                 del open_[depth:]
         return [page[begin:end] for begin, end in found]
 
-    return pages.map(cut, na_action="ignore")
+    return _mapped(pages, cut, pa.list_(pa.string()))
 
 
 def row_chunks(page: Column, row: Selector = ROW) -> Column:
@@ -100,7 +122,7 @@ def row_chunks(page: Column, row: Selector = ROW) -> Column:
     """
     tag = start_tag(row)
     bare = drop_inert(page)
-    cut = F.pandas_udf(lambda pages: _cut_rows(pages, tag, row.tag.lower()), "array<string>")
+    cut = F.arrow_udf(lambda pages: _cut_rows(pages, tag, row.tag.lower()), "array<string>")
     return F.coalesce(cut(F.when(bare.rlike(tag), bare)), F.when(page.isNotNull(), F.array().cast("array<string>")))
 
 
@@ -109,13 +131,13 @@ def page_rows(pages: DataFrame, row: Selector = ROW, carry: Sequence[str] = ())
     return pages.select(*carry, F.posexplode(row_chunks(F.col("html"), row)).alias("item", "row_html"))
 
 
-def _unescape(texts: pd.Series) -> pd.Series:
-    return texts.map(html_module.unescape, na_action="ignore")
+def _unescape(texts: pa.Array) -> pa.Array:
+    return _mapped(texts, html_module.unescape, pa.string())
 
 
 def unescape(text: Column) -> Column:
     """Resolve character entities; only texts with an ``&`` go to Python."""
-    resolved = F.pandas_udf(_unescape, StringType())(F.when(F.contains(text, F.lit("&")), text))
+    resolved = F.arrow_udf(_unescape, StringType())(F.when(F.contains(text, F.lit("&")), text))
     return F.coalesce(resolved, text)
 
 
@@ -220,13 +242,13 @@ def expanded_text(fragment: str | None) -> str | None:
     )
 
 
-def _expanded(fragments: pd.Series) -> pd.Series:
-    return fragments.map(expanded_text, na_action="ignore")
+def _expanded(fragments: pa.Array) -> pa.Array:
+    return _mapped(fragments, expanded_text, pa.string())
 
 
 def row_expanded_text(row: Column) -> Column:
     """Expanded text of a row; only rows that show the label reach Python."""
-    return F.pandas_udf(_expanded, StringType())(F.when(F.contains(row, F.lit(EXPANDED_TEXT)), row))
+    return F.arrow_udf(_expanded, StringType())(F.when(F.contains(row, F.lit(EXPANDED_TEXT)), row))
 
 
 def row_abstract(row: Column) -> Column:

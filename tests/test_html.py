@@ -1,8 +1,24 @@
 """Result pages of every shape."""
 
+import tracemalloc
+
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from citeweave.functions.html import Selector, element_text, expanded_text, page_rows, row_abstract, row_ident, row_title
+from citeweave.functions.html import (
+    PORTION,
+    ROW,
+    Selector,
+    _cut_rows,
+    _unescape,
+    element_text,
+    expanded_text,
+    page_rows,
+    row_abstract,
+    row_ident,
+    row_title,
+    start_tag,
+)
 from citeweave.plans.collect import collect_pages, result_rows
 from citeweave.schemas import PAPERS
 
@@ -95,3 +111,16 @@ def test_collect_inserts_or_ignores(frame, spark, staging):
     resumed = collect_pages(pages, terms, known, "/paper/", staging, resume=("graphs", 1, 1))[0].orderBy("id").collect()
     assert [(r["ss_id"], r["search_term"]) for r in resumed] == [("No ID available", "graphs"), ("2", "deep nets")]
     assert result_rows(pages, "/p/").count() == 10
+
+
+def test_a_batch_of_pages_is_held_as_python_texts_in_portions():
+    row = '<div class="cl-paper-row"><h2>' + "中" * 10_000 + "</h2></div>"
+    pages = pa.array([row * 2, None, "<p></p>"] * 400)
+    tracemalloc.start()
+    rows = _cut_rows(pages, start_tag(ROW), ROW.tag)
+    texts = _unescape(rows.flatten())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows.to_pylist()[:3] == [[row, row], None, []] and texts[799].as_py() == row
+    # All of them would take 16 MB as texts, and as much again as rows.
+    assert peak < 10 * PORTION

@@ -71,11 +71,10 @@ def adjacency(rows: DataFrame, staging: Staging, share: int = SHARE_ROWS) -> Dat
     """Collated rows as lists: one row per paper, direction and ``share`` of places, in order.
 
     The grain is the same for every paper, and no list is longer than ``share``. Each share is
-    grouped by itself, so the lists of a hub are built by many tasks.
+    grouped by itself, so the lists of a hub are built by many tasks. Rows are dealt by share as they are
+    joined, and lists are made where they have come to lie: texts move once and are not written before.
     """
-    stored = staging.write(rows.where("direction IS NOT NULL"), "rows")
+    keys = ["id", "ss_id", "direction", "part"]
+    placed = rows.where("direction IS NOT NULL").withColumn("part", F.floor(F.col("place") / share))
     neighbour = F.struct("place", F.col("neighbour").alias("ss_id"), "title", "abstract", "url")
-    return (
-        stored.groupBy("id", "ss_id", "direction", F.floor(F.col("place") / share).alias("part"))
-        .agg(F.sort_array(F.collect_list(neighbour)).alias("neighbours"))
-    )
+    return placed.repartition(*keys).groupBy(*keys).agg(F.sort_array(F.collect_list(neighbour)).alias("neighbours"))

@@ -1,5 +1,7 @@
 """Expansion against the step-by-step model, on graphs with a hub."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -122,3 +124,12 @@ def test_collated_rows_keep_every_neighbour(frame, staging):
     assert all(len(r["neighbours"]) <= 5 and r["neighbours"][0]["place"] == 5 * r["part"] for r in parts)
     assert sum(len(r["neighbours"]) for r in parts) == rows.filter("direction IS NOT NULL").count()
     assert report.collated_json(rows).count() == rows.count()
+
+
+def test_lists_are_made_without_writing_their_texts_first(frame, staging):
+    papers = frame([(1, "a", "A", "x", "t", 0, "u", False), (2, "b", "B", "y", "t", 0, "v", False)], PAPERS)
+    rows = report.collated(papers, frame([("a", "b")], EDGES), staging)
+    folders = set(os.listdir(staging.root))
+    lists = report.adjacency(rows, staging).collect()
+    assert set(os.listdir(staging.root)) == folders
+    assert {(r["ss_id"], r["direction"], r["part"], r["neighbours"][0]["title"]) for r in lists} == {("a", 1, 0, "B"), ("b", 0, 0, "A")}

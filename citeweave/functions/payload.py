@@ -33,10 +33,12 @@ def payload_items(payload: Column) -> Column:
 def payload_problem(status: Column, body: Column, payload: Column) -> Column:
     """Why a payload yields no item although it should have been readable; null if all is well."""
     data = F.try_variant_get(payload, ITEMS_KEY, "variant")
+    # Most lists have a first item; only for others it is worth making the list to see whether there is one.
+    first = F.coalesce(F.try_variant_get(payload, f"{ITEMS_KEY}[0]", "variant"), F.try_variant_get(payload, "$[0]", "variant"))
     return (
         F.when(~F.coalesce(status == 200, F.lit(False)), F.lit(None).cast("string"))
         .when(body.isNull() | payload.isNull(), F.lit("malformed payload"))
-        .when(payload_items(payload).isNotNull(), F.lit(None).cast("string"))
+        .when(first.isNotNull() | payload_items(payload).isNotNull(), F.lit(None).cast("string"))
         .when(F.is_variant_null(data), F.lit("null item list"))
         .when(data.isNull() & _is_object(payload), F.lit(None).cast("string"))
         .otherwise(F.lit("item list is no list"))

@@ -97,9 +97,9 @@ def flat_neighbours(spark, sf):
 
 @query("responses_scan", BODIES + "SELECT id, ss_id, direction, page, status, body FROM landed")
 def responses_scan(spark, sf):
-    """Look-ups landed as JSON lines and read back."""
+    """Look-ups landed as compressed JSON lines and read back."""
     path = Staging(spark, "landing").path("responses")
-    tables.landed_responses(spark, sf).write.json(path)
+    tables.landed_responses(spark, sf).write.json(path, compression="gzip")
     return scan_responses(spark, path, "json")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -130,19 +132,12 @@ def _supplied(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def landed_responses(spark: SparkSession, sf: str) -> DataFrame:
-    """Look-ups of all parts as they would have landed.
-
-    Citations carry the orders of a part, page by page, with every shape of absent, null and
-    empty fields that order attributes select; references carry the suppliers of parts of one type,
-    and nothing for the others, which differ in how they say so.
-    """
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
-    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey").distinct()
-    priority = F.col("o_orderpriority")
+def _citing(order: Column) -> Column:
+    """The item that names an order as a citing paper."""
+    status, priority, key = order["o_orderstatus"], order["o_orderpriority"], order["o_orderkey"].cast("string")
     title = (
-        F.when(F.col("o_orderstatus") == "P", F.lit(',"title":null'))
-        .when(F.col("o_orderstatus") == "F", F.lit(""))
+        F.when(status == "P", F.lit(',"title":null'))
+        .when(status == "F", F.lit(""))
         .otherwise(F.concat(F.lit(',"title":"Order '), priority, F.lit('"')))
     )
     abstract = (
@@ -151,29 +146,46 @@ def landed_responses(spark: SparkSession, sf: str) -> DataFrame:
         .when(priority == "2-HIGH", F.lit(""))
         .otherwise(F.concat(F.lit(',"abstract":"Priority '), priority, F.lit('"')))
     )
-    key = F.col("o_orderkey").cast("string")
-    item = F.concat(
+    return F.concat(
         F.lit('{"citingPaper":{"paperId":"O'), key, F.lit('"'), title, abstract,
         F.lit(',"url":"/order/'), key, F.lit('"}}'),
     )
-    items = (
+
+
+def landed_responses(spark: SparkSession, sf: str, parts: DataFrame | None = None, carry: Sequence[str] = ()) -> DataFrame:
+    """Look-ups of all parts as they would have landed.
+
+    Citations carry the orders of a part, page by page, with every shape of absent, null and
+    empty fields that order attributes select; references carry the suppliers of parts of one type,
+    and nothing for the others, which differ in how they say so. ``parts`` are the parts to look up, all if left out, and
+    ``carry`` names columns of them to keep.
+
+    Keys and attributes of orders are brought together; bodies are written where the rows have come to lie, and not moved.
+    """
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey").distinct()
+    parts = table(spark, sf, "part") if parts is None else parts
+    parts = parts.select("p_partkey", "p_type", *carry)
+    cited = (
         lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .select("l_partkey", F.floor(F.col("o_orderkey") / PAGE_KEYS).cast("int").alias("page"), "o_orderkey", item.alias("item"))
+        .select("l_partkey", F.floor(F.col("o_orderkey") / PAGE_KEYS).cast("int").alias("page"), F.struct(*orders.columns).alias("order"))
         .groupBy("l_partkey", "page")
-        .agg(F.sort_array(F.collect_list(F.struct("o_orderkey", "item"))).alias("items"))
+        .agg(F.collect_list("order").alias("orders"))
     )
-    listed = F.concat(F.lit("["), F.array_join(F.col("items.item"), ","), F.lit("]"))
-    parts = table(spark, sf, "part").select("p_partkey", "p_type")
-    citations = items.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
+    items = F.sort_array(F.transform("orders", lambda order: F.struct(order["o_orderkey"], _citing(order).alias("item"))))
+    citations = cited.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
         F.col("p_partkey").alias("id"),
         _key("P", "p_partkey").alias("ss_id"),
         F.lit(CITATION).alias("direction"),
         "page",
         F.lit(200).alias("status"),
         # Some sources send the bare list, the others an object around it.
-        F.when(F.col("p_type") == "ECONOMY", listed)
-        .otherwise(F.concat(F.lit('{"data":'), listed, F.lit("}")))
-        .alias("body"),
+        F.concat(
+            F.when(F.col("p_type") == "ECONOMY", "[").otherwise('{"data":['),
+            F.array_join(items["item"], ","),
+            F.when(F.col("p_type") == "ECONOMY", "]").otherwise("]}"),
+        ).alias("body"),
+        *carry,
     )
     references = parts.join(_supplied(spark, sf), "p_partkey", "left").select(
         F.col("p_partkey").alias("id"),
@@ -187,6 +199,7 @@ def landed_responses(spark: SparkSession, sf: str) -> DataFrame:
         .when(F.col("p_type") == "LARGE", '{"data":[{},{"citedPaper":null},{"citedPaper":{"paperId":"","title":"x"}},7]}')
         .otherwise(F.coalesce("cited", F.lit("[]")))
         .alias("body"),
+        *carry,
     )
     return citations.unionByName(references)
 

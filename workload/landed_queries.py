@@ -286,8 +286,10 @@ def ingested(spark, sf, later_first):
     corpus = Corpus.below(staging.path("corpus"))
     corpus.create(spark)
     corpus.seed(papers)
-    ranked = papers.join(terms, papers["search_term"] == terms["term"]).select("ss_id", "term_pos")
-    responses = staging.write(tables.landed_responses(spark, sf).join(ranked, "ss_id"), "responses")
+    # Parts get the positions of their terms before there are bodies to move.
+    ranked = papers.join(terms, papers["search_term"] == terms["term"]).select(F.col("id").alias("p_partkey"), "term_pos")
+    looked_up = tables.table(spark, sf, "part").join(ranked, "p_partkey")
+    responses = staging.write(tables.landed_responses(spark, sf, looked_up, ["term_pos"]), "responses")
     parts = (F.col("term_pos") < 10, F.col("term_pos") >= 10)
     for part in reversed(parts) if later_first else parts:
         responses.filter(part).drop("term_pos").write.mode("append").parquet(landing)

@@ -157,9 +157,10 @@ hop1 AS (
 
 def landed_hop(spark, sf):
     staging = Staging(spark, "hop")
+    # Landed once: the hop reads their keys and then their bodies.
     return ResponseHop(
         tables.part_papers(spark, sf),
-        tables.landed_responses(spark, sf),
+        staging.write(tables.landed_responses(spark, sf), "responses"),
         tables.part_terms(spark, sf, staging),
         0,
         staging,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from citeweave.operators.frontier import unprocessed
@@ -12,6 +12,8 @@ from citeweave.staging import Staging
 
 BATCH_SIZE = 300
 SHARE_ROWS = 1_000
+HUB_LINKS = 1_000_000
+BUCKETS = 1 << 14
 
 
 def processed_per_term(papers: DataFrame) -> DataFrame:
@@ -39,18 +41,40 @@ def latest_per_key(rows: DataFrame, key: str, version: str) -> DataFrame:
     return rows.groupBy(key).agg(latest).select("latest.*")
 
 
-def collated(papers: DataFrame, edges: DataFrame, staging: Staging) -> DataFrame:
+def _placed(papers: DataFrame, edges: DataFrame, staging: Staging, hub: int) -> DataFrame:
+    """The links of every paper with its id and their places, as a written table.
+
+    Links are counted by a hash of their list. Lists of buckets with at most ``hub`` links are numbered by a window where they are
+    dealt for the join; those of other buckets, hubs among them, are joined first and numbered in a sort by ranges.
+    """
+    links = both_directions(edges).withColumnsRenamed({"ss_id": "neighbour", "parent_ss_id": "ss_id"}).where("ss_id IS NOT NULL")
+    named = papers.where("ss_id IS NOT NULL").select("id", "ss_id")
+    bucket = F.pmod(F.xxhash64("ss_id", "direction"), F.lit(BUCKETS))
+    large = links.groupBy(bucket.alias("bucket")).count().where(F.col("count") > hub).select("bucket")
+    # At most one number for each ``hub`` links.
+    large = [row["bucket"] for row in large.collect()]
+    few = links.where(~bucket.isin(large)) if large else links
+    numbered = few.repartition("ss_id").withColumn("place", F.row_number().over(Window.partitionBy("ss_id", "direction").orderBy("neighbour")) - 1)
+    # Papers that repeat a key share its places: each has every ``copies``-th one.
+    same = Window.partitionBy("ss_id")
+    copies = named.withColumns({"copy": F.row_number().over(same.orderBy("id")) - 1, "copies": F.count(F.lit(1)).over(same)})
+    columns = ["id", "ss_id", "direction", "neighbour"]
+    placed = numbered.join(copies, "ss_id").select(*columns, (F.col("place") * F.col("copies") + F.col("copy")).alias("place"))
+    if large:
+        linked = links.where(bucket.isin(large)).join(named, "ss_id").select(*columns)
+        placed = placed.unionByName(place_within(linked, ["ss_id", "direction"], ["neighbour"], staging))
+    return staging.write(placed, "places")
+
+
+def collated(papers: DataFrame, edges: DataFrame, staging: Staging, hub: int = HUB_LINKS) -> DataFrame:
     """One row per paper, direction and place: the neighbours of every paper with what is known of them.
 
     ``place`` counts from 0 in the order of the neighbours' keys. Every neighbour is a row, however many
     a paper has; a paper without neighbours has one row with a null direction. Neighbours that
-    are no papers of the corpus have null fields. Links get ids and places as narrow rows, in a sort by ranges in which
-    a hub fills as many ranges as it needs; titles and abstracts are joined last and not moved again.
+    are no papers of the corpus have null fields. Links get ids and places as narrow rows; a hub, a paper with more than ``hub``
+    links in a direction, fills as many ranges as it needs. Titles and abstracts are joined last and not moved again.
     """
-    links = both_directions(edges).withColumnRenamed("ss_id", "neighbour")
-    named = papers.select("id", F.col("ss_id").alias("parent_ss_id"))
-    linked = links.join(named, "parent_ss_id").select("id", F.col("parent_ss_id").alias("ss_id"), "direction", "neighbour")
-    placed = place_within(linked, ["ss_id", "direction"], ["neighbour"], staging)
+    placed = _placed(papers, edges, staging, hub)
     known = papers.select(F.col("ss_id").alias("neighbour"), "title", "abstract", "url")
     columns = ["id", "ss_id", "direction", "place", "neighbour", "title", "abstract", "url"]
     rows = placed.join(known, "neighbour", "left").select(*columns)

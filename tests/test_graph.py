@@ -1,6 +1,7 @@
 """Expansion against the step-by-step model, on graphs with a hub."""
 
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,9 @@ from citeweave.operators.checks import orphan_edges
 from citeweave.operators.upsert import mark_processed
 from citeweave.plans.expand import EdgeHop, ResponseHop, expand_hops
 from citeweave.schemas import EDGES, PAPERS, RESPONSES
+from citeweave.staging import Staging
 from model import Model, landed, random_corpus
+from test_plans import plan_of, settings
 
 TERMS = ["t0", "t1", "t2"]
 
@@ -133,3 +136,49 @@ def test_lists_are_made_without_writing_their_texts_first(frame, staging):
     lists = report.adjacency(rows, staging).collect()
     assert set(os.listdir(staging.root)) == folders
     assert {(r["ss_id"], r["direction"], r["part"], r["neighbours"][0]["title"]) for r in lists} == {("a", 1, 0, "B"), ("b", 0, 0, "A")}
+
+
+def staged_plans(monkeypatch):
+    plans, write = [], Staging.write
+    monkeypatch.setattr(Staging, "write", lambda self, df, name="table": (plans.append(plan_of(df)), write(self, df, name))[1])
+    return plans
+
+
+def test_short_lists_are_numbered_where_they_are_dealt(spark, frame, staging, monkeypatch):
+    """Only hubs go through ranges and Arrow; the others are dealt once, for numbering and for the join with their papers."""
+    seeds, edges, _ = random_corpus(7, edges=220)
+    table = staging.write(frame(edges, EDGES))
+    plans = staged_plans(monkeypatch)
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        report.collated(staging.write(frame(seeds, PAPERS)), table, staging)
+        assert not any("MapInArrow" in plan or "rangepartitioning" in plan for plan in plans)
+        assert plans[-1].count("Exchange hashpartitioning") == 2
+        report.collated(frame(seeds, PAPERS), table, staging, hub=3)
+        assert any("rangepartitioning" in plan for plan in plans)
+
+
+@pytest.mark.parametrize("hub", [0, 3, 10, 1_000])
+def test_places_of_hubs_and_short_lists(frame, values, staging, hub):
+    """The same rows wherever lists are numbered, also where papers and edges repeat or miss a key."""
+    draw = random.Random(hub)
+    keys = [*"abcdefgh", None]
+    papers = [(k, key, f"T{key}", "x", "t", 0, "u", False) for k, key in enumerate([*keys, "lonely", "b", "b", None])]
+    edges = [(draw.choice(keys), draw.choice(["hub", *keys])) for _ in range(200)] + [(f"n{i}", "a") for i in range(40)]
+    columns = "id int, ss_id string, title string, abstract string, search_term string, num_hops int, url string, is_processed boolean"
+    found = report.collated(frame(papers, columns), frame(edges, "ss_id string, reference_id string"), staging, hub=hub)
+    links = [(b, 0, a) for a, b in edges] + [(a, 1, b) for a, b in edges]
+    expected, titles = [], {}
+    for _, key, title, *_ in papers:
+        titles.setdefault(key, []).append(title)
+    for key in {p[1] for p in papers}:
+        copies = [p[0] for p in papers if p[1] == key]
+        lists = {way: sorted((n for k, w, n in links if k == key is not None and w == way), key=lambda n: (n is not None, n or "")) for way in (0, 1)}
+        for way, names in lists.items():
+            # Copies of a paper share the places of its list.
+            for place, name in enumerate(n for n in names for _ in copies):
+                expected += [(key, way, place, name, title) for title in titles.get(name, [None]) if name is not None] or [(key, way, place, name, None)]
+        if not any(lists.values()):
+            expected += [(key, None, None, None, None)] * len(copies)
+    assert values(found.select("ss_id", "direction", "place", "neighbour", "title")) == sorted(expected, key=repr)
+    by_id = found.where("ss_id = 'b' AND direction = 1").groupBy("id").count().collect()
+    assert len({row["count"] for row in by_id}) == 1 and len(by_id) == 3

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from citeweave.operators.frontier import unprocessed
 from citeweave.operators.identity import place_within
 from citeweave.operators.neighbours import both_directions
+from citeweave.schemas import CITATION, REFERENCE
 from citeweave.staging import Staging
 
 BATCH_SIZE = 300
@@ -72,12 +73,14 @@ def collated(papers: DataFrame, edges: DataFrame, staging: Staging, hub: int = H
     ``place`` counts from 0 in the order of the neighbours' keys. Every neighbour is a row, however many
     a paper has; a paper without neighbours has one row with a null direction. Neighbours that
     are no papers of the corpus have null fields. Links get ids and places as narrow rows; a hub, a paper with more than ``hub``
-    links in a direction, fills as many ranges as it needs. Titles and abstracts are joined last and not moved again.
+    links in a direction, fills as many ranges as it needs. Titles and abstracts are joined last, to each direction by
+    itself, which halves what a task sorts, and not moved again.
     """
     placed = _placed(papers, edges, staging, hub)
     known = papers.select(F.col("ss_id").alias("neighbour"), "title", "abstract", "url")
     columns = ["id", "ss_id", "direction", "place", "neighbour", "title", "abstract", "url"]
-    rows = placed.join(known, "neighbour", "left").select(*columns)
+    citations, references = (placed.where(F.col("direction") == way).join(known, "neighbour", "left").select(*columns) for way in (CITATION, REFERENCE))
+    rows = citations.unionByName(references)
     # A hub's key is made single before the join.
     alone = papers.select("id", "ss_id").join(placed.select("ss_id").distinct(), "ss_id", "left_anti")
     missing = [F.lit(None).cast(rows.schema[name].dataType).alias(name) for name in columns[2:]]

@@ -150,9 +150,11 @@ def test_short_lists_are_numbered_where_they_are_dealt(spark, frame, staging, mo
     table = staging.write(frame(edges, EDGES))
     plans = staged_plans(monkeypatch)
     with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
-        report.collated(staging.write(frame(seeds, PAPERS)), table, staging)
+        rows = report.collated(staging.write(frame(seeds, PAPERS)), table, staging)
         assert not any("MapInArrow" in plan or "rangepartitioning" in plan for plan in plans)
         assert plans[-1].count("Exchange hashpartitioning") == 2
+        # The titles meet citations and references apart.
+        assert plan_of(rows).count("LeftOuter") == 2
         report.collated(frame(seeds, PAPERS), table, staging, hub=3)
         assert any("rangepartitioning" in plan for plan in plans)
 

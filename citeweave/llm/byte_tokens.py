@@ -1,7 +1,7 @@
 """Ids of whole texts by a byte-level vocabulary file, with the pieces that each Python worker has met.
 
 The tokenizers library splits a text by one pattern and encodes every piece by itself. For texts of plain
-Latin characters the pieces are found by the same pattern here, and the library encodes each piece that
+Latin characters the pieces are found by the same pattern here, and the library's model encodes each piece that
 the worker doesn't know; the first ``room`` pieces stay known, and they are most of what texts are made
 of. All other texts, and those that hold a special token's string, go through the library as they are. The result is
 the library's either way; the tests compare it on both kinds.
@@ -62,9 +62,10 @@ class ByteTokens:
 
     def __init__(self, path: str, room: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_file(path)
+        self.model = self.library.model
         self.library.no_truncation()
         self.library.no_padding()
         with open(path, encoding="utf-8") as file:
@@ -75,28 +76,16 @@ class ByteTokens:
         self.special = [token["content"] for token in spec.get("added_tokens", [])]
         self.size = self.library.get_vocab_size(with_added_tokens=True)
         self.known = Known(room)
+        as_letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        # The characters of _PLAIN lie below; the first one parts pieces.
+        self.letters = {code: as_letters.pre_tokenize_str(chr(code))[0][0] for code in range(1, 0x180)}
 
     def _encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        # In a line of pieces that begin with a space and go on without one, line feeds between them are pieces too.
-        joins = [len(piece) > 1 and piece[0] == " " and piece[1] not in " \t\n\r" for piece in pieces]
-        in_lines = [piece for piece, join in zip(pieces, joins, strict=True) if join]
-        alone = [piece for piece, join in zip(pieces, joins, strict=True) if not join]
-        lines = ["\n".join(in_lines[i : i + 1000]) + "\n" for i in range(0, len(in_lines), 1000)]
-        encode = lambda texts: [np.array(x.ids, np.uint32) for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-        feed = self.library.encode("\n", add_special_tokens=False).ids[0]
-        none = np.zeros(0, np.uint32)
-        flat = np.concatenate([none, *encode(lines)])
-        ends = np.flatnonzero(flat == feed)
-        found = encode(alone)
-        sizes = np.empty(len(pieces), np.int64)
-        place = np.array(joins, bool)
-        sizes[place] = np.diff(np.append(-1, ends)) - 1
-        sizes[~place] = np.fromiter(map(len, found), np.int64, len(found))
-        out = np.empty(int(sizes.sum()), np.uint32)
-        of_lines = np.repeat(place, sizes)
-        out[of_lines] = flat[flat != feed]
-        out[~of_lines] = np.concatenate([none, *found])
-        return out, sizes
+        # Split already, so each piece goes to the library's model alone, its bytes in the letters of the vocabulary.
+        spelled = "\0".join(pieces).translate(self.letters).split("\0")
+        found = [[token.id for token in self.model.tokenize(piece)] for piece in spelled]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes
 
     def pieces(self, text: str) -> list[str] | None:
         """The pieces of a text that can take the short way, else None."""

@@ -143,3 +143,13 @@ def test_empty_table_and_long_text(frame, staging):
         token_files.write_ids(table, folder, staging)
         found = token_files.read_ids(docs.sparkSession, folder)
         assert sorted(tuple(r) for r in found.collect()) == plain([tuple(r) for r in table.collect()])
+
+
+def test_new_pieces_skip_the_splitter_and_get_the_librarys_ids(monkeypatch):
+    """Pieces are split already: the model alone encodes them, whatever plain characters they hold."""
+    model = byte_tokens.ByteTokens(PATH)
+    plain = "".join(chr(code) for code in range(0x180) if byte_tokens._PLAIN.fullmatch(chr(code)))
+    texts = [plain, " ".join(plain), "it's \n\n\t 12  naïve\r\n ÿ¡²x", "", "end.\n", " "]
+    expected = [x.ids for x in model.library.encode_batch(texts, add_special_tokens=False)]
+    monkeypatch.setattr(model, "library", None)
+    assert [x.tolist() for x in model.encode(texts)] == expected
